@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+The reference reads every table in batch and keeps no state between runs, so there is no streaming
+operator to rebuild; this package is intentionally empty. Every operator in ``panelscore.operators`` is a
+plain DataFrame transformation, so it also accepts a streaming DataFrame where Spark allows the same
+operation (aggregations then need a watermark and an output mode chosen by the caller).
+"""
