@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import fold
+from ..operators import fold, profile
 from ..sources import bindings as B
 
 REGISTRY: dict = {}
@@ -89,3 +89,67 @@ def sequence_duplicates(spark, sf_dir):
     li = B.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"),
                                                     F.col("l_linenumber").alias("rn"))
     return fold.duplicate_sequences(li, "id", "rn")
+
+
+@query("mart_nulls")
+def mart_nulls(spark, sf_dir):
+    """The mart over a history with NULL codes: means skip them, ``last`` keeps them, steps skip them."""
+    return round_doubles(fold.fold_history(B.lineitem_history(spark, sf_dir, sparse=True), B.LINEITEM_SPEC))
+
+
+# ---------------------------------------------------------------- profiling
+
+def _lines(spark, sf_dir):
+    return B.lineitem_coded(spark, sf_dir).select("id", *B.LINEITEM_FEATURES)
+
+
+@query("class_balance")
+def class_balance(spark, sf_dir):
+    return profile.class_balance(B.orders_target(spark, sf_dir))
+
+
+@query("default_rate")
+def default_rate(spark, sf_dir):
+    return profile.default_rate(B.orders_target(spark, sf_dir))
+
+
+@query("history_length")
+def history_length(spark, sf_dir):
+    return profile.history_length(_lines(spark, sf_dir))
+
+
+@query("history_summary")
+def history_summary(spark, sf_dir):
+    return round_doubles(profile.history_summary(profile.history_length(_lines(spark, sf_dir))))
+
+
+@query("history_histogram")
+def history_histogram(spark, sf_dir):
+    return profile.capped_histogram(profile.history_length(_lines(spark, sf_dir)), cap=40)
+
+
+@query("rate_by_history_len")
+def rate_by_history_len(spark, sf_dir):
+    lengths = profile.history_length(_lines(spark, sf_dir))
+    return round_doubles(profile.rate_by_length(lengths, B.orders_target(spark, sf_dir), cap=20))
+
+
+@query("feature_means_by_class")
+def feature_means_by_class(spark, sf_dir):
+    return round_doubles(profile.feature_means_by_class(
+        _lines(spark, sf_dir), B.orders_target(spark, sf_dir), list(B.LINEITEM_FEATURES)))
+
+
+@query("code_distribution")
+def code_distribution(spark, sf_dir):
+    lines, target = _lines(spark, sf_dir), B.orders_target(spark, sf_dir)
+    parts = [profile.code_distribution(lines, target, c) for c in ("rflag", "disc")]
+    return round_doubles(parts[0].unionByName(parts[1]))
+
+
+@query("null_profile")
+def null_profile(spark, sf_dir):
+    sparse = B.lineitem_coded(spark, sf_dir).select(
+        "id", *[F.expr(f"nullif({c}, 0)").alias(c) if c in ("disc", "tax") else F.col(c)
+                for c in B.LINEITEM_FEATURES])
+    return profile.null_profile(sparse)

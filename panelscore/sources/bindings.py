@@ -27,9 +27,10 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 EVENTS_SPEC = FoldSpec(key="id", seq="rn", trend=("value",), recent=("value", "etype"), recent_n=3)
 
 
-def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the order key as ``id``, the tie-break columns and the coded features."""
     li = table(spark, sf_dir, "lineitem")
-    coded = li.select(
+    return li.select(
         F.col("l_orderkey").alias("id"),  # rename before ranking (SURVEY T1b)
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
         F.col("l_quantity").cast("int").alias("qty"),
@@ -40,8 +41,18 @@ def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("l_returnflag") == "R", 2).alias("rflag"),
         F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("lstatus"),
     )
+
+
+LINEITEM_FEATURES = ("qty", "disc", "tax", "price", "rflag", "lstatus")
+
+
+def lineitem_history(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
+    """History A. ``sparse`` turns zero discount and zero tax into NULL codes ("none given")."""
+    coded = lineitem_coded(spark, sf_dir)
+    if sparse:
+        coded = coded.withColumns({"disc": F.expr("nullif(disc, 0)"), "tax": F.expr("nullif(tax, 0)")})
     ranked = with_global_rank(coded, list(LINEITEM_ORDER), out="rn")
-    return ranked.select("id", "rn", "qty", "disc", "tax", "price", "rflag", "lstatus")
+    return ranked.select("id", "rn", *LINEITEM_FEATURES)
 
 
 def events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
