@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import fold, profile
+from ..operators import fold, metrics, profile, split
 from ..sources import bindings as B
 
 REGISTRY: dict = {}
@@ -153,3 +153,95 @@ def null_profile(spark, sf_dir):
         "id", *[F.expr(f"nullif({c}, 0)").alias(c) if c in ("disc", "tax") else F.col(c)
                 for c in B.LINEITEM_FEATURES])
     return profile.null_profile(sparse)
+
+
+# ---------------------------------------------------------------- split and weights
+
+@query("hash_split")
+def hash_split(spark, sf_dir):
+    return split.hash_split(B.orders_target(spark, sf_dir)).select("id", "u", "is_valid")
+
+
+@query("split_report")
+def split_report(spark, sf_dir):
+    return round_doubles(split.split_report(split.hash_split(B.orders_target(spark, sf_dir))))
+
+
+@query("class_weights")
+def class_weights(spark, sf_dir):
+    return split.class_weights(B.orders_target(spark, sf_dir))
+
+
+@query("row_weights")
+def row_weights(spark, sf_dir):
+    """Per-row weights on the train part, class sizes counted before the split as in the reference."""
+    target = B.orders_target(spark, sf_dir)
+    train = split.hash_split(target).where(~F.col("is_valid"))
+    return split.with_class_weights(train, counted_on=target).select("id", "flag", "w")
+
+
+@query("random_split")
+def random_split(spark, sf_dir):
+    """Validation part of ``randomSplit``; rows-only, it depends on the partitioning."""
+    _, valid = split.random_split(B.orders_target(spark, sf_dir))
+    return valid
+
+
+# ---------------------------------------------------------------- metrics
+
+def _preds(spark, sf_dir):
+    return B.orders_predictions(spark, sf_dir)
+
+
+@query("roc_curve")
+def roc_curve(spark, sf_dir):
+    return metrics.roc_curve(_preds(spark, sf_dir))
+
+
+@query("pr_curve")
+def pr_curve(spark, sf_dir):
+    return metrics.pr_curve(_preds(spark, sf_dir))
+
+
+@query("ks_curve")
+def ks_curve(spark, sf_dir):
+    return metrics.ks_curve(_preds(spark, sf_dir))
+
+
+@query("score_metrics")
+def score_metrics(spark, sf_dir):
+    return round_doubles(metrics.metric_record(_preds(spark, sf_dir), "price_share"))
+
+
+@query("ks_stat")
+def ks_stat(spark, sf_dir):
+    return metrics.ranking_metrics(_preds(spark, sf_dir)).select("ks", "ks_threshold")
+
+
+@query("score_summary")
+def score_summary(spark, sf_dir):
+    return round_doubles(metrics.score_summary(_preds(spark, sf_dir)))
+
+
+@query("confusion_at_ks")
+def confusion_at_ks(spark, sf_dir):
+    return metrics.confusion_at_ks(_preds(spark, sf_dir))
+
+
+@query("score_histogram")
+def score_histogram(spark, sf_dir):
+    return metrics.score_histogram(_preds(spark, sf_dir))
+
+
+@query("score_percentiles")
+def score_percentiles(spark, sf_dir):
+    probs = [0.5, 0.9, 0.99]
+    valid = metrics.exact_percentiles(_preds(spark, sf_dir), "y_score", probs)
+    test = metrics.exact_percentiles(B.orders_scores(spark, sf_dir), "score", probs)
+    return (valid.select(F.lit("valid").alias("part"), "p", "value")
+            .unionByName(test.select(F.lit("test").alias("part"), "p", "value")))
+
+
+@query("calibration")
+def calibration(spark, sf_dir):
+    return round_doubles(metrics.calibration_table(_preds(spark, sf_dir)))
