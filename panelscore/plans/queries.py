@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import fold, metrics, profile, split
+from ..operators import fold, gates, metrics, profile, split
+from ..session import work_path
 from ..sources import bindings as B
+from ..sources import io
 
 REGISTRY: dict = {}
 
@@ -245,3 +247,127 @@ def score_percentiles(spark, sf_dir):
 @query("calibration")
 def calibration(spark, sf_dir):
     return round_doubles(metrics.calibration_table(_preds(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- scans and sinks
+
+@query("ingest_history")
+def ingest_history(spark, sf_dir):
+    """Parquet parts copied into the canonical layer as 8 files and read back."""
+    out, _ = io.ingest_parquet(spark, f"{sf_dir}/lineitem.parquet", work_path(spark, "history"), 8)
+    return out
+
+
+@query("ingest_target")
+def ingest_target(spark, sf_dir):
+    """The target as CSV (written by Spark from orders), loaded with its declared schema."""
+    csv = work_path(spark, "target-csv")
+    io.write_counted(B.orders_target(spark, sf_dir), csv, fmt="csv", header=True)
+    out, _ = io.ingest_target(spark, csv, work_path(spark, "target"), io.target_schema())
+    return out
+
+
+@query("ingest_counts")
+def ingest_counts(spark, sf_dir):
+    """Rows written by each ingest, counted during the write."""
+    _, n_hist = io.ingest_parquet(spark, f"{sf_dir}/lineitem.parquet", work_path(spark, "history"), 8)
+    _, n_tgt = io.ingest_parquet(spark, f"{sf_dir}/orders.parquet", work_path(spark, "orders"), 2)
+    return spark.createDataFrame([("lineitem", n_hist), ("orders", n_tgt)], "table_name string, rows long")
+
+
+@query("mart_materialized")
+def mart_materialized(spark, sf_dir):
+    """The labelled mart computed once, written as 8 files, copied from the written table."""
+    out, _ = io.materialize(spark, client_mart(spark, sf_dir), work_path(spark, "mart"), 8,
+                            copy_path=work_path(spark, "mart-copy"))
+    return out
+
+
+@query("compact_types")
+def compact_types(spark, sf_dir):
+    """The written mart read back as one multi-file scan and narrowed to float/int."""
+    out, _ = io.materialize(spark, mart_base(spark, sf_dir), work_path(spark, "mart-base"), 4)
+    return io.compact_types(out)
+
+
+@query("submission_csv")
+def submission_csv(spark, sf_dir):
+    """Scores sorted by id into a headed CSV and scanned back."""
+    path = work_path(spark, "submission")
+    io.write_submission_csv(B.orders_scores(spark, sf_dir), path)
+    return io.read_submission_csv(spark, path)
+
+
+@query("predictions_sink")
+def predictions_sink(spark, sf_dir):
+    path = work_path(spark, "predictions")
+    io.write_predictions(B.orders_predictions(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("report_json")
+def report_json(spark, sf_dir):
+    """The metric record written as JSON and read back."""
+    path = work_path(spark, "report")
+    io.write_report(metrics.metric_record(B.orders_predictions(spark, sf_dir), "price_share"), path)
+    return io.read_report(spark, path)
+
+
+# ---------------------------------------------------------------- gates (Q1-Q13)
+
+@query("gate_format")
+def gate_format(spark, sf_dir):
+    path = work_path(spark, "submission")
+    io.write_submission_csv(B.orders_scores(spark, sf_dir), path)
+    return gates.format_check(io.read_submission_csv(spark, path))
+
+
+@query("gate_rows")
+def gate_rows(spark, sf_dir):
+    return gates.row_counts(B.history_client_scores(spark, sf_dir), B.orders_target(spark, sf_dir))
+
+
+@query("gate_duplicates")
+def gate_duplicates(spark, sf_dir):
+    return gates.duplicate_count(B.line_grain_scores(spark, sf_dir))
+
+
+@query("gate_missing_ids")
+def gate_missing_ids(spark, sf_dir):
+    return gates.missing_ids(B.history_client_scores(spark, sf_dir), B.orders_target(spark, sf_dir))
+
+
+@query("gate_extra_ids")
+def gate_extra_ids(spark, sf_dir):
+    return gates.extra_ids(B.orders_scores(spark, sf_dir), B.history_clients(spark, sf_dir))
+
+
+@query("gate_score_values")
+def gate_score_values(spark, sf_dir):
+    return gates.score_values(B.unscaled_scores(spark, sf_dir))
+
+
+@query("gate_unique_ratio")
+def gate_unique_ratio(spark, sf_dir):
+    full = gates.unique_ratio(B.orders_scores(spark, sf_dir))
+    floored = gates.unique_ratio(B.orders_predictions(spark, sf_dir), score="y_score")
+    return (full.select(F.lit("score").alias("part"), "unique_ratio")
+            .unionByName(floored.select(F.lit("floored").alias("part"), "unique_ratio")))
+
+
+@query("gate_drift")
+def gate_drift(spark, sf_dir):
+    return round_doubles(gates.mean_drift(B.orders_scores(spark, sf_dir), B.orders_predictions(spark, sf_dir)))
+
+
+@query("gate_report")
+def gate_report(spark, sf_dir):
+    rep = gates.gate_report(B.history_client_scores(spark, sf_dir), B.orders_target(spark, sf_dir),
+                            B.orders_predictions(spark, sf_dir))
+    return round_doubles(rep)
+
+
+@query("gates_no_valid")
+def gates_no_valid(spark, sf_dir):
+    """Without validation scores the drift check is skipped with a warning."""
+    return gates.gate_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir), None)

@@ -87,3 +87,30 @@ def orders_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, score) for every order: the submission of a model that ranks by order value."""
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("id"), _price_share(o).alias("score"))
+
+
+# Gate scenarios. Each is a realistic defect that the data itself produces, not an injected one:
+# scoring only the clients that have a history misses the orders without lines; scoring at line grain
+# repeats ids; an unscaled linear score leaves [0, 1].
+
+def history_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keys of history A (orders that have at least one line)."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")).distinct()
+
+
+def history_client_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_scores(spark, sf_dir).join(history_clients(spark, sf_dir), "id", "left_semi")
+
+
+def line_grain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    top = li.select(F.max("l_extendedprice")).scalar()
+    return li.select(F.col("l_orderkey").alias("id"), (F.col("l_extendedprice") / top).alias("score"))
+
+
+def unscaled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised order value: a linear score that was never squashed into [0, 1]."""
+    o = table(spark, sf_dir, "orders")
+    mean = o.select(F.avg("o_totalprice")).scalar()
+    sd = o.select(F.stddev_samp("o_totalprice")).scalar()
+    return o.select(F.col("o_orderkey").alias("id"), ((F.col("o_totalprice") - mean) / sd).alias("score"))
