@@ -31,6 +31,12 @@ def class_totals(preds: DataFrame, label: str = "y_true", score: str = "y_score"
     return pos, neg
 
 
+def curve_totals(curve: DataFrame) -> tuple[Column, Column]:
+    """P and N read off the (checkpointed, hence deterministic) score curve."""
+    return (curve.select(F.coalesce(F.sum("pos"), F.lit(0))).scalar(),
+            curve.select(F.coalesce(F.sum("neg"), F.lit(0))).scalar())
+
+
 def score_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """Distinct scores, descending: score, pos, neg, tps, fps (counts at or above the score)."""
     groups = (_valid(preds, score).groupBy(score)
@@ -42,16 +48,16 @@ def score_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score")
 
 def roc_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """One point per distinct score (W4); sklearn also drops collinear points and adds a start point."""
-    pos, neg = class_totals(preds, label, score)
     c = score_curve(preds, label, score)
+    pos, neg = curve_totals(c)
     return c.select(F.col(score).alias("threshold"), "tps", "fps",
                     ratio(F.col("tps"), pos).alias("tpr"), ratio(F.col("fps"), neg).alias("fpr"))
 
 
 def pr_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """Precision and recall at each distinct score."""
-    pos, _ = class_totals(preds, label, score)
     c = score_curve(preds, label, score)
+    pos, _ = curve_totals(c)
     return c.select(F.col(score).alias("threshold"),
                     ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
                     ratio(F.col("tps"), pos).alias("recall"))
@@ -59,8 +65,8 @@ def pr_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") ->
 
 def ks_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """Class CDFs at each distinct score, ascending (W3): share of each class at or below the score."""
-    pos, neg = class_totals(preds, label, score)
     c = score_curve(preds, label, score)
+    pos, neg = curve_totals(c)
     below_pos = pos - F.col("tps") + F.col("pos")
     below_neg = neg - F.col("fps") + F.col("neg")
     return c.select(score, ratio(below_pos, pos).alias("cdf_pos"), ratio(below_neg, neg).alias("cdf_neg"))
@@ -69,8 +75,8 @@ def ks_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") ->
 def ranking_metrics(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """One row: roc_auc (ties count one half, M11), gini (F9), average_precision (step sum, M12), ks and
     ks_threshold (first maximum of TPR-FPR in descending score order, M13/O5). NULL with one class."""
-    pos, neg = class_totals(preds, label, score)
     c = score_curve(preds, label, score)
+    pos, neg = curve_totals(c)
     p, n = pos.cast(DEC), neg.cast(DEC)
     tps, fps = F.col("tps").cast(DEC), F.col("fps").cast(DEC)
     gp, gn = F.col("pos").cast(DEC), F.col("neg").cast(DEC)

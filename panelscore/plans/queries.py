@@ -7,10 +7,11 @@ on both sides, because the order of summation differs between the engines.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import fold, gates, metrics, profile, split
+from ..operators import fold, gates, metrics, models, profile, split
 from ..session import work_path
 from ..sources import bindings as B
 from ..sources import io
@@ -371,3 +372,103 @@ def gate_report(spark, sf_dir):
 def gates_no_valid(spark, sf_dir):
     """Without validation scores the drift check is skipped with a warning."""
     return gates.gate_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir), None)
+
+
+# ---------------------------------------------------------------- models
+# Rows-only checks: model scores have no SQL oracle. Boosted models run at most 10 rounds here.
+
+ML_ROUNDS = 10
+
+
+def _ml_input(spark, sf_dir) -> DataFrame:
+    """The labelled mart with the hash split, written once and read back (S7) for iterative training."""
+    mart = fold.fold_history(B.lineitem_history(spark, sf_dir), B.LINEITEM_SPEC)
+    labelled = split.hash_split(label_mart(mart, B.orders_target(spark, sf_dir))).drop("u")
+    out, _ = io.materialize(spark, labelled, work_path(spark, "ml-input"), 8)
+    return out
+
+
+def _features(df):
+    return models.model_features(df, exclude=("is_valid",))
+
+
+def _baseline(spark, sf_dir):
+    data = _ml_input(spark, sf_dir)
+    train = split.with_class_weights(data.where(~F.col("is_valid")), counted_on=data)  # before the split (D4)
+    return models.baseline_pipeline(_features(data)).fit(train), data.where(F.col("is_valid")), data
+
+
+def _gbt(spark, sf_dir, params):
+    data = _ml_input(spark, sf_dir)
+    model = models.gbt_pipeline(_features(data), params=params, validation_col="is_valid",
+                                maxIter=ML_ROUNDS).fit(data)
+    return model, data.where(F.col("is_valid")), data
+
+
+@query("assemble")
+def assemble(spark, sf_dir):
+    data = _ml_input(spark, sf_dir)
+    out = models.assemble(data, _features(data))
+    return out.select("id", vector_to_array("features").alias("features"))
+
+
+@query("baseline_scores")
+def baseline_scores(spark, sf_dir):
+    model, valid, _ = _baseline(spark, sf_dir)
+    return models.score(model, valid)
+
+
+@query("mllib_metrics")
+def mllib_metrics(spark, sf_dir):
+    model, valid, _ = _baseline(spark, sf_dir)
+    m = models.binned_metrics(model, valid)
+    return spark.createDataFrame([(m["roc_auc"], m["gini"], m["pr_auc_trapezoid"], valid.count())],
+                                 "roc_auc double, gini double, pr_auc_trapezoid double, valid_rows long")
+
+
+@query("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    model, valid, _ = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
+    return models.score(model, valid)
+
+
+@query("gbt2_scores")
+def gbt2_scores(spark, sf_dir):
+    model, valid, _ = _gbt(spark, sf_dir, models.COMPARISON_PARAMS)
+    return models.score(model, valid)
+
+
+@query("score_test")
+def score_test(spark, sf_dir):
+    """Scores for clients without a label (the test role: orders with history whose flag is unknown to
+    the model), in training column order (P3, M9), as a submission (id, score)."""
+    model, _, data = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
+    return models.score(model, data.drop("flag"), label=None, out="score").orderBy("id")
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    model, _, data = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
+    return models.feature_importance(model, _features(data), top=30)
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """Saved and reloaded pipeline scores the validation rows identically."""
+    model, valid, _ = _baseline(spark, sf_dir)
+    path = work_path(spark, "baseline-model")
+    models.save_model(model, path)
+    before = models.score(model, valid, out="before")
+    after = models.score(models.load_model(path), valid, label=None, out="after")
+    return before.join(after, "id").select("id", "before", "after", (F.col("before") == F.col("after")).alias("same"))
+
+
+@query("model_comparison")
+def model_comparison(spark, sf_dir):
+    """Exact metric rows of the three models on the same hash-split validation rows."""
+    base, valid, _ = _baseline(spark, sf_dir)
+    primary, _, _ = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
+    second, _, _ = _gbt(spark, sf_dir, models.COMPARISON_PARAMS)
+    records = [(name, metrics.metric_record(models.score(m, valid), name)) for name, m in
+               (("logistic_regression", base), ("gbt_comparison", second), ("gbt_primary", primary))]
+    return models.comparison(records)

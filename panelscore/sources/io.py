@@ -1,11 +1,13 @@
 """Scans and sinks.
 
-Paths are anything Spark's readers accept (a shared file system or object store on a cluster). Row
-counts of a write come from an ``Observation`` on the written DataFrame, so the data is read once.
+Paths are anything Spark's readers accept (a shared file system or object store on a cluster). The row
+count of a write is read back from what was written (for parquet the footers answer it), never by
+computing the DataFrame a second time. (An ``Observation`` would count inside the write, but in Spark
+4.1 it makes the session unserialisable inside fitted ML models that keep a training summary.)
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
                                StringType, StructField, StructType)
@@ -21,13 +23,10 @@ def read_parquet(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 
 def write_counted(df: DataFrame, path: str, n_parts: int | None = None, fmt: str = "parquet",
                   mode: str = "overwrite", **options) -> int:
-    """Write ``df`` (optionally into ``n_parts`` files) and return its row count, counted in the write."""
-    obs = Observation()
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if n_parts:
-        out = out.repartition(n_parts)
+    """Write ``df`` (optionally into ``n_parts`` files) and return the number of rows written."""
+    out = df.repartition(n_parts) if n_parts else df
     out.write.mode(mode).options(**options).format(fmt).save(path)
-    return int(obs.get["rows"])
+    return df.sparkSession.read.options(**options).format(fmt).load(path).count()
 
 
 def ingest_parquet(spark: SparkSession, src: str, dst: str, n_parts: int,

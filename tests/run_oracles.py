@@ -34,7 +34,7 @@ def main(argv):
             else:
                 ok, msg = True, f"rows-only: {df.count()} rows, columns {df.columns}"
         except Exception as e:  # report and continue
-            ok, msg = False, f"{type(e).__name__}: {str(e)[:600]}"
+            ok, msg = False, f"{type(e).__name__}: {str(e)[:3000]}"
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {k:28s} {time.time() - t:6.1f}s {msg}", flush=True)
     print(f"{bad} failing")
