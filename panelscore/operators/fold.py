@@ -48,7 +48,7 @@ class FoldSpec:
         missing = [c for c in (self.key, self.seq, *self.trend, *self.recent) if c not in df.columns]
         if missing:
             raise ValueError(f"history lacks columns {missing}")
-        if self.recent and not 1 <= self.recent_n - 1 < self.segment:
+        if self.recent and not 1 <= self.recent_n <= self.segment:
             raise ValueError("recent_n must be at least 1 and at most segment")
 
 
