@@ -13,6 +13,12 @@ group. A second, small aggregate combines the per-segment summaries of each key:
 ``first(segment) - last(previous segment)``, and rows of the recent-N range that lie just below a segment
 border are copied ("carried") into the next segment, so that the recent mean is complete in the key's
 highest segment. The result is exact; it needs (key, sequence) to be unique (``duplicate_sequences``).
+
+Plan choice (``strategy="auto"``). The segmented plan costs a second, mart-sized shuffle. So the largest
+number of rows under one key is measured first (a one-column scan and a narrow aggregate; one number
+reaches the driver). If no key has more than ``segment`` rows, every per-key window group is proven
+small and the single-window plan runs: one exchange on the key, one sort, one window, one aggregate
+(SURVEY T1). Otherwise the segmented plan runs. Both give identical results.
 """
 from __future__ import annotations
 
@@ -109,10 +115,55 @@ def _segment_summaries(history: DataFrame, spec: FoldSpec, feats: list[str]) ->
     return stepped.groupBy(key, "_seg").agg(*aggs).where(F.col("_rows") > 0)
 
 
-def fold_history(history: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
-    """The client mart (A17): one row per key, columns in the reference's order."""
+def largest_key(history: DataFrame, key: str = "id") -> int:
+    """Rows under the most frequent key (0 for an empty history)."""
+    counts = history.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.max("_n")).first()[0] or 0
+
+
+def choose_strategy(history: DataFrame, spec: FoldSpec) -> str:
+    return "single" if largest_key(history, spec.key) <= spec.segment else "segmented"
+
+
+def fold_history(history: DataFrame, spec: FoldSpec = FoldSpec(), strategy: str = "auto") -> DataFrame:
+    """The client mart (A17): one row per key, columns in the reference's order.
+
+    ``strategy``: "auto" (measure, then choose), "single" (one window per key; only for histories whose
+    keys are known to be small) or "segmented" (skew-safe)."""
     spec.check(history)
     feats = spec.feature_list(history)
+    if strategy == "auto":
+        strategy = choose_strategy(history, spec)
+    if strategy == "single":
+        return _fold_single(history, spec, feats)
+    if strategy != "segmented":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return _fold_segmented(history, spec, feats)
+
+
+def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
+    """The reference's formulation: one window spec (LAG and the key's highest sequence number share its
+    sort, T1) and one aggregate on the same key, hence a single exchange."""
+    key, seq = spec.key, F.col(spec.seq)
+    w = Window.partitionBy(key).orderBy(spec.seq)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    extra = {f"_d_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend}
+    if spec.recent:
+        extra["_max_seq"] = F.max(seq).over(whole)
+    stepped = history.withColumns(extra)
+    out = []
+    for c in feats:
+        out += [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"),
+                F.max_by(F.col(c), seq).alias(f"{c}_last")]
+    out.append(F.count(F.lit(1)).alias(f"{spec.seq}_cnt"))
+    out += [F.coalesce(F.avg(f"_d_{c}"), F.lit(0.0)).alias(f"{c}_trend") for c in spec.trend]
+    in_range = seq > F.col("_max_seq") - F.lit(spec.recent_n)
+    out += [F.avg(F.when(in_range, F.col(c).cast("double"))).alias(f"{c}_recent{spec.recent_n}")
+            for c in spec.recent]
+    return stepped.groupBy(key).agg(*out)
+
+
+def _fold_segmented(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
     key = spec.key
     segs = _segment_summaries(history, spec, feats)
     by_seg = Window.partitionBy(key).orderBy("_seg")
@@ -134,15 +185,22 @@ def fold_history(history: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
     return segs.groupBy(key).agg(*out)
 
 
-def with_steps(history: DataFrame, spec: FoldSpec = FoldSpec()) -> DataFrame:
+def with_steps(history: DataFrame, spec: FoldSpec = FoldSpec(), strategy: str = "auto") -> DataFrame:
     """Row-level extension (P2, W1, W2): every history column plus ``{seq}_max`` (the key's highest
     sequence number) and ``{c}_step`` = c - LAG(c) for the trend columns.
 
-    Same segmentation as the fold: LAG runs inside (key, segment); the first row of a segment takes the
-    last value of the previous segment from a per-segment table joined on (key, segment).
+    Same plan choice as the fold. Segmented: LAG runs inside (key, segment); the first row of a segment
+    takes the last value of the previous segment from a per-segment table joined on (key, segment).
     """
     spec.check(history)
     key, seq = spec.key, spec.seq
+    if strategy == "auto":
+        strategy = choose_strategy(history, spec)
+    if strategy == "single":
+        w = Window.partitionBy(key).orderBy(seq)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return history.select(*history.columns, F.max(seq).over(whole).alias(f"{seq}_max"),
+                              *[(F.col(c) - F.lag(c).over(w)).alias(f"{c}_step") for c in spec.trend])
     rows = _segmented(history, spec, carry=0)
     w = Window.partitionBy(key, "_seg").orderBy(seq)
     stepped = rows.withColumns({"_prev_seq": F.lag(seq).over(w),

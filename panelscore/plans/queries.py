@@ -65,7 +65,7 @@ def mart_segmented(spark, sf_dir):
     """The same mart with 4-number segments, so most orders span several segments (skew path)."""
     spec = fold.FoldSpec(key="id", seq="rn", trend=("qty", "disc"), recent=("qty", "disc", "rflag"),
                          recent_n=3, segment=4)
-    return round_doubles(fold.fold_history(B.lineitem_history(spark, sf_dir), spec))
+    return round_doubles(fold.fold_history(B.lineitem_history(spark, sf_dir), spec, strategy="segmented"))
 
 
 @query("history_steps")
@@ -74,6 +74,14 @@ def history_steps(spark, sf_dir):
         "id", "rn", "qty", "disc", "rn_max", "qty_step", "disc_step")
 
 
+@query("history_steps_segmented")
+def history_steps_segmented(spark, sf_dir):
+    """Row-level steps through the skew-safe plan, 4-number segments."""
+    spec = fold.FoldSpec(key="id", seq="rn", trend=("qty", "disc"), recent=(), segment=4)
+    return fold.with_steps(B.lineitem_history(spark, sf_dir), spec, strategy="segmented").select(
+        "id", "rn", "qty", "disc", "rn_max", "qty_step", "disc_step")
+
+
 @query("events_mart")
 def events_mart(spark, sf_dir):
     """History B: event streams per user folded with the same operator."""

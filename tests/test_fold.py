@@ -73,11 +73,13 @@ def _random_history(seed, keys=6, hot=400):
     return rows
 
 
-@pytest.mark.parametrize("segment", [3, 4, 7, 64, 1 << 16])
-def test_segmented_fold_equals_brute_force(spark, segment):
+@pytest.mark.parametrize("segment,strategy", [(3, "segmented"), (4, "segmented"), (7, "segmented"),
+                                              (64, "segmented"), (1 << 16, "segmented"), (1 << 16, "single"),
+                                              (4, "auto"), (1 << 16, "auto")])
+def test_fold_equals_brute_force(spark, segment, strategy):
     rows = _random_history(segment)
     spec = FoldSpec(key="id", seq="rn", trend=("c",), recent=("c",), recent_n=3, segment=segment)
-    got = {r["id"]: r.asDict() for r in fold_history(_hist(spark, rows), spec).collect()}
+    got = {r["id"]: r.asDict() for r in fold_history(_hist(spark, rows), spec, strategy).collect()}
     want = _brute(rows)
     assert set(got) == set(want)
     for k, w in want.items():
@@ -101,11 +103,13 @@ def test_hot_key_groups_stay_bounded(spark):
     assert math.isclose(r[1]["c_trend"], (5000 % 7 - 1) / 4999)
 
 
-@pytest.mark.parametrize("segment", [2, 5, 1 << 16])
-def test_steps_equal_lag(spark, segment):
+@pytest.mark.parametrize("segment,strategy", [(2, "segmented"), (5, "segmented"), (1 << 16, "segmented"),
+                                              (1 << 16, "single")])
+def test_steps_equal_lag(spark, segment, strategy):
     rows = _random_history(11, hot=50)
     spec = FoldSpec(key="id", seq="rn", trend=("c",), recent=(), segment=segment)
-    got = {(r["id"], r["rn"]): (r["rn_max"], r["c_step"]) for r in with_steps(_hist(spark, rows), spec).collect()}
+    got = {(r["id"], r["rn"]): (r["rn_max"], r["c_step"])
+           for r in with_steps(_hist(spark, rows), spec, strategy).collect()}
     df = pd.DataFrame(rows, columns=["id", "rn", "c"]).sort_values(["id", "rn"])
     df["step"] = df["c"].astype("float") - df.groupby("id")["c"].shift(1).astype("float")
     df["mx"] = df.groupby("id")["rn"].transform("max")
@@ -120,3 +124,10 @@ def test_labelled_mart_is_inner(spark):
     mart = fold_history(_hist(spark, [(1, 1, 1), (2, 1, 1)]), SPEC)
     target = spark.createDataFrame([(1, 0), (3, 1)], "id long, flag int")
     assert [r["id"] for r in label_mart(mart, target).collect()] == [1]
+
+
+def test_auto_strategy_follows_the_largest_key(spark):
+    from panelscore.operators.fold import choose_strategy
+    rows = [(1, i, 0) for i in range(1, 11)] + [(2, 1, 0)]
+    assert choose_strategy(_hist(spark, rows), FoldSpec(trend=(), recent=(), segment=10)) == "single"
+    assert choose_strategy(_hist(spark, rows), FoldSpec(trend=(), recent=(), segment=9)) == "segmented"
