@@ -18,28 +18,31 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def with_global_rank(df: DataFrame, order_cols: list[str], out: str = "rank",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """``row_number() over (order by order_cols)`` computed in parallel.
 
     Range partitioning splits even a single hot leading key over several tasks. Inside a partition the
     position comes from ``monotonically_increasing_id`` (row index in the lower 33 bits) after a local
     sort; partition offsets come from one count per partition. The partitioned table is checkpointed so
     that the counts and the positions come from the same assignment of rows, even after a lost executor.
-    ``order_cols`` must be a total order (unique tuples) for the rank to be deterministic.
+    ``order_cols`` must be a total order (unique tuples) for the rank to be deterministic. ``keep`` lists
+    the columns to return (default: all); the others are dropped before the checkpoint is written.
     """
     checkpoint_dir(df.sparkSession)
     k = _partitions(df, partitions)
+    cols = list(keep) if keep is not None else df.columns
     placed = (df.repartitionByRange(k, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_part").cast("long"), 33))
+              .select(*cols, "_part", "_pos")
               .checkpoint())
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (placed.join(F.broadcast(offsets), "_part")
-            .select(*df.columns, (F.col("_off") + F.col("_pos") + 1).alias(out)))
+            .select(*cols, (F.col("_off") + F.col("_pos") + 1).alias(out)))
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True,

@@ -15,6 +15,7 @@ from ..operators import fold, gates, metrics, models, profile, split
 from ..session import work_path
 from ..sources import bindings as B
 from ..sources import io
+from . import reports
 
 REGISTRY: dict = {}
 
@@ -480,3 +481,22 @@ def model_comparison(spark, sf_dir):
     records = [(name, metrics.metric_record(models.score(m, valid), name)) for name, m in
                (("logistic_regression", base), ("gbt_comparison", second), ("gbt_primary", primary))]
     return models.comparison(records)
+
+
+# ---------------------------------------------------------------- reports in the reference's shapes
+
+@query("eda_report")
+def eda_report(spark, sf_dir):
+    return reports.eda_report(_lines(spark, sf_dir), B.orders_target(spark, sf_dir),
+                              list(B.LINEITEM_FEATURES), ["rflag", "disc"])
+
+
+@query("metrics_report")
+def metrics_report(spark, sf_dir):
+    return reports.metrics_report(B.orders_predictions(spark, sf_dir), "price_share")
+
+
+@query("submission_report")
+def submission_report(spark, sf_dir):
+    return reports.submission_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir),
+                                     B.orders_predictions(spark, sf_dir))

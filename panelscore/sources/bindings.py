@@ -51,7 +51,7 @@ def lineitem_history(spark: SparkSession, sf_dir: str, sparse: bool = False) ->
     coded = lineitem_coded(spark, sf_dir)
     if sparse:
         coded = coded.withColumns({"disc": F.expr("nullif(disc, 0)"), "tax": F.expr("nullif(tax, 0)")})
-    ranked = with_global_rank(coded, list(LINEITEM_ORDER), out="rn")
+    ranked = with_global_rank(coded, list(LINEITEM_ORDER), out="rn", keep=["id", *LINEITEM_FEATURES])
     return ranked.select("id", "rn", *LINEITEM_FEATURES)
 
 
@@ -60,7 +60,7 @@ def events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = F.array(*[F.lit(t) for t in EVENT_TYPES])
     coded = ev.select(F.col("user_id").alias("id"), "ts", "event_id", "value",
                       F.array_position(codes, F.col("event_type")).cast("int").alias("etype"))
-    ranked = with_global_rank(coded, ["id", "ts", "event_id"], out="rn")
+    ranked = with_global_rank(coded, ["id", "ts", "event_id"], out="rn", keep=["id", "value", "etype"])
     return ranked.select("id", "rn", "value", "etype")
 
 

@@ -24,7 +24,8 @@ def test_every_query_has_a_check():
     # only the model operators lack SQL: their scores come from trained models
     assert set(ROWS_ONLY) <= {"assemble", "baseline_scores", "mllib_metrics", "gbt_scores", "gbt2_scores",
                               "score_test", "feature_importance", "model_roundtrip", "model_comparison",
-                              "random_split", "report_json", "gate_format", "gates_no_valid"}
+                              "random_split", "report_json", "gate_format", "gates_no_valid",
+                              "eda_report", "metrics_report", "submission_report"}
 
 
 def test_entry_smoke(spark):
