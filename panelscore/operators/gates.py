@@ -49,13 +49,15 @@ def duplicate_count(sub: DataFrame, key: str = "id") -> DataFrame:
 
 
 def missing_ids(sub: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
-    """Distinct target keys without a score."""
-    return target.select(key).distinct().join(sub.select(key), key, "left_anti")
+    """Distinct target keys without a score. Both sides are de-duplicated first (map-side), so
+    a key repeated a billion times reaches the join once per task."""
+    return target.select(key).distinct().join(sub.select(key).distinct(), key, "left_anti")
 
 
 def extra_ids(sub: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
     """Distinct submission keys that are not in the target."""
-    return sub.select(key).where(F.col(key).isNotNull()).distinct().join(target.select(key), key, "left_anti")
+    return (sub.select(key).where(F.col(key).isNotNull()).distinct()
+            .join(target.select(key).distinct(), key, "left_anti"))
 
 
 def score_values(sub: DataFrame, score: str = "score") -> DataFrame:

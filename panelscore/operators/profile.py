@@ -6,7 +6,7 @@ taken after a per-key pre-aggregate, so a key with a third of all rows reaches t
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
@@ -15,8 +15,7 @@ from ..functions.numeric import ratio
 def class_balance(target: DataFrame, label: str = "flag") -> DataFrame:
     """Rows per class and their share of all rows in percent (A1, A2), ordered by class."""
     counts = target.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # the window runs over the aggregate: one row per class
-    total = F.sum("n").over(Window.partitionBy())
+    total = target.select(F.count(F.lit(1))).scalar()
     return counts.select(label, "n", (F.col("n") * F.lit(100.0) / total).alias("share_pct")).orderBy(label)
 
 
@@ -87,10 +86,11 @@ def code_distribution(history: DataFrame, target: DataFrame, code_col: str, key:
               .pivot(label, [0, 1]).agg(F.sum("_n")))
     counts = counts.select("code", F.coalesce(F.col("0"), F.lit(0)).cast("long").alias("n_neg"),
                            F.coalesce(F.col("1"), F.lit(0)).cast("long").alias("n_pos"))
-    every = Window.partitionBy()  # over the per-code table: one row per distinct code
+    tot_neg = counts.select(F.sum("n_neg")).scalar()
+    tot_pos = counts.select(F.sum("n_pos")).scalar()
     return (counts.select(F.lit(code_col).alias("feature"), "code", "n_neg", "n_pos",
-                          (F.col("n_neg") * F.lit(100.0) / F.sum("n_neg").over(every)).alias("neg_pct"),
-                          (F.col("n_pos") * F.lit(100.0) / F.sum("n_pos").over(every)).alias("pos_pct"))
+                          (F.col("n_neg") * F.lit(100.0) / tot_neg).alias("neg_pct"),
+                          (F.col("n_pos") * F.lit(100.0) / tot_pos).alias("pos_pct"))
             .orderBy("code"))
 
 
