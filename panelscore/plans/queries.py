@@ -319,8 +319,9 @@ def predictions_sink(spark, sf_dir):
 def report_json(spark, sf_dir):
     """The metric record written as JSON and read back."""
     path = work_path(spark, "report")
-    io.write_report(metrics.metric_record(B.orders_predictions(spark, sf_dir), "price_share"), path)
-    return io.read_report(spark, path)
+    record = round_doubles(metrics.metric_record(B.orders_predictions(spark, sf_dir), "price_share"))
+    io.write_report(record, path)
+    return io.read_report(spark, path, record.schema)
 
 
 # ---------------------------------------------------------------- gates (Q1-Q13)
@@ -380,7 +381,7 @@ def gate_report(spark, sf_dir):
 @query("gates_no_valid")
 def gates_no_valid(spark, sf_dir):
     """Without validation scores the drift check is skipped with a warning."""
-    return gates.gate_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir), None)
+    return round_doubles(gates.gate_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir), None))
 
 
 # ---------------------------------------------------------------- models
