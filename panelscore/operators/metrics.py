@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..session import checkpoint_dir
 from .ordered import running_totals
 
 DEC = "decimal(38,0)"
@@ -31,33 +32,33 @@ def class_totals(preds: DataFrame, label: str = "y_true", score: str = "y_score"
     return pos, neg
 
 
-def curve_totals(curve: DataFrame) -> tuple[Column, Column]:
-    """P and N read off the (checkpointed, hence deterministic) score curve."""
-    return (curve.select(F.coalesce(F.sum("pos"), F.lit(0))).scalar(),
-            curve.select(F.coalesce(F.sum("neg"), F.lit(0))).scalar())
+def score_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score"):
+    """Distinct scores, descending: score, pos, neg, tps, fps (counts at or above the score); with P and N.
 
-
-def score_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
-    """Distinct scores, descending: score, pos, neg, tps, fps (counts at or above the score)."""
+    The per-score groups are checkpointed once; P and N are one scalar subquery over them (deterministic
+    even when the predictions come from a model)."""
+    checkpoint_dir(preds.sparkSession)
     groups = (_valid(preds, score).groupBy(score)
               .agg(F.sum(F.col(label).cast("long")).alias("pos"),
-                   (F.count(F.lit(1)) - F.sum(F.col(label).cast("long"))).alias("neg")))
-    cum = running_totals(groups, score, ["pos", "neg"], descending=True, prefix="c_")
-    return cum.select(score, "pos", "neg", F.col("c_pos").alias("tps"), F.col("c_neg").alias("fps"))
+                   (F.count(F.lit(1)) - F.sum(F.col(label).cast("long"))).alias("neg"))
+              .checkpoint())
+    tot = groups.select(F.struct(F.coalesce(F.sum("pos"), F.lit(0)).alias("p"),
+                                 F.coalesce(F.sum("neg"), F.lit(0)).alias("n"))).scalar()
+    cum = running_totals(groups, score, ["pos", "neg"], descending=True, prefix="c_", materialized=True)
+    curve = cum.select(score, "pos", "neg", F.col("c_pos").alias("tps"), F.col("c_neg").alias("fps"))
+    return curve, tot.getField("p"), tot.getField("n")
 
 
 def roc_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """One point per distinct score (W4); sklearn also drops collinear points and adds a start point."""
-    c = score_curve(preds, label, score)
-    pos, neg = curve_totals(c)
+    c, pos, neg = score_curve(preds, label, score)
     return c.select(F.col(score).alias("threshold"), "tps", "fps",
                     ratio(F.col("tps"), pos).alias("tpr"), ratio(F.col("fps"), neg).alias("fpr"))
 
 
 def pr_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """Precision and recall at each distinct score."""
-    c = score_curve(preds, label, score)
-    pos, _ = curve_totals(c)
+    c, pos, _ = score_curve(preds, label, score)
     return c.select(F.col(score).alias("threshold"),
                     ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
                     ratio(F.col("tps"), pos).alias("recall"))
@@ -65,8 +66,7 @@ def pr_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") ->
 
 def ks_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """Class CDFs at each distinct score, ascending (W3): share of each class at or below the score."""
-    c = score_curve(preds, label, score)
-    pos, neg = curve_totals(c)
+    c, pos, neg = score_curve(preds, label, score)
     below_pos = pos - F.col("tps") + F.col("pos")
     below_neg = neg - F.col("fps") + F.col("neg")
     return c.select(score, ratio(below_pos, pos).alias("cdf_pos"), ratio(below_neg, neg).alias("cdf_neg"))
@@ -75,8 +75,7 @@ def ks_curve(preds: DataFrame, label: str = "y_true", score: str = "y_score") ->
 def ranking_metrics(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """One row: roc_auc (ties count one half, M11), gini (F9), average_precision (step sum, M12), ks and
     ks_threshold (first maximum of TPR-FPR in descending score order, M13/O5). NULL with one class."""
-    c = score_curve(preds, label, score)
-    pos, neg = curve_totals(c)
+    c, pos, neg = score_curve(preds, label, score)
     p, n = pos.cast(DEC), neg.cast(DEC)
     tps, fps = F.col("tps").cast(DEC), F.col("fps").cast(DEC)
     gp, gn = F.col("pos").cast(DEC), F.col("neg").cast(DEC)
@@ -162,10 +161,11 @@ def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     Distinct values with their counts get running totals; each wanted order statistic is found by a
     range condition against a broadcast table of at most 2 * len(probs) ranks; then numpy's index and
     interpolation formulas are applied as they are."""
+    checkpoint_dir(df.sparkSession)
     v = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(F.col(col).cast("double").alias("x"))
-    n = v.select(F.count(F.lit(1))).scalar()
-    counts = v.groupBy("x").agg(F.count(F.lit(1)).alias("k"))
-    cum = running_totals(counts, "x", ["k"], descending=False, prefix="c_")
+    counts = v.groupBy("x").agg(F.count(F.lit(1)).alias("k")).checkpoint()
+    n = counts.select(F.coalesce(F.sum("k"), F.lit(0))).scalar()
+    cum = running_totals(counts, "x", ["k"], descending=False, prefix="c_", materialized=True)
     spark = df.sparkSession
     q = spark.createDataFrame([(float(p),) for p in probs], "p double")
     # numpy 'linear': virtual index = (n - 1) * q; previous = floor; gamma = index - previous
@@ -174,10 +174,11 @@ def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
         "p", "vidx", F.greatest(F.least(F.floor("vidx"), n - 1), F.lit(0)).cast("long").alias("lo"))
     q = q.select("p", (F.col("vidx") - F.floor("vidx")).alias("gamma"), "lo",
                  F.least(F.col("lo") + 1, n - 1).alias("hi"))
-    ranks = (q.select("p", F.lit("a").alias("side"), F.col("lo").alias("r"))
-             .unionByName(q.select("p", F.lit("b").alias("side"), F.col("hi").alias("r"))))
+    ranks = (q.select("p", F.lit(True).alias("lower"), F.col("lo").alias("r"))
+             .unionByName(q.select("p", F.lit(False).alias("lower"), F.col("hi").alias("r"))))
     hit = cum.join(F.broadcast(ranks), (F.col("r") >= F.col("c_k") - F.col("k")) & (F.col("r") < F.col("c_k")))
-    stats = hit.groupBy("p").pivot("side", ["a", "b"]).agg(F.first("x"))
+    stats = hit.groupBy("p").agg(F.max(F.when(F.col("lower"), F.col("x"))).alias("a"),
+                                 F.max(F.when(~F.col("lower"), F.col("x"))).alias("b"))
     a, b = F.col("a"), F.col("b")
     g = F.col("gamma")
     diff = b - a

@@ -46,16 +46,17 @@ def with_global_rank(df: DataFrame, order_cols: list[str], out: str = "rank",
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True,
-                   prefix: str = "cum_", buckets: int | None = None) -> DataFrame:
+                   prefix: str = "cum_", buckets: int | None = None, materialized: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along ``order_col``, which must be unique and not null.
 
     Rows are cut into quantile buckets of ``order_col`` (bounds from ``approxQuantile``: they only affect
     balance, never the result), hash-partitioned by bucket, summed inside each bucket with a window that
-    needs no further exchange, and shifted by the exclusive prefix of the bucket totals.
+    needs no further exchange, and shifted by the exclusive prefix of the bucket totals. The input is read
+    twice (bounds, then sums), so it is checkpointed unless ``materialized`` says the caller already did.
     """
     checkpoint_dir(df.sparkSession)
     k = _partitions(df, buckets)
-    base = df.checkpoint()  # read twice: once for the bounds, once for the sums
+    base = df if materialized else df.checkpoint()
     probs = [i / k for i in range(1, k)]
     bounds = sorted({b for b in base.approxQuantile(order_col, probs, 1.0 / (4 * k))
                      if b not in (float("inf"), float("-inf"))})
