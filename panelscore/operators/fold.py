@@ -94,7 +94,7 @@ def _segment_summaries(history: DataFrame, spec: FoldSpec, feats: list[str]) ->
     # real rows sort before carried ones, so LAG inside a segment only ever sees real rows
     w = Window.partitionBy(key, "_seg").orderBy("_carry", spec.seq)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    extra = {f"_d_{c}": F.when(real, F.col(c) - F.lag(c).over(w)) for c in spec.trend}
+    extra = {f"_step_{c}": F.when(real, F.col(c) - F.lag(c).over(w)) for c in spec.trend}
     if spec.recent:
         extra["_seg_max"] = F.max(F.when(real, seq)).over(whole)
     stepped = rows.withColumns(extra)
@@ -105,7 +105,7 @@ def _segment_summaries(history: DataFrame, spec: FoldSpec, feats: list[str]) ->
         aggs += [F.sum(v).alias(f"_s_{c}"), F.count(v).alias(f"_n_{c}"),
                  F.max(v).alias(f"_x_{c}"), F.max_by(F.col(c), real_seq).alias(f"_l_{c}")]
     for c in spec.trend:
-        aggs += [F.sum(f"_d_{c}").alias(f"_ds_{c}"), F.count(f"_d_{c}").alias(f"_dn_{c}"),
+        aggs += [F.sum(f"_step_{c}").alias(f"_ds_{c}"), F.count(f"_step_{c}").alias(f"_dn_{c}"),
                  F.min_by(F.col(c), real_seq).alias(f"_f_{c}")]
     if spec.recent:
         in_range = seq > F.col("_seg_max") - F.lit(spec.recent_n)
@@ -147,7 +147,7 @@ def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFr
     key, seq = spec.key, F.col(spec.seq)
     w = Window.partitionBy(key).orderBy(spec.seq)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    extra = {f"_d_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend}
+    extra = {f"_step_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend}
     if spec.recent:
         extra["_max_seq"] = F.max(seq).over(whole)
     stepped = history.withColumns(extra)
@@ -156,7 +156,7 @@ def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFr
         out += [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"),
                 F.max_by(F.col(c), seq).alias(f"{c}_last")]
     out.append(F.count(F.lit(1)).alias(f"{spec.seq}_cnt"))
-    out += [F.coalesce(F.avg(f"_d_{c}"), F.lit(0.0)).alias(f"{c}_trend") for c in spec.trend]
+    out += [F.coalesce(F.avg(f"_step_{c}"), F.lit(0.0)).alias(f"{c}_trend") for c in spec.trend]
     in_range = seq > F.col("_max_seq") - F.lit(spec.recent_n)
     out += [F.avg(F.when(in_range, F.col(c).cast("double"))).alias(f"{c}_recent{spec.recent_n}")
             for c in spec.recent]
