@@ -120,6 +120,15 @@ def class_balance(spark, sf_dir):
     return profile.class_balance(B.orders_target(spark, sf_dir))
 
 
+@query("class_balance_sql")
+def class_balance_sql(spark, sf_dir):
+    """The same block through temp views and Spark SQL text."""
+    views = io.register_views({"train_target": B.orders_target(spark, sf_dir)})
+    return spark.sql(f"""
+        SELECT flag, COUNT(*) AS n, COUNT(*) * 100.0D / SUM(COUNT(*)) OVER () AS share_pct
+        FROM {views['train_target']} GROUP BY flag ORDER BY flag""")
+
+
 @query("default_rate")
 def default_rate(spark, sf_dir):
     return profile.default_rate(B.orders_target(spark, sf_dir))
@@ -263,8 +272,9 @@ def calibration(spark, sf_dir):
 
 @query("ingest_history")
 def ingest_history(spark, sf_dir):
-    """Parquet parts copied into the canonical layer as 8 files and read back."""
-    out, _ = io.ingest_parquet(spark, f"{sf_dir}/lineitem.parquet", work_path(spark, "history"), 8)
+    """Parquet parts matched by a file-name glob in the table folder, copied into the canonical layer as 8
+    files and read back (S1, S3, S5)."""
+    out, _ = io.ingest_parquet(spark, sf_dir, work_path(spark, "history"), 8, glob="lineitem*.parquet")
     return out
 
 

@@ -21,6 +21,13 @@ def read_parquet(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.parquet(path)
 
 
+def register_views(tables: dict[str, DataFrame]) -> dict[str, str]:
+    """Temp views for Spark SQL text (S8); returns the view name of each table."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return {name: name for name in tables}
+
+
 def write_counted(df: DataFrame, path: str, n_parts: int | None = None, fmt: str = "parquet",
                   mode: str = "overwrite", **options) -> int:
     """Write ``df`` (optionally into ``n_parts`` files) and return the number of rows written."""
