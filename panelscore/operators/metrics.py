@@ -102,10 +102,9 @@ def score_summary(preds: DataFrame, label: str = "y_true", score: str = "y_score
 def metric_record(preds: DataFrame, model: str, label: str = "y_true", score: str = "y_score") -> DataFrame:
     """The evaluation record of one model."""
     m = ranking_metrics(preds, label, score)
-    s = score_summary(preds, label, score)
-    return (m.select(F.lit(model).alias("model"), "*")
-            .join(s.select(F.col("rows").alias("valid_rows"), F.col("positives").alias("valid_pos"),
-                           "base_rate")))
+    s = score_summary(preds, label, score).select(F.struct("rows", "positives", "base_rate")).scalar()
+    return m.select(F.lit(model).alias("model"), "*", s.getField("rows").alias("valid_rows"),
+                    s.getField("positives").alias("valid_pos"), s.getField("base_rate").alias("base_rate"))
 
 
 def confusion_at(preds: DataFrame, threshold: Column, label: str = "y_true",
