@@ -196,6 +196,6 @@ def calibration_table(preds: DataFrame, bins: int = 15, label: str = "y_true",
         .select(F.array_sort(F.collect_list("value"))).scalar()
     s = F.col(score)
     below = [(F.element_at(inner, i) < s).cast("int") for i in range(1, bins)]  # one reused subquery
-    binned = _valid(preds, score).select(sum(below[1:], below[0]).alias("bin"), score, label)
+    binned = _valid(preds, score).select(sum(below[1:], below[0]).cast("long").alias("bin"), score, label)
     return (binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"),
                                       F.avg(label).alias("observed_rate")))

@@ -54,7 +54,28 @@ def _rows(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((k, v if k == 2 else 0, v if k != 2 else "") for k, v in r))
 
 
-def compare(spark_df, sql: str, con: duckdb.DuckDBPyConnection) -> tuple[bool, str]:
+SPARK_TO_DUCK = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT",
+                 "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+                 "array<string>": "VARCHAR[]", "array<double>": "DOUBLE[]"}
+
+
+def type_mismatches(spark_df, sql: str, con: duckdb.DuckDBPyConnection) -> list[str]:
+    rel = con.sql(f"SELECT * FROM ({sql}) LIMIT 0")
+    duck_types = {name: str(t) for name, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in spark_df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        if duck_types.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} vs oracle {duck_types.get(f.name)}")
+    return out
+
+
+def compare(spark_df, sql: str, con: duckdb.DuckDBPyConnection, check_types: bool = True) -> tuple[bool, str]:
+    if check_types:
+        bad = type_mismatches(spark_df, sql, con)
+        if bad:
+            return False, "types differ: " + "; ".join(bad)
     got = spark_df.toPandas()
     want = con.execute(sql).df()
     if sorted(got.columns) != sorted(want.columns):
