@@ -143,24 +143,31 @@ def fold_history(history: DataFrame, spec: FoldSpec = FoldSpec(), strategy: str
 
 def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
     """The reference's formulation: one window spec (LAG and the key's highest sequence number share its
-    sort, T1) and one aggregate on the same key, hence a single exchange."""
+    sort, T1) and one aggregate on the same key, hence a single exchange. When the window runs anyway,
+    ``last`` is the value on the row holding the key's highest sequence number (one aggregation buffer
+    instead of max_by's two; NULL kept); without trend and recent columns there is no window, and
+    ``max_by`` keeps the map-side partial aggregate."""
     key, seq = spec.key, F.col(spec.seq)
-    w = Window.partitionBy(key).orderBy(spec.seq)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    extra = {f"_step_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend}
-    if spec.recent:
-        extra["_max_seq"] = F.max(seq).over(whole)
-    stepped = history.withColumns(extra)
     out = []
+    if spec.trend or spec.recent:
+        w = Window.partitionBy(key).orderBy(spec.seq)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        data = history.withColumns({**{f"_step_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend},
+                                    "_max_seq": F.max(seq).over(whole)})
+        on_last = seq == F.col("_max_seq")
+        last = lambda c: F.max(F.when(on_last, F.col(c)))
+    else:
+        data = history
+        last = lambda c: F.max_by(F.col(c), seq)
     for c in feats:
-        out += [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"),
-                F.max_by(F.col(c), seq).alias(f"{c}_last")]
+        out += [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"), last(c).alias(f"{c}_last")]
     out.append(F.count(F.lit(1)).alias(f"{spec.seq}_cnt"))
     out += [F.coalesce(F.avg(f"_step_{c}"), F.lit(0.0)).alias(f"{c}_trend") for c in spec.trend]
-    in_range = seq > F.col("_max_seq") - F.lit(spec.recent_n)
-    out += [F.avg(F.when(in_range, F.col(c).cast("double"))).alias(f"{c}_recent{spec.recent_n}")
-            for c in spec.recent]
-    return stepped.groupBy(key).agg(*out)
+    if spec.recent:
+        in_range = seq > F.col("_max_seq") - F.lit(spec.recent_n)
+        out += [F.avg(F.when(in_range, F.col(c).cast("double"))).alias(f"{c}_recent{spec.recent_n}")
+                for c in spec.recent]
+    return data.groupBy(key).agg(*out)
 
 
 def _fold_segmented(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
