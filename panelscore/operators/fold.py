@@ -95,18 +95,20 @@ def _segment_summaries(history: DataFrame, spec: FoldSpec, feats: list[str]) ->
     w = Window.partitionBy(key, "_seg").orderBy("_carry", spec.seq)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     extra = {f"_step_{c}": F.when(real, F.col(c) - F.lag(c).over(w)) for c in spec.trend}
-    if spec.recent:
-        extra["_seg_max"] = F.max(F.when(real, seq)).over(whole)
+    extra["_seg_max"] = F.max(F.when(real, seq)).over(whole)
+    if spec.trend:
+        extra["_seg_min"] = F.min(F.when(real, seq)).over(whole)
     stepped = rows.withColumns(extra)
-    real_seq = F.when(real, seq)
+    on_last = real & (seq == F.col("_seg_max"))
     aggs = [F.count(F.when(real, F.lit(1))).alias("_rows")]
     for c in feats:
         v = F.when(real, F.col(c))
         aggs += [F.sum(v).alias(f"_s_{c}"), F.count(v).alias(f"_n_{c}"),
-                 F.max(v).alias(f"_x_{c}"), F.max_by(F.col(c), real_seq).alias(f"_l_{c}")]
+                 F.max(v).alias(f"_x_{c}"), F.max(F.when(on_last, F.col(c))).alias(f"_l_{c}")]
     for c in spec.trend:
+        on_first = real & (seq == F.col("_seg_min"))
         aggs += [F.sum(f"_step_{c}").alias(f"_ds_{c}"), F.count(f"_step_{c}").alias(f"_dn_{c}"),
-                 F.min_by(F.col(c), real_seq).alias(f"_f_{c}")]
+                 F.max(F.when(on_first, F.col(c))).alias(f"_f_{c}")]
     if spec.recent:
         in_range = seq > F.col("_seg_max") - F.lit(spec.recent_n)
         for c in spec.recent:
