@@ -17,6 +17,12 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _by_range(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
+    """Range partitioning; without ``n`` adaptive execution may merge neighbouring ranges, which keeps the
+    partitions contiguous and in order."""
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+
+
 def with_global_rank(df: DataFrame, order_cols: list[str], out: str = "rank",
                      partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """``row_number() over (order by order_cols)`` computed in parallel.
@@ -29,9 +35,8 @@ def with_global_rank(df: DataFrame, order_cols: list[str], out: str = "rank",
     the columns to return (default: all); the others are dropped before the checkpoint is written.
     """
     checkpoint_dir(df.sparkSession)
-    k = _partitions(df, partitions)
     cols = list(keep) if keep is not None else df.columns
-    placed = (df.repartitionByRange(k, *order_cols)
+    placed = (_by_range(df, order_cols, partitions)
               .sortWithinPartitions(*order_cols)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
@@ -64,7 +69,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], descendin
     bucketed = (Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket", handleInvalid="keep")
                 .transform(base.withColumn(order_col, F.col(order_col).cast("double")))
                 .withColumn("_bucket", F.col("_bucket").cast("int"))
-                .repartition(k, "_bucket"))
+                .repartition("_bucket"))  # adaptive execution sizes the partitions; buckets never split
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = Window.partitionBy("_bucket").orderBy(direction(order_col)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

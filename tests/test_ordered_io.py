@@ -58,3 +58,17 @@ def test_materialize_writes_once_and_copies(spark):
     out, rows = io.materialize(spark, spark.range(100), f"{d}/a", 4, copy_path=f"{d}/b")
     assert rows == 100 and spark.read.parquet(f"{d}/b").count() == 100
     assert len([f for f in os.listdir(f"{d}/a") if f.endswith(".parquet")]) == 4
+
+
+def test_global_rank_exact_when_adaptive_execution_merges_ranges(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randint(0, 50), rnd.random()) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        ranked = with_global_rank(df, ["k", "v"], out="r")
+        got = sorted((r["r"], r["k"], r["v"]) for r in ranked.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [(g[1], g[2]) for g in got] == sorted(rows) and [g[0] for g in got] == list(range(1, 5001))
