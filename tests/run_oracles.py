@@ -19,8 +19,12 @@ from panelscore.session import get_spark  # noqa: E402
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
-    keys = [a for a in argv[1:] if not a.startswith("/")]
-    spark = get_spark("oracles", master="local[8]", shuffle_partitions=8)
+    keys = [a for a in argv[1:] if not a.startswith(("/", "--"))]
+    if "--default-session" in argv:  # as the driver may call us: Spark's defaults, nothing of ours
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_spark("oracles", master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
