@@ -74,13 +74,6 @@ def unique_ratio(sub: DataFrame, score: str = "score") -> DataFrame:
     return sub.agg(F.coalesce(ratio(distinct, F.count(F.lit(1))), F.lit(0.0)).alias("unique_ratio"))
 
 
-def score_stats(sub: DataFrame, score: str = "score") -> DataFrame:
-    """A25 on the valid scores."""
-    s = F.col(score)
-    v = sub.where(~_nan(s))
-    return v.agg(F.min(s).alias("score_min"), F.avg(s).alias("score_mean"), F.max(s).alias("score_max"))
-
-
 def mean_drift(sub: DataFrame, valid: DataFrame, score: str = "score", valid_score: str = "y_score") -> DataFrame:
     """|mean(test) - mean(valid)| / mean(valid)."""
     t = sub.where(~_nan(F.col(score))).agg(F.avg(score).alias("score_mean"))

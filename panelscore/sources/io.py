@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
-                               StringType, StructField, StructType)
+                               StructField, StructType)
 
 
 def read_parquet(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -101,9 +101,6 @@ def write_submission_csv(df: DataFrame, path: str, key: str = "id", single_file:
     return write_counted(out, path, fmt="csv", header=True)
 
 
-SUBMISSION_SCHEMA = StructType([StructField("id", StringType()), StructField("score", StringType())])
-
-
 def read_submission_csv(spark: SparkSession, path: str) -> DataFrame:
     """Submission scan for the gates (S13): columns as written in the header, values parsed leniently.
     An empty field becomes NULL, 'NaN' becomes NaN and text in ``id`` becomes NULL (counted by the gates)."""
