@@ -69,6 +69,15 @@ def mart_segmented(spark, sf_dir):
     return round_doubles(fold.fold_history(B.lineitem_history(spark, sf_dir), spec, strategy="segmented"))
 
 
+@query("mart_hot_key")
+def mart_hot_key(spark, sf_dir):
+    """A third of all rows under one key: ``auto`` measures it and takes the segmented (skew-safe) plan
+    once the key exceeds the 4,096-row segment."""
+    spec = fold.FoldSpec(key="id", seq="rn", trend=("qty", "disc"), recent=("qty", "disc", "rflag"),
+                         recent_n=3, segment=4096)
+    return round_doubles(fold.fold_history(B.lineitem_history_hot(spark, sf_dir), spec))
+
+
 @query("history_steps")
 def history_steps(spark, sf_dir):
     return fold.with_steps(B.lineitem_history(spark, sf_dir), B.LINEITEM_SPEC).select(

@@ -114,3 +114,17 @@ def unscaled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean = o.select(F.avg("o_totalprice")).scalar()
     sd = o.select(F.stddev_samp("o_totalprice")).scalar()
     return o.select(F.col("o_orderkey").alias("id"), ((F.col("o_totalprice") - mean) / sd).alias("score"))
+
+
+HOT_KEY = -1
+
+
+def lineitem_history_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History A with every returned line (l_returnflag 'R', about a third of all lines) filed under one
+    pseudo-client ``HOT_KEY``: a key holding a third of all rows, made by the data itself. Its sequence
+    follows (original order key, tie-break)."""
+    coded = lineitem_coded(spark, sf_dir).withColumn("src", F.col("id")).withColumn(
+        "id", F.when(F.col("rflag") == 2, F.lit(HOT_KEY).cast("long")).otherwise(F.col("id")))
+    ranked = with_global_rank(coded, ["id", "src", *LINEITEM_ORDER[1:]], out="rn",
+                              keep=["id", *LINEITEM_FEATURES])
+    return ranked.select("id", "rn", *LINEITEM_FEATURES)
