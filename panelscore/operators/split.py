@@ -47,6 +47,6 @@ def with_class_weights(df: DataFrame, label: str = "flag", weight_col: str = "w"
     before the split as the reference does, SURVEY D4). A class that is absent gives NULL (H11)."""
     src = df if counted_on is None else counted_on
     n = src.select(F.count(F.lit(1))).scalar()
-    pos = src.select(F.count(F.when(F.col(label) == 1, 1))).scalar()
+    pos = src.where(F.col(label) == 1).select(F.count(F.lit(1))).scalar()  # P4: filter reaches the scan
     w = F.when(F.col(label) == 1, ratio(n, pos * 2)).otherwise(ratio(n, (n - pos) * 2))
     return df.withColumn(weight_col, w)

@@ -55,3 +55,11 @@ def test_filters_reach_the_scan(spark, sf_dir):
                                                                                         "predictions"))))
 def test_no_python_on_the_row_path(spark, sf_dir, key):
     assert python_nodes(E.queries()[key](spark, sf_dir)) == []
+
+
+def test_class_size_filter_reaches_the_scan(spark):
+    from panelscore.operators import split
+    path = os.path.join(tempfile.mkdtemp(prefix="flags-"), "t")
+    spark.createDataFrame([(1, 0), (2, 1)], "id long, flag int").write.parquet(path)
+    text = plan_text(split.with_class_weights(spark.read.parquet(path)))
+    assert "EqualTo(flag,1)" in text
