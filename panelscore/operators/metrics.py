@@ -85,10 +85,14 @@ def ranking_metrics(preds: DataFrame, label: str = "y_true", score: str = "y_sco
     m = c.agg(auc.alias("roc_auc"),
               F.sum(ratio(F.col("pos"), pos) * ratio(F.col("tps"), F.col("tps") + F.col("fps")))
               .alias("average_precision"),
-              ratio(F.max(ks_num), pn).alias("ks"),
-              F.max_by(F.col(score), F.struct(ks_num, F.col(score))).alias("ks_threshold"))
-    return m.select("roc_auc", (F.col("roc_auc") * 2 - 1).alias("gini"), "average_precision", "ks",
-                    F.when(pos * neg > 0, F.col("ks_threshold")).alias("ks_threshold"))
+              F.max(ks_num).alias("_ks_num"),
+              F.max_by(F.col(score), F.struct(ks_num, F.col(score))).alias("_ks_at"))
+    # the ROC curve starts at (FPR, TPR) = (0, 0) with threshold +inf: it is the first maximum when no
+    # threshold has TPR > FPR
+    top = F.greatest(F.col("_ks_num"), F.lit(0).cast(DEC))
+    thr = F.when(F.col("_ks_num") > 0, F.col("_ks_at")).otherwise(F.lit(float("inf")))
+    return m.select("roc_auc", (F.col("roc_auc") * 2 - 1).alias("gini"), "average_precision",
+                    ratio(top, pn).alias("ks"), F.when(pos * neg > 0, thr).alias("ks_threshold"))
 
 
 def score_summary(preds: DataFrame, label: str = "y_true", score: str = "y_score") -> DataFrame:

@@ -88,6 +88,15 @@ def test_two_equal_ks_maxima_take_the_higher_score(spark):
     assert m["ks"] == 0.5 and m["ks_threshold"] == 0.9
 
 
+def test_useless_scores_put_the_threshold_at_infinity(spark):
+    # positives always below negatives: TPR never exceeds FPR, sklearn's start point (inf) is the maximum
+    m = metrics.ranking_metrics(_preds(spark, [(1, 0.1), (1, 0.2), (0, 0.8), (0, 0.9)])).collect()[0]
+    assert m["ks"] == 0.0 and m["ks_threshold"] == float("inf") and m["roc_auc"] == 0.0
+    cells = {(r["y_true"], r["y_pred"]): r["n"] for r in metrics.confusion_at_ks(
+        _preds(spark, [(1, 0.1), (1, 0.2), (0, 0.8), (0, 0.9)])).collect()}
+    assert cells == {(0, 0): 2, (0, 1): 0, (1, 0): 2, (1, 1): 0}
+
+
 def test_one_class_gives_null(spark):
     m = metrics.ranking_metrics(_preds(spark, [(0, 0.1), (0, 0.4)])).collect()[0]
     assert m["roc_auc"] is None and m["ks"] is None and m["ks_threshold"] is None
