@@ -34,10 +34,11 @@ from pyspark.sql import functions as F
 from .common import LOWER_WORDS, free_name, table
 
 SIMILARITY = 0.8
-WALKS, TABLES, SAMPLED, SEED = 5, 4, 4, 17
+WALKS, TABLES, SAMPLED, SEED = 8, 6, 3, 17
 BLOCK_ITEMS, BLOCK_WORDS = 4096, 1 << 20
 CHUNK_WORDS = 1 << 17
 FILTER_BITS = 18
+TEXT_END, ITEM_END = np.uint64(1 << 33), np.uint64(1 << 34)  # what follows a document and an item: no word, and not the same
 
 
 def symbols(text: bytes | None) -> np.ndarray:
@@ -76,7 +77,8 @@ def samples(length: int) -> list[list[list[tuple[int, np.uint64]]]]:
     for walk in range(WALKS):
         rng = np.random.default_rng([SEED, length, walk])
         k = min(SAMPLED, steps(length))
-        out.append([[(int(j), np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)) for j in sorted(rng.choice(steps(length), k, replace=False))] for _ in range(TABLES)])
+        parts = np.linspace(0, steps(length), k + 1).astype(int)  # one step from each part of the walk, so that the samples see different words
+        out.append([[(int(rng.integers(a, b)), np.uint64(int(rng.integers(1, 1 << 62)) * 2 + 1)) for a, b in zip(parts, parts[1:])] for _ in range(TABLES)])
     return out
 
 
@@ -146,7 +148,7 @@ class Index:
         found: dict[tuple[int, int], tuple] = {}
         for n in self.lengths:
             own = [i for i, s in enumerate(self.items) if len(s) and window_length(len(s)) == n]
-            pad = np.zeros(2 * n + 2, np.uint64)
+            pad = np.full(2 * n + 2, ITEM_END)
             offset = np.cumsum([0] + [len(self.items[i]) + len(pad) for i in own])
             start = [np.arange(min(stride(n), len(self.items[i]))) for i in own]
             at = np.concatenate([o + x for o, x in zip(offset, start)])
@@ -164,31 +166,46 @@ class Index:
     def limit(self, number: int) -> int:
         return int(len(self.items[number]) * (1 - SIMILARITY) + 1e-9)
 
-    def candidates(self, docs: list[np.ndarray]) -> set[tuple[int, int, int]]:
-        """(document, item, where the item would begin in the document)."""
+    def candidates(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Where each document begins on the line of all words, and rows (item, document, where the item would begin on the line)."""
         longest = self.lengths[-1]
-        pad = np.zeros(2 * longest + 2, np.uint64)
+        pad = np.full(2 * longest + 2, TEXT_END)
         offset = np.cumsum([0] + [len(d) + len(pad) for d in docs])
         s = np.concatenate([x for d in docs for x in (d, pad)])
         starts = {n: np.concatenate([np.arange(o, o + len(d), stride(n)) for o, d in zip(offset, docs)]) for n in self.lengths}
-        out = set()
+        found = []
         for n, t, k in keys(s, starts, self.plan):
             sorted_keys, number, start, mask = self.tables[n, t]
             maybe = np.flatnonzero(mask[k >> np.uint64(64 - FILTER_BITS)])
             low, high = (np.searchsorted(sorted_keys, k[maybe], side) for side in ("left", "right"))
-            hit = low < high
-            for w, a, b in zip(maybe[hit], low[hit], high[hit]):
-                p = int(starts[n][w])
-                doc = int(np.searchsorted(offset, p, "right")) - 1
-                out.update((doc, int(number[i]), p - int(offset[doc]) - int(start[i])) for i in range(a, b))
-        return out
+            times = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())  # low, low + 1, ... high - 1 of every hit
+            window = np.repeat(starts[n][maybe], times)
+            found.append(np.stack([number[at], np.searchsorted(offset, window, "right") - 1, window - start[at]], 1))
+        out = np.unique(np.concatenate(found), axis=0)
+        return offset, out[self._share_words(s, out)]
+
+    def _share_words(self, s: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+        """Which candidates (item, document, begin) have enough words of the item near them: without that many, more edits than allowed are needed."""
+        keep = np.zeros(len(candidates), bool)
+        cuts = np.flatnonzero(np.diff(candidates[:, 0], prepend=-1)).tolist() + [len(candidates)]
+        for a, b in zip(cuts, cuts[1:]):
+            number = candidates[a, 0]
+            n, limit, own = len(self.items[number]), self.limit(number), np.unique(self.items[number])
+            for c in range(a, b, 4096):
+                begin = candidates[c:min(c + 4096, b), 2]
+                near = s[np.clip(begin[:, None] + np.arange(-limit, n + 2 * limit), 0, len(s) - 1)]
+                keep[c:c + len(begin)] = np.isin(near, own).sum(1) >= n - limit
+        return keep
 
     def matches(self, docs: list[np.ndarray]) -> list[list[dict]]:
         """For each document its items: the least edits, and the words of the document where the passage begins and ends."""
         found: list[dict[int, dict]] = [{} for _ in docs]
         if not self.lengths:
             return [[] for _ in docs]
-        for doc, number, begin in sorted(self.candidates(docs)):
+        offset, near = self.candidates(docs)
+        for number, doc, at in near.tolist():
+            begin = at - int(offset[doc])
             item, limit = self.items[number], self.limit(number)
             best = found[doc].get(number)
             if best and best["edits"] == 0:
