@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from functools import lru_cache
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -28,30 +28,41 @@ from .common import in_fold, sampled, table
 
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 12, 3, 5
 TRAIN_ROWS, EPOCHS, BATCH, RATE, SEED = 6000, 6, 64, 0.25, 20
-CACHE_WORDS = 300_000
+CACHE_WORDS, CHUNK = 300_000, 256
 THRESHOLD = 0.7
 
 
-def features(word: bytes) -> list[int]:
-    """Hash buckets of a word: the word itself and the byte n-grams of ``<word>``."""
-    marked = b"<" + word[:64] + b">"
-    found = [zlib.crc32(b"=" + word) % BUCKETS]
-    for n in range(MIN_N, MAX_N + 1):
-        found += [zlib.crc32(marked[i:i + n]) % BUCKETS for i in range(len(marked) - n + 1)]
-    return found
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the words, one word after the other, and how many each word has: the word itself and the byte n-grams of ``<word>``."""
+    marked = [b"<" + w[:64] + b">" for w in words]
+    n = np.array([len(m) for m in marked])
+    line = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    word = np.repeat(np.arange(len(words)), n)
+    left = np.repeat(np.cumsum(n), n) - np.arange(len(line))  # bytes from here to the end of the word
+    ids, owner = [np.fromiter((zlib.crc32(w) % BUCKETS for w in words), np.int64, len(words))], [np.arange(len(words))]
+    for k in range(MIN_N, MAX_N + 1):
+        at = np.flatnonzero(left >= k)
+        h = np.full(len(at), k, np.uint32)
+        for j in range(k):
+            h = h * np.uint32(0x01000193) ^ line[at + j]
+        ids.append(((h * np.uint32(2654435761)) >> np.uint32(7)).astype(np.int64) % BUCKETS)
+        owner.append(word[at])
+    owner = np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(ids)[order], np.bincount(owner, minlength=len(words))
 
 
 def _document_features(text: pa.Array) -> pa.Array:
     """A document's features: distinct bucket ids and their weights (the mean over words of the mean over a word's features)."""
-    known = lru_cache(CACHE_WORDS)(lambda w: np.array(features(w), np.int32))
     out = []
     for t in text.to_pylist():
-        found = [known(w) for w in (t or b"").split()]
+        found = Counter((t or b"").split())
         if not found:
             out.append({"ids": b"", "weights": b""})
             continue
-        share = np.repeat([1.0 / (len(f) * len(found)) for f in found], [len(f) for f in found])
-        ids, at = np.unique(np.concatenate(found), return_inverse=True)
+        ids, n = features(list(found))
+        share = np.repeat(np.fromiter(found.values(), float, len(found)) / n / found.total(), n)
+        ids, at = np.unique(ids, return_inverse=True)
         out.append({"ids": ids.astype(np.int32).tobytes(), "weights": np.bincount(at, share).astype(np.float32).tobytes()})
     return pa.array(out, pa.struct([("ids", pa.binary()), ("weights", pa.binary())]))
 
@@ -123,18 +134,18 @@ def probability(spark: SparkSession, model: tuple[np.ndarray, float]):
     def score(text: pa.Array) -> pa.Array:
         share, bias = shared.value
 
-        class Known(dict):
-            def __missing__(self, word):
-                self[word] = x = float(share[features(word)].mean())
-                return x
-
-        known, out = Known(), []
-        for t in text.to_pylist():
-            ws = (t or b"").split()
+        known, out, texts = {}, [], text.to_pylist()
+        for start in range(0, len(texts), CHUNK):
+            part = [(t or b"").split() for t in texts[start:start + CHUNK]]
             if len(known) > CACHE_WORDS:
                 known.clear()
-            z = bias + (math.fsum(map(known.__getitem__, ws)) / len(ws) if ws else 0.0)
-            out.append(1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z)))))
+            new = list(set().union(*part).difference(known))
+            if new:
+                ids, n = features(new)
+                known.update(zip(new, (np.add.reduceat(share[ids].astype(np.float64), np.cumsum(n) - n) / n).tolist()))
+            for ws in part:
+                z = bias + (math.fsum(map(known.__getitem__, ws)) / len(ws) if ws else 0.0)
+                out.append(1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z)))))
         return pa.array(out, pa.float64())
 
     return lambda text: score(text.cast("binary"))
