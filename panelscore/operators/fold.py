@@ -14,11 +14,14 @@ group. A second, small aggregate combines the per-segment summaries of each key:
 border are copied ("carried") into the next segment, so that the recent mean is complete in the key's
 highest segment. The result is exact; it needs (key, sequence) to be unique (``duplicate_sequences``).
 
-Plan choice (``strategy="auto"``). The segmented plan costs a second, mart-sized shuffle. So the largest
-number of rows under one key is measured first (a one-column scan and a narrow aggregate; one number
-reaches the driver). If no key has more than ``segment`` rows, every per-key window group is proven
-small and the single-window plan runs: one exchange on the key, one sort, one window, one aggregate
-(SURVEY T1). Otherwise the segmented plan runs. Both give identical results.
+Plan choice (``strategy="auto"``). Without trend and recent columns there is no window, and one map-side
+combined aggregate is skew-safe as it is. With them, the largest number of rows under one key is measured
+(a one-column scan and a narrow aggregate; one number reaches the driver): if no key has more than
+``segment`` rows, every per-key window group is proven small and the single-window plan runs: one exchange on
+the key, one sort, one window, one aggregate (SURVEY T1). Otherwise the segmented plan runs. Both
+give the same rows, types and errors, for NULL keys and NULL sequence numbers too: a NULL key is a key like any
+other; rows with a NULL number come first in the sequence; rows with equal numbers are ordered by the trend columns;
+sums are kept as AVG keeps them (doubles, or decimals for decimal columns).
 """
 from __future__ import annotations
 
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 # The reference's trend and recent-N feature columns (for its own history schema) and N.
 REFERENCE_TREND = ("pre_util", "pre_loans_outstanding")
@@ -86,29 +90,48 @@ def _segmented(history: DataFrame, spec: FoldSpec, carry: int) -> DataFrame:
             .withColumn("_seg", seg + F.col("_carry").cast("long")))
 
 
+def _sum(v: Column, kind: DataType) -> Column:
+    """A partial sum as AVG keeps it: exact for decimals, else in doubles (no integer overflow)."""
+    return F.sum(v if isinstance(kind, DecimalType) else v.cast("double"))
+
+
+def _mean(total: Column, n: Column, kind: DataType) -> Column:
+    """AVG from its sum and count, with AVG's type for a column of type ``kind``."""
+    if isinstance(kind, DecimalType):
+        precision, scale = min(kind.precision + 4, 38), min(kind.scale + 4, 38)
+        return F.try_divide(total, n.cast("decimal(20,0)")).cast(DecimalType(precision, scale))
+    return F.try_divide(total.cast("double"), n)
+
+
+def _step_type(kind: DataType) -> DataType:
+    return DecimalType(min(kind.precision + 1, 38), kind.scale) if isinstance(kind, DecimalType) else kind
+
+
 def _segment_summaries(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
     """One row per (key, segment) holding everything the per-key combine needs."""
     key, seq = spec.key, F.col(spec.seq)
+    kinds = {f.name: f.dataType for f in history.schema.fields}
     rows = _segmented(history, spec, carry=spec.recent_n - 1 if spec.recent else 0)
     real = ~F.col("_carry")
     # real rows sort before carried ones, so LAG inside a segment only ever sees real rows
-    w = Window.partitionBy(key, "_seg").orderBy("_carry", spec.seq)
+    w = Window.partitionBy(key, "_seg").orderBy("_carry", spec.seq, *spec.trend)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     extra = {f"_step_{c}": F.when(real, F.col(c) - F.lag(c).over(w)) for c in spec.trend}
     extra["_seg_max"] = F.max(F.when(real, seq)).over(whole)
     if spec.trend:
-        extra["_seg_min"] = F.min(F.when(real, seq)).over(whole)
+        extra["_first"] = real & F.lag("_carry").over(w).isNull()
+        extra["_last"] = real & F.coalesce(F.lead("_carry").over(w), F.lit(True))
     stepped = rows.withColumns(extra)
     on_last = real & (seq == F.col("_seg_max"))
-    aggs = [F.count(F.when(real, F.lit(1))).alias("_rows")]
+    aggs = [F.count(F.when(real, F.lit(1))).alias("_rows"), F.max("_seg_max").alias("_top")]
     for c in feats:
         v = F.when(real, F.col(c))
-        aggs += [F.sum(v).alias(f"_s_{c}"), F.count(v).alias(f"_n_{c}"),
+        aggs += [_sum(v, kinds[c]).alias(f"_s_{c}"), F.count(v).alias(f"_n_{c}"),
                  F.max(v).alias(f"_x_{c}"), F.max(F.when(on_last, F.col(c))).alias(f"_l_{c}")]
     for c in spec.trend:
-        on_first = real & (seq == F.col("_seg_min"))
-        aggs += [F.sum(f"_step_{c}").alias(f"_ds_{c}"), F.count(f"_step_{c}").alias(f"_dn_{c}"),
-                 F.max(F.when(on_first, F.col(c))).alias(f"_f_{c}")]
+        aggs += [_sum(F.col(f"_step_{c}"), _step_type(kinds[c])).alias(f"_ds_{c}"), F.count(f"_step_{c}").alias(f"_dn_{c}"),
+                 F.max(F.when(F.col("_first"), F.col(c))).alias(f"_f_{c}"),
+                 F.max(F.when(F.col("_last"), F.col(c))).alias(f"_e_{c}")]
     if spec.recent:
         in_range = seq > F.col("_seg_max") - F.lit(spec.recent_n)
         for c in spec.recent:
@@ -135,7 +158,7 @@ def fold_history(history: DataFrame, spec: FoldSpec = FoldSpec(), strategy: str
     spec.check(history)
     feats = spec.feature_list(history)
     if strategy == "auto":
-        strategy = choose_strategy(history, spec)
+        strategy = choose_strategy(history, spec) if spec.trend or spec.recent else "single"
     if strategy == "single":
         return _fold_single(history, spec, feats)
     if strategy != "segmented":
@@ -152,7 +175,7 @@ def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFr
     key, seq = spec.key, F.col(spec.seq)
     out = []
     if spec.trend or spec.recent:
-        w = Window.partitionBy(key).orderBy(spec.seq)
+        w = Window.partitionBy(key).orderBy(spec.seq, *spec.trend)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         data = history.withColumns({**{f"_step_{c}": F.col(c) - F.lag(c).over(w) for c in spec.trend},
                                     "_max_seq": F.max(seq).over(whole)})
@@ -174,22 +197,28 @@ def _fold_single(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFr
 
 def _fold_segmented(history: DataFrame, spec: FoldSpec, feats: list[str]) -> DataFrame:
     key = spec.key
+    kinds = {f.name: f.dataType for f in history.schema.fields}
     segs = _segment_summaries(history, spec, feats)
     by_seg = Window.partitionBy(key).orderBy("_seg")
-    segs = segs.withColumns({f"_b_{c}": F.col(f"_f_{c}") - F.lag(f"_l_{c}").over(by_seg)
+    segs = segs.withColumns({f"_b_{c}": F.col(f"_f_{c}") - F.lag(f"_e_{c}").over(by_seg)
                              for c in spec.trend})
+    # the segment of the highest sequence number; a segment of NULL numbers holds none
+    numbered = F.when(F.col("_top").isNotNull(), F.col("_seg"))
     out = []
     for c in feats:
-        out += [F.try_divide(F.sum(f"_s_{c}").cast("double"), F.sum(f"_n_{c}")).alias(f"{c}_mean"),
+        out += [_mean(F.sum(f"_s_{c}"), F.sum(f"_n_{c}"), kinds[c]).alias(f"{c}_mean"),
                 F.max(f"_x_{c}").alias(f"{c}_max"),
-                F.max_by(f"_l_{c}", "_seg").alias(f"{c}_last")]
+                F.max_by(f"_l_{c}", numbered).alias(f"{c}_last")]
     out.append(F.sum("_rows").alias(f"{spec.seq}_cnt"))
     for c in spec.trend:
-        total = F.coalesce(F.sum(f"_ds_{c}"), F.lit(0)) + F.coalesce(F.sum(f"_b_{c}"), F.lit(0))
+        step = _step_type(kinds[c])
+        border = _sum(F.col(f"_b_{c}"), step)
+        inside = F.sum(f"_ds_{c}")
+        total = F.coalesce(inside + border, inside, border)
         n = F.sum(f"_dn_{c}") + F.count(f"_b_{c}")
-        out.append(F.coalesce(F.try_divide(total.cast("double"), n), F.lit(0.0)).alias(f"{c}_trend"))
+        out.append(F.coalesce(_mean(total, n, step).cast("double"), F.lit(0.0)).alias(f"{c}_trend"))
     for c in spec.recent:
-        out.append(F.try_divide(F.max_by(f"_rs_{c}", "_seg"), F.max_by(f"_rc_{c}", "_seg"))
+        out.append(F.try_divide(F.max_by(f"_rs_{c}", numbered), F.max_by(f"_rc_{c}", numbered))
                    .alias(f"{c}_recent{spec.recent_n}"))
     return segs.groupBy(key).agg(*out)
 
@@ -199,28 +228,28 @@ def with_steps(history: DataFrame, spec: FoldSpec = FoldSpec(), strategy: str =
     sequence number) and ``{c}_step`` = c - LAG(c) for the trend columns.
 
     Same plan choice as the fold. Segmented: LAG runs inside (key, segment); the first row of a segment
-    takes the last value of the previous segment from a per-segment table joined on (key, segment).
+    takes the last value of the previous segment from a per-segment table joined null-safe on (key, segment).
     """
     spec.check(history)
     key, seq = spec.key, spec.seq
     if strategy == "auto":
         strategy = choose_strategy(history, spec)
     if strategy == "single":
-        w = Window.partitionBy(key).orderBy(seq)
+        w = Window.partitionBy(key).orderBy(seq, *spec.trend)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return history.select(*history.columns, F.max(seq).over(whole).alias(f"{seq}_max"),
                               *[(F.col(c) - F.lag(c).over(w)).alias(f"{c}_step") for c in spec.trend])
     rows = _segmented(history, spec, carry=0)
-    w = Window.partitionBy(key, "_seg").orderBy(seq)
-    stepped = rows.withColumns({"_prev_seq": F.lag(seq).over(w),
+    w = Window.partitionBy(key, "_seg").orderBy(seq, *spec.trend)
+    stepped = rows.withColumns({"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull(),
                                 **{f"_p_{c}": F.lag(c).over(w) for c in spec.trend}})
-    segs = rows.groupBy(key, "_seg").agg(F.max(seq).alias("_smax"),
-                                         *[F.max_by(c, seq).alias(f"_l_{c}") for c in spec.trend])
-    by_seg = Window.partitionBy(key).orderBy("_seg")
+    segs = stepped.groupBy(F.col(key).alias("_key"), F.col("_seg").alias("_at")).agg(
+        F.max(seq).alias("_smax"), *[F.max(F.when(F.col("_last"), F.col(c))).alias(f"_l_{c}") for c in spec.trend])
+    by_seg = Window.partitionBy("_key").orderBy("_at")
     all_segs = by_seg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    info = segs.select(key, "_seg", F.max("_smax").over(all_segs).alias(f"{seq}_max"),
+    info = segs.select("_key", "_at", F.max("_smax").over(all_segs).alias(f"{seq}_max"),
                        *[F.lag(f"_l_{c}").over(by_seg).alias(f"_pl_{c}") for c in spec.trend])
-    joined = stepped.join(info, [key, "_seg"])
-    steps = [(F.col(c) - F.when(F.col("_prev_seq").isNull(), F.col(f"_pl_{c}"))
+    joined = stepped.join(info, F.col(key).eqNullSafe(F.col("_key")) & F.col("_seg").eqNullSafe(F.col("_at")))
+    steps = [(F.col(c) - F.when(F.col("_first"), F.col(f"_pl_{c}"))
               .otherwise(F.col(f"_p_{c}"))).alias(f"{c}_step") for c in spec.trend]
     return joined.select(*history.columns, f"{seq}_max", *steps)

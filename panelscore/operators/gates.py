@@ -24,12 +24,13 @@ class GateError(Exception):
     """Raised by ``assert_gates`` when a report carries errors (Q12)."""
 
 
+def format_ok(sub: DataFrame) -> bool:
+    return tuple(sub.columns) == SUBMISSION_COLUMNS
+
+
 def format_check(sub: DataFrame) -> DataFrame:
-    """The columns, in order, must be exactly id, score."""
-    spark = sub.sparkSession
-    cols = ",".join(sub.columns)
-    return spark.range(1).select(F.lit(cols).alias("columns"),
-                                 F.lit(tuple(sub.columns) == SUBMISSION_COLUMNS).alias("format_ok"))
+    """The columns, in order, must be exactly id, score; with the rows that were read under them."""
+    return sub.agg(F.lit(",".join(sub.columns)).alias("columns"), F.lit(format_ok(sub)).alias("format_ok"), F.count(F.lit(1)).alias("rows"))
 
 
 def _nan(s: Column) -> Column:
@@ -43,21 +44,21 @@ def row_counts(sub: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def duplicate_count(sub: DataFrame, key: str = "id") -> DataFrame:
-    """Rows minus first occurrences; all NULL keys count as one key, as in pandas."""
-    return sub.agg((F.count(F.lit(1)) - F.count_distinct(key)
-                    - F.max(F.col(key).isNull().cast("int"))).alias("duplicates"))
+    """Rows minus first occurrences; all NULL keys count as one key, as in pandas; 0 for an empty submission."""
+    return sub.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
 def missing_ids(sub: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
     """Distinct target keys without a score. Both sides are de-duplicated first (map-side), so
     a key repeated a billion times reaches the join once per task."""
-    return target.select(key).distinct().join(sub.select(key).distinct(), key, "left_anti")
+    left, right = target.select(F.col(key).alias("_t")).distinct(), sub.select(F.col(key).alias("_s")).distinct()
+    return left.join(right, F.col("_t").eqNullSafe(F.col("_s")), "left_anti").select(F.col("_t").alias(key))
 
 
 def extra_ids(sub: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
-    """Distinct submission keys that are not in the target."""
-    return (sub.select(key).where(F.col(key).isNotNull()).distinct()
-            .join(target.select(key).distinct(), key, "left_anti"))
+    """Distinct submission keys that are not in the target; a missing (NULL) key is one of them, unless the target has it."""
+    left, right = sub.select(F.col(key).alias("_s")).distinct(), target.select(F.col(key).alias("_t")).distinct()
+    return left.join(right, F.col("_s").eqNullSafe(F.col("_t")), "left_anti").select(F.col("_s").alias(key))
 
 
 def score_values(sub: DataFrame, score: str = "score") -> DataFrame:
@@ -67,11 +68,15 @@ def score_values(sub: DataFrame, score: str = "score") -> DataFrame:
                    F.count(F.when(~_nan(s) & ((s < 0) | (s > 1)), 1)).alias("out_of_range"))
 
 
+def _score_groups(sub: DataFrame, score: str) -> DataFrame:
+    """One row per distinct score with its rows; NaN and NULL together are the NULL group."""
+    s = F.col(score)
+    return sub.groupBy(F.when(~_nan(s), s).alias("_score")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def unique_ratio(sub: DataFrame, score: str = "score") -> DataFrame:
     """Distinct scores / rows (NaN and NULL together are one value, as ``np.unique``); 0 if empty."""
-    s = F.col(score)
-    distinct = F.count_distinct(F.when(~_nan(s), s)) + F.coalesce(F.max(_nan(s).cast("int")), F.lit(0))
-    return sub.agg(F.coalesce(ratio(distinct, F.count(F.lit(1))), F.lit(0.0)).alias("unique_ratio"))
+    return _score_groups(sub, score).agg(F.coalesce(ratio(F.count(F.lit(1)), F.sum("_n")), F.lit(0.0)).alias("unique_ratio"))
 
 
 def mean_drift(sub: DataFrame, valid: DataFrame, score: str = "score", valid_score: str = "y_score") -> DataFrame:
@@ -82,37 +87,40 @@ def mean_drift(sub: DataFrame, valid: DataFrame, score: str = "score", valid_sco
                     ratio(F.abs(F.col("score_mean") - v_mean), v_mean).alias("mean_drift"))
 
 
+def _key_counts(sub: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """One row: duplicates, missing_ids, extra_ids, expected_rows, from one full outer join of the distinct keys with their counts."""
+    a = sub.groupBy(F.col(key).alias("_s")).agg(F.count(F.lit(1)).alias("_sn"))
+    b = target.groupBy(F.col(key).alias("_t")).agg(F.count(F.lit(1)).alias("_tn"))
+    both = a.join(b, F.col("_s").eqNullSafe(F.col("_t")), "full_outer")
+    none = lambda c: F.count(F.when(F.col(c).isNull(), 1))
+    return both.agg(F.coalesce(F.sum(F.col("_sn") - 1), F.lit(0)).alias("duplicates"), none("_sn").alias("missing_ids"),
+                    none("_tn").alias("extra_ids"), F.coalesce(F.sum("_tn"), F.lit(0)).alias("expected_rows"))
+
+
 def gate_report(sub: DataFrame, target: DataFrame, valid: DataFrame | None = None, key: str = "id",
                 score: str = "score", valid_score: str = "y_score") -> DataFrame:
     """Q11: one row with every count, ``errors`` and ``warnings`` (codes) and ``passed``.
 
-    ``valid`` (validation predictions) is optional (S16, Q10): without it the drift fields are NULL and
-    a warning says so."""
-    s = F.col(score)
-    bad = _nan(s)
-    distinct = F.count_distinct(F.when(~bad, s)) + F.coalesce(F.max(bad.cast("int")), F.lit(0))
-    base = sub.agg(
-        F.count(F.lit(1)).alias("rows"),
-        (F.count(F.lit(1)) - F.count_distinct(key) - F.max(F.col(key).isNull().cast("int"))).alias("duplicates"),
-        F.count(F.when(bad, 1)).alias("nan"),
-        F.count(F.when(~bad & ((s < 0) | (s > 1)), 1)).alias("out_of_range"),
-        F.coalesce(ratio(distinct, F.count(F.lit(1))), F.lit(0.0)).alias("unique_ratio"),
-        F.min(F.when(~bad, s)).alias("score_min"), F.avg(F.when(~bad, s)).alias("score_mean"),
-        F.max(F.when(~bad, s)).alias("score_max"))
-    expected = target.select(F.count(F.lit(1))).scalar()
-    n_missing = missing_ids(sub, target, key).select(F.count(F.lit(1))).scalar()
-    n_extra = extra_ids(sub, target, key).select(F.count(F.lit(1))).scalar()
+    Keys and scores are aggregated separately, each once, and the one-row results are put together. ``valid``
+    (validation predictions) is optional (S16, Q10): without it the drift fields are NULL and a warning says so.
+    Columns other than id, score are an error (Q1); the other checks still need a key and a score column."""
+    s = F.col("_score")
+    n = F.sum("_n")
+    scores = _score_groups(sub, score).agg(
+        F.coalesce(n, F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(s.isNull(), F.col("_n"))), F.lit(0)).alias("nan"),
+        F.coalesce(F.sum(F.when((s < 0) | (s > 1), F.col("_n"))), F.lit(0)).alias("out_of_range"),
+        F.coalesce(ratio(F.count(F.lit(1)), n), F.lit(0.0)).alias("unique_ratio"), F.min(s).alias("score_min"),
+        ratio(F.sum(s * F.col("_n")), F.sum(F.when(s.isNotNull(), F.col("_n")))).alias("score_mean"), F.max(s).alias("score_max"))
+    r = scores.crossJoin(_key_counts(sub, target, key))  # one row each
     if valid is not None:
-        v_mean = valid.where(~_nan(F.col(valid_score))).select(F.avg(valid_score)).scalar()
-        drift = ratio(F.abs(F.col("score_mean") - v_mean), v_mean)
-        no_valid = F.lit(False)
+        v = valid.where(~_nan(F.col(valid_score))).agg(F.avg(valid_score).alias("valid_score_mean"))
+        r = r.crossJoin(v).withColumns({"mean_drift": ratio(F.abs(F.col("score_mean") - F.col("valid_score_mean")), F.col("valid_score_mean")),
+                                        "_no_valid": F.lit(False)})
     else:
-        v_mean, drift, no_valid = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(True)
-    r = base.select("*", expected.alias("expected_rows"), n_missing.alias("missing_ids"),
-                    n_extra.alias("extra_ids"), v_mean.alias("valid_score_mean"), drift.alias("mean_drift"),
-                    no_valid.alias("_no_valid"))
+        r = r.withColumns({"valid_score_mean": F.lit(None).cast("double"), "mean_drift": F.lit(None).cast("double"), "_no_valid": F.lit(True)})
     code = lambda cond, name: F.when(cond, F.lit(name))
     errors = F.array_compact(F.array(
+        code(F.lit(not format_ok(sub)), "columns"),
         code(F.col("rows") != F.col("expected_rows"), "row_count"),
         code(F.col("duplicates") > 0, "duplicate_ids"),
         code(F.col("missing_ids") > 0, "missing_ids"),

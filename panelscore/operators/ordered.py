@@ -1,22 +1,17 @@
 """Order-dependent primitives without a single-partition window.
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row to one task. These two helpers give the
-same results with the work spread over range- or quantile-partitioned tasks; only a table of one row per
+same results with the work spread over range-partitioned tasks; only a table of one row per
 partition (a proven, configured bound) is broadcast.
 """
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _by_range(df: DataFrame, cols: list[str], n: int | None) -> DataFrame:
     """Range partitioning; without ``n`` adaptive execution may merge neighbouring ranges, which keeps the
     partitions contiguous and in order."""
@@ -51,33 +46,24 @@ def with_global_rank(df: DataFrame, order_cols: list[str], out: str = "rank",
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], descending: bool = True,
-                   prefix: str = "cum_", buckets: int | None = None, materialized: bool = False) -> DataFrame:
+                   prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` along ``order_col``, which must be unique and not null.
 
-    Rows are cut into quantile buckets of ``order_col`` (bounds from ``approxQuantile``: they only affect
-    balance, never the result), hash-partitioned by bucket, summed inside each bucket with a window that
-    needs no further exchange, and shifted by the exclusive prefix of the bucket totals. The input is read
-    twice (bounds, then sums), so it is checkpointed unless ``materialized`` says the caller already did.
+    Rows are range-partitioned by ``order_col`` (Spark samples the bounds; they only affect balance, never the
+    result) and checkpointed with their range's number, so that totals and sums see the same assignment even after a
+    lost executor. Each range is summed by a window of its own and shifted by the total of the ranges before
+    it: one row per range is all that meets in one place.
     """
     checkpoint_dir(df.sparkSession)
-    k = _partitions(df, buckets)
-    base = df if materialized else df.checkpoint()
-    probs = [i / k for i in range(1, k)]
-    bounds = sorted({b for b in base.approxQuantile(order_col, probs, 1.0 / (4 * k))
-                     if b not in (float("inf"), float("-inf"))})
-    splits = [float("-inf"), *bounds, float("inf")]
-    bucketed = (Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket", handleInvalid="keep")
-                .transform(base.withColumn(order_col, F.col(order_col).cast("double")))
-                .withColumn("_bucket", F.col("_bucket").cast("int"))
-                .repartition("_bucket"))  # adaptive execution sizes the partitions; buckets never split
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    inside = Window.partitionBy("_bucket").orderBy(direction(order_col)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = bucketed.select("*", *[F.sum(c).over(inside).alias(f"_loc_{c}") for c in sum_cols])
-    totals = bucketed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    earlier = Window.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_tot_{c}").over(earlier), F.lit(0))
-                                         .alias(f"_off_{c}") for c in sum_cols])
-    return (local.join(F.broadcast(offsets), "_bucket")
+    direction = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ranged = df.repartitionByRange(partitions, direction) if partitions else df.repartitionByRange(direction)
+    placed = ranged.withColumn("_range", F.spark_partition_id()).checkpoint()
+    inside = Window.partitionBy("_range").orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.select("*", *[F.sum(c).over(inside).alias(f"_loc_{c}") for c in sum_cols])
+    totals = placed.groupBy("_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_tot_{c}").over(earlier), F.lit(0))
+                                        .alias(f"_off_{c}") for c in sum_cols])
+    return (local.join(F.broadcast(offsets), "_range")  # one row per partition
             .select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(prefix + c)
                                    for c in sum_cols]))

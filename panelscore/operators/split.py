@@ -17,7 +17,10 @@ def hash_split(df: DataFrame, key: str = "id", seed: int = SPLIT_SEED,
     """Adds ``u`` (the key's hash in [0, 1)) and ``is_valid`` = u < valid_fraction.
 
     A pure function of the key: the same clients land in the same part whatever the row order,
-    partitioning or number of files, and every model uses the same split (SURVEY D1)."""
+    partitioning or number of files, and every model uses the same split (SURVEY D1). A NULL key has no hash
+    and would fall out of both parts, so it fails the job."""
+    key_or_fail = F.when(F.col(key).isNull(), F.raise_error(F.lit("NULL key in the table to split"))).otherwise(F.col(key))
+    df = df.withColumn(key, key_or_fail)
     return with_unit_hash(df, key, seed, out="u").withColumn(flag, F.col("u") < F.lit(valid_fraction))
 
 

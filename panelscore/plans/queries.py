@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_doubles
+from ..functions.numeric import round_doubles, round_report
 from ..operators import fold, gates, metrics, models, profile, split
 from ..session import work_path
 from ..sources import bindings as B
@@ -112,6 +112,23 @@ def sequence_duplicates(spark, sf_dir):
     return fold.duplicate_sequences(li, "id", "rn")
 
 
+def _null_spec():
+    return fold.FoldSpec(key="id", seq="rn", trend=("qty", "disc"), recent=("qty", "disc", "rflag"), recent_n=3, segment=1024)
+
+
+@query("mart_null_keys")
+def mart_null_keys(spark, sf_dir):
+    """A third of all rows under a NULL key, some without a sequence number: more rows than a segment, so ``auto`` takes the
+    segmented plan."""
+    return round_doubles(fold.fold_history(B.lineitem_history_nulls(spark, sf_dir), _null_spec()))
+
+
+@query("steps_null_keys")
+def steps_null_keys(spark, sf_dir):
+    return fold.with_steps(B.lineitem_history_nulls(spark, sf_dir), _null_spec()).select(
+        "id", "rn", "qty", "disc", "rn_max", "qty_step", "disc_step")
+
+
 @query("mart_nulls")
 def mart_nulls(spark, sf_dir):
     """The mart over a history with NULL codes: means skip them, ``last`` keeps them, steps skip them."""
@@ -263,6 +280,12 @@ def score_histogram(spark, sf_dir):
     return metrics.score_histogram(_preds(spark, sf_dir))
 
 
+@query("score_histogram_sparse")
+def score_histogram_sparse(spark, sf_dir):
+    """Unscaled scores: negative ones are in no bin, and bins stay empty in the thin upper tail."""
+    return metrics.score_histogram(B.unscaled_predictions(spark, sf_dir))
+
+
 @query("score_percentiles")
 def score_percentiles(spark, sf_dir):
     probs = [0.5, 0.9, 0.99]
@@ -281,9 +304,8 @@ def calibration(spark, sf_dir):
 
 @query("ingest_history")
 def ingest_history(spark, sf_dir):
-    """Parquet parts matched by a file-name glob in the table folder, copied into the canonical layer as 8
-    files and read back (S1, S3, S5)."""
-    out, _ = io.ingest_parquet(spark, sf_dir, work_path(spark, "history"), 8, glob="lineitem*.parquet")
+    """Parquet parts matched by a file-name glob in the table folder, copied into the canonical layer and read back."""
+    out, _ = io.ingest_parquet(spark, sf_dir, work_path(spark, "history"), glob="lineitem*.parquet")
     return out
 
 
@@ -298,34 +320,36 @@ def ingest_target(spark, sf_dir):
 
 @query("ingest_counts")
 def ingest_counts(spark, sf_dir):
-    """Rows of each ingested table, counted on the written copy."""
-    hist, _ = io.ingest_parquet(spark, f"{sf_dir}/lineitem.parquet", work_path(spark, "history"), 8)
-    tgt, _ = io.ingest_parquet(spark, f"{sf_dir}/orders.parquet", work_path(spark, "orders"), 2)
-    return (hist.agg(F.lit("lineitem").alias("table_name"), F.count(F.lit(1)).alias("rows"))
-            .unionByName(tgt.agg(F.lit("orders").alias("table_name"), F.count(F.lit(1)).alias("rows"))))
+    """Rows of each ingested table as the ingest returns them (``loaded``), beside a count of the copy."""
+    parts = []
+    for name in ("lineitem", "orders"):
+        copy, loaded = io.ingest_parquet(spark, f"{sf_dir}/{name}.parquet", work_path(spark, name))
+        parts.append(copy.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")).withColumn("loaded", F.lit(loaded).cast("long")))
+    return parts[0].unionByName(parts[1])
 
 
 @query("mart_materialized")
 def mart_materialized(spark, sf_dir):
-    """The labelled mart computed once, written as 8 files, copied from the written table."""
-    out, _ = io.materialize(spark, client_mart(spark, sf_dir), work_path(spark, "mart"), 8,
-                            copy_path=work_path(spark, "mart-copy"))
-    return out
+    """The labelled mart computed once and copied from the written table (S7); the copy is read back."""
+    copy = work_path(spark, "mart-copy")
+    io.materialize(spark, client_mart(spark, sf_dir), work_path(spark, "mart"), copy_path=copy)
+    return spark.read.parquet(copy)
 
 
 @query("compact_types")
 def compact_types(spark, sf_dir):
     """The written mart read back as one multi-file scan and narrowed to float/int."""
-    out, _ = io.materialize(spark, mart_base(spark, sf_dir), work_path(spark, "mart-base"), 4)
+    out, _ = io.materialize(spark, mart_base(spark, sf_dir), work_path(spark, "mart-base"))
     return io.compact_types(out)
 
 
 @query("submission_csv")
 def submission_csv(spark, sf_dir):
-    """Scores sorted by id into a headed CSV and scanned back."""
+    """Scores sorted by id into a headed CSV and scanned back (S12, S13, O2). ``misplaced`` counts the rows of a
+    part file whose id is under an earlier row's or under the largest of the earlier files (0: the written order is total)."""
     path = work_path(spark, "submission")
     io.write_submission_csv(B.orders_scores(spark, sf_dir), path)
-    return io.read_submission_csv(spark, path)
+    return B.with_file_order(io.read_submission_csv(spark, path))
 
 
 @query("predictions_sink")
@@ -398,6 +422,27 @@ def gate_report(spark, sf_dir):
     return round_doubles(rep)
 
 
+@query("gate_report_empty")
+def gate_report_empty(spark, sf_dir):
+    """Nothing was scored (no order has a negative price share): no duplicates, every client missing."""
+    return round_doubles(gates.gate_report(B.orders_scores(spark, sf_dir).where("score < 0"), B.orders_target(spark, sf_dir), None))
+
+
+@query("gate_report_columns")
+def gate_report_columns(spark, sf_dir):
+    """Right scores under a third column: the column list is an error of the report (Q1, Q11)."""
+    sub = B.orders_scores(spark, sf_dir).withColumn("source", F.lit("model"))
+    return gates.gate_report(sub, B.orders_target(spark, sf_dir), None).select("rows", "duplicates", "errors", "passed")
+
+
+@query("rounded_report")
+def rounded_report(spark, sf_dir):
+    """Report rounding (F5) of every order's price share and total at 2 to 5 digits."""
+    o = B.orders_scores(spark, sf_dir).join(B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice"), "id")
+    return o.select("id", *[round_report(F.col("score"), d).alias(f"s{d}") for d in (3, 5)], round_report(F.col("o_totalprice") / 100, 3).alias("p3"),
+                    round_report(F.col("o_totalprice") / 8, 1).alias("p1"))
+
+
 @query("gates_no_valid")
 def gates_no_valid(spark, sf_dir):
     """Without validation scores the drift check is skipped with a warning."""
@@ -405,7 +450,8 @@ def gates_no_valid(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models
-# Rows-only checks: model scores have no SQL oracle. Boosted models run at most 10 rounds here.
+# Rows-only checks: model scores have no SQL oracle. The registered queries ask for a limit of ML_ROUNDS boosting
+# rounds (the operators' default is the parameter sets' own limit); the rounds kept are a column of the result.
 
 ML_ROUNDS = 10
 
@@ -413,8 +459,8 @@ ML_ROUNDS = 10
 def _ml_input(spark, sf_dir) -> DataFrame:
     """The labelled mart with the hash split, written once and read back (S7) for iterative training."""
     mart = fold.fold_history(B.lineitem_history(spark, sf_dir), B.LINEITEM_SPEC)
-    labelled = split.hash_split(label_mart(mart, B.orders_target(spark, sf_dir))).drop("u")
-    out, _ = io.materialize(spark, labelled, work_path(spark, "ml-input"), 8)
+    labelled = split.hash_split(label_mart(mart, B.value_target(spark, sf_dir))).drop("u")
+    out, _ = io.materialize(spark, labelled, work_path(spark, "ml-input"))
     return out
 
 
@@ -422,24 +468,34 @@ def _features(df):
     return models.model_features(df, exclude=("is_valid",))
 
 
-def _baseline(spark, sf_dir):
-    data = _ml_input(spark, sf_dir)
+def _baseline(spark, sf_dir, data=None):
+    data = _ml_input(spark, sf_dir) if data is None else data
     train = split.with_class_weights(data.where(~F.col("is_valid")), counted_on=data)  # before the split (D4)
     return models.baseline_pipeline(_features(data)).fit(train), data.where(F.col("is_valid")), data
 
 
-def _gbt(spark, sf_dir, params):
-    data = _ml_input(spark, sf_dir)
-    model = models.gbt_pipeline(_features(data), params=params, validation_col="is_valid",
-                                maxIter=ML_ROUNDS).fit(data)
-    return model, data.where(F.col("is_valid")), data
+def _gbt(spark, sf_dir, params, patience, data=None):
+    data = _ml_input(spark, sf_dir) if data is None else data
+    valid = data.where(F.col("is_valid"))
+    return models.fit_boosted(_features(data), data.where(~F.col("is_valid")), valid, params=params, patience=patience, rounds=ML_ROUNDS), valid, data
+
+
+def _primary(spark, sf_dir, data=None):
+    return _gbt(spark, sf_dir, models.PRIMARY_PARAMS, models.PRIMARY_PATIENCE, data)
+
+
+def _comparison(spark, sf_dir, data=None):
+    return _gbt(spark, sf_dir, models.COMPARISON_PARAMS, models.COMPARISON_PATIENCE, data)
 
 
 @query("assemble")
 def assemble(spark, sf_dir):
+    """The scaled vector (M1, M2), one row per client and feature, rounded to 6 digits."""
     data = _ml_input(spark, sf_dir)
-    out = models.assemble(data, _features(data))
-    return out.select("id", vector_to_array("features").alias("features"))
+    cols = _features(data)
+    out = models.assemble(data, cols).select("id", vector_to_array("features").alias("v"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select("id", F.posexplode("v").alias("i", "value")).select("id", F.get(names, "i").alias("feature"), F.round("value", 6).alias("value"))
 
 
 @query("baseline_scores")
@@ -458,28 +514,28 @@ def mllib_metrics(spark, sf_dir):
 
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
-    model, valid, _ = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
-    return models.score(model, valid)
+    b, valid, _ = _primary(spark, sf_dir)
+    return models.score(b.model, valid).withColumn("rounds", F.lit(b.rounds))
 
 
 @query("gbt2_scores")
 def gbt2_scores(spark, sf_dir):
-    model, valid, _ = _gbt(spark, sf_dir, models.COMPARISON_PARAMS)
-    return models.score(model, valid)
+    b, valid, _ = _comparison(spark, sf_dir)
+    return models.score(b.model, valid).withColumn("rounds", F.lit(b.rounds))
 
 
 @query("score_test")
 def score_test(spark, sf_dir):
     """Scores for clients without a label (the test role: orders with history whose flag is unknown to
     the model), in training column order (P3, M9), as a submission (id, score)."""
-    model, _, data = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
-    return models.score(model, data.drop("flag"), label=None, out="score").orderBy("id")
+    b, _, data = _primary(spark, sf_dir)
+    return models.score(b.model, data.drop("flag"), label=None, out="score").orderBy("id")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    model, _, data = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
-    return models.feature_importance(model, _features(data), top=30)
+    b, _, data = _primary(spark, sf_dir)
+    return models.feature_importance(b.model, _features(data), top=30)
 
 
 @query("model_roundtrip")
@@ -490,17 +546,16 @@ def model_roundtrip(spark, sf_dir):
     models.save_model(model, path)
     before = models.score(model, valid, out="before")
     after = models.score(models.load_model(path), valid, label=None, out="after")
-    return before.join(after, "id").select("id", "before", "after", (F.col("before") == F.col("after")).alias("same"))
+    return before.join(after, "id").select("id", (F.col("before") == F.col("after")).alias("same"))
 
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     """Exact metric rows of the three models on the same hash-split validation rows."""
-    base, valid, _ = _baseline(spark, sf_dir)
-    primary, _, _ = _gbt(spark, sf_dir, models.PRIMARY_PARAMS)
-    second, _, _ = _gbt(spark, sf_dir, models.COMPARISON_PARAMS)
+    base, valid, data = _baseline(spark, sf_dir)
+    primary, second = _primary(spark, sf_dir, data)[0], _comparison(spark, sf_dir, data)[0]
     records = [(name, metrics.metric_record(models.score(m, valid), name)) for name, m in
-               (("logistic_regression", base), ("gbt_comparison", second), ("gbt_primary", primary))]
+               (("logistic_regression", base), ("gbt_comparison", second.model), ("gbt_primary", primary.model))]
     return models.comparison(records)
 
 
@@ -508,8 +563,10 @@ def model_comparison(spark, sf_dir):
 
 @query("eda_report")
 def eda_report(spark, sf_dir):
-    return reports.eda_report(_lines(spark, sf_dir), B.orders_target(spark, sf_dir),
-                              list(B.LINEITEM_FEATURES), ["rflag", "disc"])
+    """The profile report, one row per figure."""
+    rep = reports.eda_report(_lines(spark, sf_dir), B.orders_target(spark, sf_dir),
+                             list(B.LINEITEM_FEATURES), ["rflag", "disc"])
+    return reports.eda_rows(rep)
 
 
 @query("metrics_report")
@@ -519,5 +576,6 @@ def metrics_report(spark, sf_dir):
 
 @query("submission_report")
 def submission_report(spark, sf_dir):
-    return reports.submission_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir),
-                                     B.orders_predictions(spark, sf_dir))
+    rep = reports.submission_report(B.orders_scores(spark, sf_dir), B.orders_target(spark, sf_dir),
+                                    B.orders_predictions(spark, sf_dir))
+    return rep.select("*", F.col("percentiles.valid").alias("valid_percentiles"), F.col("percentiles.test").alias("test_percentiles")).drop("percentiles")

@@ -2,10 +2,11 @@
 
 Stages exchange tables through files, so every materialised table lives under the folder the cluster
 names in ``spark.checkpoint.dir`` (a shared file system on a cluster). A local folder is created only
-when that setting is absent, which happens in tests and on a laptop.
+when that setting is absent and the master is local; on a cluster a missing setting is an error.
 """
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,16 +42,23 @@ def get_spark(app_name: str = "panelscore", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder; set from ``spark.checkpoint.dir`` or, if unset, a local one."""
+    """The reliable checkpoint folder; set from ``spark.checkpoint.dir`` or, if unset on a local master, a local one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="panelscore-ckpt-"))
+    sc.setCheckpointDir(shared_folder(sc.master, spark.conf.get("spark.checkpoint.dir", None)))
     return sc.getCheckpointDir()
 
 
+def shared_folder(master: str, configured: str | None) -> str:
+    if configured:
+        return configured
+    if re.fullmatch(r"local(\[.*\])?", master):
+        return tempfile.mkdtemp(prefix="panelscore-ckpt-")
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a table this library writes."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"

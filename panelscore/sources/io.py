@@ -36,9 +36,10 @@ def write_counted(df: DataFrame, path: str, n_parts: int | None = None, fmt: str
     return df.sparkSession.read.options(**options).format(fmt).load(path).count()
 
 
-def ingest_parquet(spark: SparkSession, src: str, dst: str, n_parts: int,
+def ingest_parquet(spark: SparkSession, src: str, dst: str, n_parts: int | None = None,
                    glob: str | None = None) -> tuple[DataFrame, int]:
-    """Copy parquet parts into the canonical layer as ``n_parts`` files; returns the copy and its rows."""
+    """Copy parquet parts into the canonical layer; returns the copy and its rows. Without ``n_parts`` there is
+    one file per scan task, so the file count follows the input's bytes."""
     rows = write_counted(read_parquet(spark, src, glob), dst, n_parts)
     return spark.read.parquet(dst), rows
 
@@ -61,7 +62,7 @@ def ingest_target(spark: SparkSession, src_csv: str, dst: str, schema: StructTyp
     return spark.read.parquet(dst), rows
 
 
-def materialize(spark: SparkSession, df: DataFrame, path: str, n_parts: int,
+def materialize(spark: SparkSession, df: DataFrame, path: str, n_parts: int | None = None,
                 copy_path: str | None = None) -> tuple[DataFrame, int]:
     """Compute ``df`` once into ``path``; further copies and counts read the written table."""
     rows = write_counted(df, path, n_parts)
@@ -91,14 +92,10 @@ def compact_types(df: DataFrame, keep=NARROW_KEEP) -> DataFrame:
     return df.select(*cols)
 
 
-def write_submission_csv(df: DataFrame, path: str, key: str = "id", single_file: bool = False) -> int:
+def write_submission_csv(df: DataFrame, path: str, key: str = "id") -> int:
     """Submission sink (S12, O2): header ``id,score``, rows in key order. The sort is a range shuffle, and
-    the part files are written in range order; ``single_file`` funnels them through one task and is only
-    meant for small outputs."""
-    out = df.orderBy(key)
-    if single_file:
-        out = out.coalesce(1)
-    return write_counted(out, path, fmt="csv", header=True)
+    the part files are written in range order."""
+    return write_counted(df.orderBy(key), path, fmt="csv", header=True)
 
 
 def read_submission_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -121,9 +118,12 @@ def write_predictions(df: DataFrame, path: str, key: str = "id") -> int:
     return write_counted(df.select(key, "y_true", "y_score"), path)
 
 
-def write_report(df: DataFrame, path: str) -> int:
-    """JSON report sink (S10): one JSON object per row, nested values as structs and arrays."""
-    return write_counted(df.coalesce(1), path, fmt="json")
+def write_report(df: DataFrame, path: str) -> dict:
+    """JSON report sink (S10): the one row of a report as a JSON object, nested values as structs and arrays;
+    returns it as a dict. The report is computed once: the row that was fetched is what is written."""
+    row = report_dict(df)
+    df.sparkSession.createDataFrame([tuple(row[c] for c in df.columns)], df.schema).coalesce(1).write.mode("overwrite").json(path)
+    return row
 
 
 def read_report(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

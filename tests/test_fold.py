@@ -1,9 +1,11 @@
 """History fold: FIXTURES §3 edge cases and agreement with a brute-force fold at every segment size."""
 import math
 import random
+from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelscore.operators.fold import FoldSpec, duplicate_sequences, fold_history, with_steps
 
@@ -91,6 +93,32 @@ def test_fold_equals_brute_force(spark, segment, strategy):
                 assert math.isclose(g, v, rel_tol=1e-12, abs_tol=1e-12), (k, col, g, v)
 
 
+@pytest.mark.parametrize("kind,values", [("int", list(range(-5, 6))), ("bigint", [6 * 10 ** 18, 6 * 10 ** 18 - 4, 3]), ("double", [0.5, -2.25, 8.0]),
+                                         ("decimal(10,2)", [Decimal("1.10"), Decimal("-7.35"), Decimal("99999.99")])])
+def test_both_plans_agree_in_rows_types_and_values(spark, kind, values):
+    """NULL keys, one NULL sequence number per key, NULL codes: every row is kept, whatever the plan."""
+    rnd = random.Random(kind)
+    rows = []
+    for key, n in ((None, 41), (1, 30), (2, 1), (3, 7)):
+        for i in [None, *range(1, n)]:
+            rows.append((key, i, None if rnd.random() < 0.1 else rnd.choice(values)))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, f"id long, rn long, c {kind}")
+    spec = FoldSpec(key="id", seq="rn", trend=("c",), recent=("c",), recent_n=3, segment=4)
+    a, b = fold_history(df, spec, "single"), fold_history(df, spec, "segmented")
+    assert [(f.name, f.dataType) for f in a.schema.fields] == [(f.name, f.dataType) for f in b.schema.fields]
+    flat = lambda d: sorted(([str(v if not isinstance(v, float) else float(f"{v:.12g}")) for v in r] for r in d.collect()))
+    assert flat(a) == flat(b) and len(flat(a)) == 4
+    a, b = with_steps(df, spec, "single"), with_steps(df, spec, "segmented")
+    assert a.schema == b.schema and flat(a) == flat(b) and len(flat(b)) == len(rows)
+
+
+def test_no_measuring_job_without_a_window(spark):
+    spec = FoldSpec(trend=(), recent=(), segment=1)
+    broken = _hist(spark, [(1, 1, 1)]).withColumn("id", F.raise_error(F.lit("ran")).cast("long"))
+    fold_history(broken, spec)  # a plan only: nothing runs
+
+
 def test_hot_key_groups_stay_bounded(spark):
     """A key with most of the rows is cut into segments: no (key, segment) group exceeds the width."""
     rows = [(1, i, i % 7) for i in range(1, 5001)] + [(2, 1, 3)]

@@ -39,6 +39,27 @@ def test_each_defect_has_its_error(spark, rows, error):
     assert error in r["errors"] and not r["passed"]
 
 
+def test_further_column_is_an_error_of_the_report(spark):
+    target = spark.createDataFrame(TARGET, "id long")
+    sub = spark.createDataFrame([(i, s, "x") for i, s in GOOD], "id long, score double, extra string")
+    r = gates.gate_report(sub, target).first()
+    assert r["errors"] == ["columns"] and not r["passed"]
+    with pytest.raises(gates.GateError):
+        gates.assert_gates(gates.gate_report(sub, target))
+
+
+def test_empty_submission_has_no_duplicates(spark):
+    r = _report(spark, [])
+    assert (r["duplicates"], r["rows"], r["missing_ids"], r["unique_ratio"]) == (0, 0, 10, 0.0)
+    assert gates.duplicate_count(_sub(spark, [])).first()["duplicates"] == 0
+
+
+def test_missing_id_value_is_an_extra_id(spark):
+    r = _report(spark, GOOD[:-1] + [(None, 0.5)])
+    assert r["extra_ids"] == 1 and "extra_ids" in r["errors"]
+    assert gates.extra_ids(_sub(spark, [(None, 0.5), (None, 0.4), (1, 0.1)]), spark.createDataFrame(TARGET, "id long")).count() == 1
+
+
 def test_missing_id_also_fails_row_count(spark):
     r = _report(spark, GOOD[:-1])
     assert {"row_count", "missing_ids"} <= set(r["errors"])

@@ -143,6 +143,7 @@ def test_histogram_equals_numpy(spark):
     y = np.array([a for a, _ in pairs]); s = np.array([b for _, b in pairs])
     edges = np.linspace(0, s.max(), 60)
     got = {r["bin"]: r for r in metrics.score_histogram(_preds(spark, pairs)).collect()}
+    assert sorted(got) == list(range(59))
     for cls, col in ((0, "density_neg"), (1, "density_pos")):
         dens, _ = np.histogram(s[y == cls], bins=edges, density=True)
         for b, d in enumerate(dens):
@@ -150,6 +151,51 @@ def test_histogram_equals_numpy(spark):
     assert got[58]["n_pos"] >= 1
 
 
+def test_histogram_leaves_out_negative_scores_and_survives_a_zero_maximum(spark):
+    rows = metrics.score_histogram(_preds(spark, [(1, 0.9), (0, 0.1), (1, 0.5), (0, -0.2)])).collect()
+    assert sorted(r["bin"] for r in rows) == list(range(59))
+    assert sum(r["n_neg"] for r in rows) == 1 and sum(r["n_pos"] for r in rows) == 2
+    width = 0.9 / 59
+    assert sum(r["density_neg"] for r in rows) * width == pytest.approx(1) and sum(r["density_pos"] for r in rows) * width == pytest.approx(1)
+    zero = metrics.score_histogram(_preds(spark, [(1, 0.0), (0, 0.0)])).collect()
+    assert len(zero) == 59 and all(r["density_neg"] is None for r in zero) and [r["bin"] for r in zero if r["n_pos"]] == [58]
+    assert metrics.score_histogram(_preds(spark, [(1, -1.0)])).count() == 0
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_rows_without_a_score_fail_or_are_counted(spark, bad):
+    p = _preds(spark, [(1, 0.9), (0, 0.1), (1, bad), (0, bad)])
+    with pytest.raises(Exception, match="NULL or NaN"):
+        metrics.metric_record(p, "m").collect()
+    r = metrics.metric_record(p, "m", on_missing="count").first()
+    assert (r["valid_rows"], r["unscored_rows"], r["roc_auc"]) == (2, 2, 1.0)
+    assert metrics.score_summary(p).first()["unscored_rows"] == 2
+
+
+def test_everything_from_one_curve_equals_everything_from_predictions(spark):
+    p = _preds(spark, _random_pairs(8))
+    c = metrics.score_curve(p)
+    for f in (metrics.ranking_metrics, metrics.roc_curve, metrics.score_histogram, metrics.calibration_table, metrics.confusion_at_ks):
+        assert sorted(map(tuple, f(p).collect())) == sorted(map(tuple, f(c).collect()))
+    assert metrics.exact_percentiles(p, "y_score", [0.1, 0.5]).collect() == metrics.exact_percentiles(c, "y_score", [0.1, 0.5]).collect()
+
+
+def test_report_rounding_is_pythons(spark):
+    from panelscore.functions.numeric import round_report
+    rnd = random.Random(2)
+    xs = [2.675, 1.005, 0.125, 0.375, -2.675, 2.5, 0.0, 1e-7, 0.135, 123456.785, 1e9 + 0.125] + [round(rnd.random() * 10 ** rnd.randint(0, 5), 3) for _ in range(2000)] \
+        + [rnd.randint(0, 10 ** 6) / 2 ** rnd.randint(0, 9) for _ in range(500)] + [rnd.random() for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for digits in (0, 2, 5):
+        got = [r[0] for r in df.select(round_report(F.col("x"), digits)).collect()]
+        assert got == [float(round(x, digits)) for x in xs]
+
+
+def test_null_keys_cannot_be_split(spark):
+    with pytest.raises(Exception, match="NULL key"):
+        split.hash_split(spark.createDataFrame([(None,), (1,)], "id long")).collect()
+
+
 def test_hash_split_equals_python_and_ignores_partitioning(spark):
     keys = list(range(0, 3000, 7)) + [2 ** 40 + 3, 2 ** 62 - 1, -5]
     df = spark.createDataFrame([(k,) for k in keys], "id long")

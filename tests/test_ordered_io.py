@@ -30,12 +30,38 @@ def test_running_totals_equal_cumsum(spark):
     w = rnd.integers(0, 5, 2000)
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, w)], "x double, w long")
     for desc in (True, False):
-        got = {r["x"]: r["cum_w"] for r in running_totals(df, "x", ["w"], descending=desc, buckets=7).collect()}
+        got = {r["x"]: r["cum_w"] for r in running_totals(df, "x", ["w"], descending=desc, partitions=7).collect()}
         order = np.argsort(-x if desc else x)
         cum = np.cumsum(w[order])
         assert all(got[x[i]] == c for i, c in zip(order, cum))
 
 
+def test_submission_files_are_in_id_order(spark):
+    from panelscore.sources.bindings import with_file_order
+    d = tempfile.mkdtemp(prefix="sub-")
+    ids = list(range(0, 4000, 3))
+    random.Random(4).shuffle(ids)
+    df = spark.createDataFrame([(i, 0.5) for i in ids], "id long, score double")
+    io.write_submission_csv(df, f"{d}/a")
+    assert with_file_order(io.read_submission_csv(spark, f"{d}/a")).where("misplaced > 0").count() == 0
+    df.repartition(3).write.csv(f"{d}/b", header=True)
+    assert with_file_order(io.read_submission_csv(spark, f"{d}/b")).where("misplaced > 0").count() > 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from panelscore.session import shared_folder
+    assert shared_folder("yarn", "hdfs:///work") == "hdfs:///work"
+    assert os.path.isdir(shared_folder("local[4]", None))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(master, None)
+
+
+def test_report_must_have_one_row(spark):
+    with pytest.raises(ValueError):
+        io.write_report(spark.range(2), tempfile.mkdtemp(prefix="rep-") + "/r")
+
+
 def test_target_csv_roundtrip_and_counts(spark):
     d = tempfile.mkdtemp(prefix="io-")
     with open(f"{d}/t.csv", "w") as f:

@@ -5,8 +5,9 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
+from panelscore.plans.oracle import ORACLE
 from panelscore.operators.fold import FoldSpec, fold_history
-from panelscore.plans.inspect import count_nodes, plan_text, python_nodes
+from plan_inspect import count_nodes, plan_text, python_nodes
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +51,7 @@ def test_filters_reach_the_scan(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)]" in plan_text(df)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if not k.startswith(("ingest", "mart_mat",
+@pytest.mark.parametrize("key", sorted(k for k in ORACLE if not k.startswith(("ingest", "mart_mat",
                                                                                         "compact", "submission",
                                                                                         "predictions"))))
 def test_no_python_on_the_row_path(spark, sf_dir, key):
