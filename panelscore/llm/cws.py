@@ -7,7 +7,7 @@ Two texts draw the same sample with a probability equal to their generalised Jac
 is -ln(u1 u2); each hash gives three uniforms of 21 bits; the least ``a`` is found on its logarithm in steps of
 2^-23, ties going to the smaller hash.
 
-Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased. Their frequencies are counted inside the row (sorted word
+Words are ``[^\\x20\\x09-\\x0D]+`` of the lower-cased text. Their frequencies are counted inside the row (sorted word
 hashes, run lengths); samples are minimised by a partial aggregate whose rows are one per text and task, so
 words never cross the network.
 
@@ -25,18 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordered import with_global_rank
-from .common import table
+from .common import stored, table
 
-SAMPLES, SEED = 16, 6
+SAMPLES, TOGETHER, SEED = 16, 4, 6
 BLOCK_BITS = 6  # 64 consecutive keys a block
 SEPARATORS = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def terms(text: Column) -> Column:
     """Array of (hash, frequency) of the distinct words of a text."""
-    lowered = F.translate(text, UPPER, LOWER)
-    hashes = F.sort_array(F.transform(F.filter(F.split(lowered, SEPARATORS), lambda w: w != ""), lambda w: F.xxhash64(w)))
+    hashes = F.sort_array(F.transform(F.filter(F.split(F.lower(text), SEPARATORS), lambda w: w != ""), lambda w: F.xxhash64(w)))
     # a one-element array binds the sorted hashes to a name, so that they are computed once
     return F.flatten(F.transform(F.array(hashes), lambda a: F.transform(F.array(_starts(a)), lambda s: F.transform(
         s, lambda x, i: F.struct(F.get(a, x).alias("term"), (F.coalesce(F.get(s, i + 1), F.size(a)) - x).alias("tf"))))))[0]
@@ -52,30 +50,34 @@ def _uniform(h: Column, third: int) -> Column:
     return (F.shiftrightunsigned(h, 21 * third).bitwiseAND(0x1FFFFF) + 0.5) / float(1 << 21)
 
 
-def with_sample(rows: DataFrame) -> DataFrame:
-    """``rows`` (term, tf, k) with ``code``: the logarithm of a in the high bits, the hash of (term, t) in the low ones.
-
-    One named step after the other, so that each is computed once.
-    """
-    return (rows.withColumn("h1", F.xxhash64(F.lit(SEED), "term", "k"))
-            .withColumn("h2", F.xxhash64("h1"))
-            .withColumn("r", -F.ln(_uniform(F.col("h1"), 0) * _uniform(F.col("h1"), 1)))
-            .withColumn("b", _uniform(F.col("h2"), 1))
-            .withColumn("t", F.floor(F.ln("tf") / F.col("r") + F.col("b")))
-            .withColumn("ln_a", F.ln(-F.ln(_uniform(F.col("h1"), 2) * _uniform(F.col("h2"), 0))) - F.col("r") * (F.col("t") - F.col("b") + 1))
-            .withColumn("code", F.shiftleft(F.floor((F.col("ln_a") + 128) * (1 << 23)), 32).bitwiseOR(F.xxhash64("h1", "t").bitwiseAND(0xFFFFFFFF))))
+def with_codes(rows: DataFrame) -> DataFrame:
+    """``rows`` (term, ln_tf, g) with ``_c0`` ... ``_c3`` for the samples 4 g ... 4 g + 3: the logarithm of a in the high
+    bits, the hash of (term, t) in the low ones. One named step after the other, so that each is computed once."""
+    for j in range(TOGETHER):
+        c = {n: f"_{n}{j}" for n in ("h", "i", "r", "b", "t", "a", "c")}
+        rows = (rows.withColumn(c["h"], F.xxhash64(F.lit(SEED), "term", F.col("g") * TOGETHER + j))
+                .withColumn(c["i"], F.xxhash64(c["h"]))
+                .withColumn(c["r"], -F.ln(_uniform(F.col(c["h"]), 0) * _uniform(F.col(c["h"]), 1)))
+                .withColumn(c["b"], _uniform(F.col(c["i"]), 1))
+                .withColumn(c["t"], F.floor(F.col("ln_tf") / F.col(c["r"]) + F.col(c["b"])))
+                .withColumn(c["a"], F.ln(-F.ln(_uniform(F.col(c["h"]), 2) * _uniform(F.col(c["i"]), 0))) - F.col(c["r"]) * (F.col(c["t"]) - F.col(c["b"]) + 1))
+                .withColumn(c["c"], F.shiftleft(F.floor((F.col(c["a"]) + 128) * (1 << 23)), 32).bitwiseOR(F.xxhash64(c["h"], c["t"]).bitwiseAND(0xFFFFFFFF))))
+    return rows
 
 
 def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], samples: int = SAMPLES) -> DataFrame:
-    """For each row (its ``keys`` are unique): an array column of samples for each of its text columns, named like the text."""
+    """For each row (its ``keys`` are unique): an array column of samples for each of its text columns, named like the text.
+
+    ``samples`` is a multiple of ``TOGETHER``: so many are drawn in one step, the rest in further rows."""
+    groups = samples // TOGETHER
     each = rows.select(*keys, F.posexplode(F.array(*[terms(F.col(t)) for t in texts])).alias("_which", "_terms"))
-    words = each.select(*keys, "_which", F.explode_outer("_terms").alias("_x")).select(*keys, "_which", "_x.*")
-    drawn = words.select("*", F.explode(F.array(*[F.lit(k) for k in range(samples)])).alias("k"))
-    coded = with_sample(drawn).select(*keys, (F.col("_which") * samples + F.col("k")).alias("_slot"), "code")
-    slots = [F.min(F.when(F.col("_slot") == i, F.col("code"))).alias(f"_s{i}") for i in range(samples * len(texts))]
-    mask = 0xFFFFFFFF
-    return coded.groupBy(*keys).agg(*slots).select(*keys, *[
-        F.array(*[F.coalesce(F.col(f"_s{n * samples + k}").bitwiseAND(mask), F.lit(0)) for k in range(samples)]).alias(t) for n, t in enumerate(texts)])
+    words = each.select(*keys, "_which", F.explode_outer("_terms").alias("_x")).select(*keys, "_which", "_x.term", F.ln("_x.tf").alias("ln_tf"))
+    drawn = with_codes(words.select("*", F.explode(F.array(*[F.lit(g) for g in range(groups)])).alias("g")))
+    least = drawn.groupBy(*keys, "_which", "g").agg(*[F.min(f"_c{j}").alias(f"_c{j}") for j in range(TOGETHER)])
+    at = [(w, g, j) for w in range(len(texts)) for g in range(groups) for j in range(TOGETHER)]
+    slots = least.groupBy(*keys).agg(*[F.min(F.when((F.col("_which") == w) & (F.col("g") == g), F.col(f"_c{j}"))).alias(f"_s{w}_{g}_{j}") for w, g, j in at])
+    return slots.select(*keys, *[F.array(*[F.coalesce(F.col(f"_s{w}_{g}_{j}").bitwiseAND(0xFFFFFFFF), F.lit(0)) for v, g, j in at if v == w]).alias(t)
+                                 for w, t in enumerate(texts)])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -118,7 +120,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints(rows, place, ["text", "edited"]).withColumnsRenamed({"text": "own", "edited": "other"})
     meta = rows.select(*place, "next_none", "next_block", "next_place", F.col("k").alias("doc_id"), F.length("text").cast("long").alias("n_chars"),
                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
+    # one job brings a row's texts, samples and place together; the samples of the next row come from what it wrote
+    prints = stored(spark, meta.join(prints, place), "fingerprints")
     following = prints.select(F.col("none").alias("next_none"), F.col("block").alias("next_block"), F.col("place").alias("next_place"), F.col("own").alias("following"))
-    return (meta.join(prints, place).join(following, ["next_none", "next_block", "next_place"])
+    return (prints.join(following, ["next_none", "next_block", "next_place"])
             .select("doc_id", "n_chars", "edited_sha256", hexadecimal(F.col("own")).alias("fingerprint"), hexadecimal(F.col("other")).alias("edited_fingerprint"),
                     likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next")))
