@@ -124,7 +124,8 @@ def least_edits(item: np.ndarray, passage: np.ndarray, limit: int) -> tuple[int,
     for i, x in enumerate(item.tolist()):
         where[x] = where.get(x, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best, end = full, 0, m, limit + 1, -1
+    up, down, score = full, 0, m
+    best, end = (m, 0) if m <= limit else (limit + 1, -1)  # the empty stretch
     for i, x in enumerate(passage.tolist()):
         eq = where.get(x, 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from .common import table
 
 PER_FILE = 4096
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)
-MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+MAGIC, VERSION, VERSION_LINE = b"\x1f\x8b\x08", b"WARC/1.", re.compile(rb"WARC/1\.\d\r\n")
 STEP = 1 << 16
 TYPES = ("response", "revisit")
 
@@ -98,7 +99,7 @@ def inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
 
 def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record that starts at ``at`` (headers, payload) and its end, or the check it fails."""
-    if not data.startswith(VERSION, at):
+    if not VERSION_LINE.match(data, at):
         return "no version line"
     body = data.find(b"\r\n\r\n", at)
     if body < 0:
