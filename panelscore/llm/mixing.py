@@ -93,60 +93,60 @@ def quotas(sizes: dict, seats: int = SEATS, shards: int = SHARDS, seed: int = SE
     out = []
     for i, s in enumerate(names):
         n = max(1, blocks[i])
-        out.append({"source": s, "source_size": total[i], "target": want[i], "blocks": n, "stride": _stride(n), "start": seed * 7919 % n,
+        out.append({"source": s, "number": i, "source_size": total[i], "target": want[i], "blocks": n, "stride": _stride(n), "start": seed * 7919 % n,
                     "buckets": max(1, math.isqrt(sizes[s][1])), "ends": [e[i] for e in ends]})
     return block, out
 
 
 def mixed(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-          seats: int = SEATS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """``documents`` with size, source_size, target, taken, and pieces: (shard, first word, words) of every copy taken."""
-    names = documents.columns
-    size, src, order, bucket, at = (free_name(names, n) for n in ("size", "_source", "_order", "_bucket", "_at"))
-    sized = stored(spark, documents.withColumns({size: size_column(F.col(text)), order: F.xxhash64(F.lit(seed), F.col(key), F.col(text))}), "sized")
+          keep: Sequence[str] | None = None, seats: int = SEATS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """``documents`` (its columns ``keep``; default: all) with size, source_size, target, taken, and pieces: (shard, first
+    word, words) of every copy taken. Columns that aren't kept take no part in the shuffle."""
+    names = list(documents.columns if keep is None else keep)
+    size, src, order, more, bucket, at, pieces, s, b, off = (
+        free_name(documents.columns, n) for n in ("_size", "_source", "_order", "_more", "_bucket", "_at", "_pieces", "_s", "_b", "_off"))
+    hashed = lambda s: F.xxhash64(F.lit(s), F.col(key), F.col(text))  # noqa: E731  rows with both hashes equal are equal, so interchangeable
+    sized = documents.withColumns({size: size_column(F.col(text)), order: hashed(seed), more: hashed(seed + 1)})
+    sized = stored(spark, sized.select(*dict.fromkeys([*names, source, size, order, more])), "sized")
     rows = sized.groupBy(source).agg(F.sum(size).alias("t"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     block, plan = quotas({r[0]: (r["t"], r["n"]) for r in rows}, seats, shards, seed)
-    p = free_name(names, "_plan")
-    fields = [("source", T.StringType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("blocks", T.LongType()), ("stride", T.LongType()),
+    p = free_name(documents.columns, "_plan")
+    fields = [("source", T.StringType()), ("number", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("blocks", T.LongType()), ("stride", T.LongType()),
               ("start", T.LongType()), ("buckets", T.LongType()), ("ends", T.ArrayType(T.LongType()))]
     planned = spark.createDataFrame([tuple(x[f] for f, _ in fields) for x in plan], T.StructType([T.StructField(f, t) for f, t in fields]))
-    planned = planned.select(F.col("source").alias(src), F.struct(*[f for f, _ in fields[1:]]).alias(p))
-    on_line = (sized.join(F.broadcast(planned), F.col(source).eqNullSafe(F.col(src)))  # one small row per source
+    planned = planned.select(F.col("source").alias(s), F.col("number").alias(src), F.struct(*[f for f, _ in fields[2:]]).alias(p))
+    on_line = (sized.join(F.broadcast(planned), F.col(source).eqNullSafe(F.col(s))).drop(s)  # one small row per source
                .withColumn(bucket, F.pmod(F.col(order), F.col(f"{p}.buckets"))))
-    sums = on_line.groupBy(src, bucket).agg(F.sum(size).alias("_sum"))
+    sums = on_line.groupBy(src, bucket).agg(F.sum(size).alias(off))
     before = Window.partitionBy(src).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col(src).alias("_s"), F.col(bucket).alias("_b"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(src, bucket).orderBy(order, key, text).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sums.select(F.col(src).alias(s), F.col(bucket).alias(b), F.coalesce(F.sum(off).over(before), F.lit(0)).alias(off))
+    inside = Window.partitionBy(src, bucket).orderBy(order, more).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lined = (on_line.withColumn(at, F.sum(size).over(inside) - F.col(size))
-             .join(offsets, F.col(src).eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_b")))
-             .withColumn(at, F.col(at) + F.col("_off")))
+             .join(offsets, (F.col(src) == F.col(s)) & (F.col(bucket) == F.col(b)))  # on the window's own partitioning
+             .withColumn(at, F.col(at) + F.col(off)))
     n, q = F.col(f"{p}.blocks"), F.element_at(F.col(f"{p}.ends"), -1)
 
     def pieces_of(i: Column) -> Column:
         first = F.greatest(F.col(at), i * block)
         length = F.least(F.col(at) + F.col(size), (i + 1) * block) - first
         slot = F.pmod(i * F.col(f"{p}.stride") + F.col(f"{p}.start"), n)
-        piece = lambda s: F.when(s < q, F.struct(F.size(F.filter(F.col(f"{p}.ends"), lambda e: e <= s)).alias("shard"),
+        piece = lambda x: F.when(x < q, F.struct(F.size(F.filter(F.col(f"{p}.ends"), lambda e: e <= x)).alias("shard"),
                                                  (first - F.col(at)).alias("first"), length.alias("words")))
         return F.array_compact(F.array(*[piece(slot + r * n) for r in range(REPEAT)]))
 
     covered = F.when(F.col(size) > 0, F.sequence(F.floor(F.col(at) / block), F.floor((F.col(at) + F.col(size) - 1) / block))).otherwise(F.array().cast("array<bigint>"))
-    out = lined.withColumn("_pieces", F.flatten(F.transform(covered, pieces_of)))
-    return out.select(*[F.col(c) for c in names], F.col(size).alias("_size"), F.col(f"{p}.source_size").alias("_source_size"), F.col(f"{p}.target").alias("_target"),
-                      F.aggregate("_pieces", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("_taken"), "_pieces")
+    out = lined.withColumn(pieces, F.flatten(F.transform(covered, pieces_of)))
+    own = (F.col(size), F.col(f"{p}.source_size"), F.col(f"{p}.target"), F.aggregate(pieces, F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.col(pieces))
+    return out.select(*names, *[c.alias(n) for c, n in zip(own, mix_columns(names))])
 
 
-MIX_COLUMNS = ("size", "source_size", "target", "taken", "pieces")
-
-
-def renamed(mix: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The mix's own columns under their plain names, with underscores appended where ``names`` has them already."""
-    return mix.select(*names, *[F.col(f"_{c}").alias(free_name(names, c)) for c in MIX_COLUMNS])
+def mix_columns(names: Sequence[str]) -> list[str]:
+    """What the mix's own columns are called beside columns ``names``: underscores are appended to a name that is taken."""
+    return [free_name(names, c) for c in ("size", "source_size", "target", "taken", "pieces")]
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mix = mixed(spark, docs)
-    return mix.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+    mix = mixed(spark, table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep=["doc_id"])
+    return mix.drop("pieces")

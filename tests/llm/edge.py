@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: names that the operators use inside, in another case too
-CLASHING = ("score", "_score", "_Toxicity", "size", "target", "taken", "pieces", "_fp", "_root", "_matches", "_source", "fp", "k", "_plan")
+CLASHING = ("score", "_score", "_Toxicity", "size", "target", "taken", "pieces", "_fp", "_root", "_matches", "_source", "fp", "k", "_plan", "_s", "_b", "_off", "_k", "_y", "_d", "_t",
+            "_size", "_pieces", "_at", "_taken", "row", "s", "learn")
 
 
 def edge_rows(n: int = 40) -> list[tuple]:
