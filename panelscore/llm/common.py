@@ -3,11 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
 
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 #: lower-cases A-Z and leaves every other byte, so UTF-8 text stays valid
 LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -36,6 +39,20 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python at most ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes at a time (unless it already has
+    lower limits): with the defaults, 10,000 long texts would fill a task's memory several times over."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("bB"))
+        if not 0 < now <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def arrays(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The values of a binary column as numpy arrays, without a copy."""
+    return [np.frombuffer(v.as_buffer(), kind) for v in column]
+
+
 def free_name(columns: Iterable[str], wanted: str) -> str:
     """``wanted``, with underscores appended until no column has that name (Spark names ignore case)."""
     taken = {c.lower() for c in columns}

@@ -2,7 +2,9 @@
 
 A word is the mean of the learned vectors of its hashed word and character n-grams, a document the mean
 of its words, and a softmax layer gives the classes. Vectors and layer are trained together by
-minibatch stochastic gradient descent in numpy (step sizes scaled per weight by past gradients). Letters keep their case: shouting is a mark of quality.
+minibatch stochastic gradient descent in numpy (step sizes scaled per weight by past gradients). Letters keep their case:
+shouting is a mark of quality. So is saying a word again and again: each word that equals the one before it adds the
+token ``REPEATED``. The mean is taken over ``NEUTRAL`` zero words more, so that a few odd words don't condemn a short text.
 
 Training reads a bounded, seeded sample of the labelled rows (``train_rows``, a parameter): executors turn
 each text into (feature, weight) pairs, and the pairs of the sample reach the driver, which fits the model.
@@ -16,6 +18,7 @@ alike, one by one; with no labelled rows every score is 0.5; with one class, tha
 from __future__ import annotations
 
 import math
+import operator
 import zlib
 from collections import Counter
 
@@ -24,12 +27,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_fold, sampled, table
+from .common import arrays, bounded_batches, in_fold, sampled, table
 
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 12, 3, 5
-TRAIN_ROWS, EPOCHS, BATCH, RATE, SEED = 6000, 6, 64, 0.25, 20
-CACHE_WORDS, CHUNK = 300_000, 256
+TRAIN_ROWS, EPOCHS, BATCH, RATE, SEED = 4000, 6, 64, 0.25, 20
+CACHE_WORDS, CHUNK = 100_000, 32
 THRESHOLD = 0.7
+REPEATED, NEUTRAL = b"\t=", 6  # no word holds a tab
+
+
+def tokens(text: bytes | None) -> tuple[list[bytes], int]:
+    """The words of a text, and how often a word equals the one before it."""
+    ws = text.split() if text else []
+    return ws, sum(map(operator.eq, ws, ws[1:]))
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -53,15 +63,17 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _document_features(text: pa.Array) -> pa.Array:
-    """A document's features: distinct bucket ids and their weights (the mean over words of the mean over a word's features)."""
+    """A document's features: distinct bucket ids and their weights (the mean over tokens of the mean over a token's features)."""
     out = []
     for t in text.to_pylist():
-        found = Counter((t or b"").split())
-        if not found:
+        ws, again = tokens(t)
+        if not ws:
             out.append({"ids": b"", "weights": b""})
             continue
+        found = Counter(ws)
+        found[REPEATED] = again
         ids, n = features(list(found))
-        share = np.repeat(np.fromiter(found.values(), float, len(found)) / n / found.total(), n)
+        share = np.repeat(np.fromiter(found.values(), float, len(found)) / n / (found.total() + NEUTRAL), n)
         ids, at = np.unique(ids, return_inverse=True)
         out.append({"ids": ids.astype(np.int32).tobytes(), "weights": np.bincount(at, share).astype(np.float32).tobytes()})
     return pa.array(out, pa.struct([("ids", pa.binary()), ("weights", pa.binary())]))
@@ -111,44 +123,50 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "qu
     A key with several labels counts with the lowest. Returns what scoring needs: each bucket's share of the
     logit of class 1 against class 0, and the bias.
     """
+    bounded_batches(documents.sparkSession)
     marks = (labels.where(F.col(label).isin(0, 1) & learn).groupBy(F.col(key).alias("_k"))
              .agg(F.min(label).cast("int").alias("_y")))
     chosen = sampled(marks, F.col("_k"), train_rows, seed)
-    rows = (documents.join(F.broadcast(chosen), F.col(key) == F.col("_k"))  # at most about train_rows small rows
-            .select("_y", F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_o"), F.arrow_udf(_document_features, "struct<ids:binary,weights:binary>")(F.col(text).cast("binary")).alias("_f"))
-            .select("_y", "_o", "_f.*").toArrow().to_pydict())
-    order = sorted(range(len(rows["_o"])), key=lambda i: (rows["_o"][i], rows["_y"][i]))
-    y = np.array([rows["_y"][i] for i in order], np.int64)
-    if not len(y):
+    texts = documents.select(F.col(key).alias("_d"), F.col(text).cast("binary").alias("_t"))
+    rows = (texts.join(F.broadcast(chosen), F.col("_d") == F.col("_k"))  # at most about train_rows small rows
+            .select("_y", F.xxhash64(F.lit(seed), "_d", "_t").alias("_o"), F.arrow_udf(_document_features, "struct<ids:binary,weights:binary>")("_t").alias("_f"))
+            .select("_y", "_o", "_f.*").toArrow())
+    if not len(rows):
         return np.zeros(BUCKETS, np.float32), 0.0
-    ids, weights = ([np.frombuffer(rows[c][i], t) for i in order] for c, t in (("ids", np.int32), ("weights", np.float32)))
+    order = np.lexsort((rows["_y"].to_numpy(), rows["_o"].to_numpy()))
+    y = rows["_y"].to_numpy()[order].astype(np.int64)
+    ids, weights = ([found[i] for i in order] for found in (arrays(rows["ids"], np.int32), arrays(rows["weights"], np.float32)))
     vectors, layer, bias = fit_numpy(ids, weights, y, seed=seed)
+    del rows, ids, weights
+    pa.default_memory_pool().release_unused()
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
 def probability(spark: SparkSession, model: tuple[np.ndarray, float]):
     """A function of a text column: the probability of class 1."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS floats, a fixed size
+    known: dict[bytes, float] = {}  # a task's own, kept from batch to batch
 
-    @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
         share, bias = shared.value
 
-        known, out, texts = {}, [], text.to_pylist()
+        out, texts = [], text.to_pylist()
         for start in range(0, len(texts), CHUNK):
-            part = [(t or b"").split() for t in texts[start:start + CHUNK]]
+            part = [tokens(t) for t in texts[start:start + CHUNK]]
             if len(known) > CACHE_WORDS:
                 known.clear()
-            new = list(set().union(*part).difference(known))
+            new = list({REPEATED}.union(*(ws for ws, _ in part)).difference(known))
             if new:
                 ids, n = features(new)
                 known.update(zip(new, (np.add.reduceat(share[ids].astype(np.float64), np.cumsum(n) - n) / n).tolist()))
-            for ws in part:
-                z = bias + (math.fsum(map(known.__getitem__, ws)) / len(ws) if ws else 0.0)
+            for ws, again in part:
+                z = bias + (math.fsum(map(known.__getitem__, ws)) + again * known[REPEATED]) / (len(ws) + again + NEUTRAL)
                 out.append(1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z)))))
         return pa.array(out, pa.float64())
 
-    return lambda text: score(text.cast("binary"))
+    udf = F.arrow_udf(score, "double")
+    return lambda text: udf(text.cast("binary"))
 
 
 def scored(spark: SparkSession, documents: DataFrame, labels: DataFrame, score: str = "score") -> DataFrame:

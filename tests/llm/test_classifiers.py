@@ -82,7 +82,8 @@ def test_folded_layer_equals_averaged_vectors(spark):
     rng = np.random.default_rng(2)
     vectors, layer = rng.normal(size=(subwords.BUCKETS, subwords.DIM)), rng.normal(size=subwords.DIM)
     text = "one two two three THREE"
-    want = np.mean([vectors[subwords.features([w.encode()])[0]].mean(0) for w in text.split()], axis=0) @ layer + 0.25
+    words = [w.encode() for w in text.split()] + [subwords.REPEATED]
+    want = sum(vectors[subwords.features([w])[0]].mean(0) for w in words) / (len(words) + subwords.NEUTRAL) @ layer + 0.25
     df = spark.createDataFrame([(text,)], "t string").select(subwords.probability(spark, ((vectors @ layer).astype(np.float64), 0.25))(F.col("t")))
     assert df.first()[0] == pytest.approx(1 / (1 + math.exp(-want)), rel=1e-9)
 
