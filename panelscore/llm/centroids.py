@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, in_fold, table
+from .common import LOWER_WORDS, bounded_batches, in_fold, table
 
 DIM, PER_LANGUAGE_CENTROIDS, TRAIN_ROWS, MAX_LANGUAGES, SEED = 4096, 4, 3000, 1000, 5
 SLACK = 1.25  # a centroid's radius over the largest distance of its own training texts
@@ -75,6 +75,7 @@ def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS, seed: int = SEED) -> dict | None:
     """The model from the rows with a text and a language that satisfy ``learn``; None if there are none."""
+    bounded_batches(documents.sparkSession)
     usable = documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & learn).select(F.col(text).cast("binary").alias("t"), F.col(lang).alias("l"))
     sizes = {r["l"]: r["n"] for r in usable.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if not sizes:
@@ -113,6 +114,7 @@ def has_letter(text: bytes) -> bool:
 
 def identify(spark: SparkSession, model: dict | None):
     """A function of a text column: struct of the nearest language, its cosine and whether it is rejected as too far."""
+    bounded_batches(spark)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
     shared = spark.sparkContext.broadcast(model)  # a fixed size per language
 

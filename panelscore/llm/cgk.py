@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, free_name, table
+from .common import LOWER_WORDS, bounded_batches, free_name, table
 
 SIMILARITY = 0.8
 WALKS, TABLES, SAMPLED, SEED = 8, 6, 3, 17
@@ -226,10 +226,14 @@ SQL_KIND = "array<struct<item_id:long,edits:int,item_words:int,first_word:int,en
 
 
 def _search(spark: SparkSession, items: list[tuple[int, bytes]]):
-    shared = spark.sparkContext.broadcast(items)  # at most BLOCK_ITEMS items; the tables are built once per task
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(items)  # at most BLOCK_ITEMS items
+    built: list[Index] = []  # a task's own, kept from batch to batch
 
     def search(text: pa.Array) -> pa.Array:
-        index, out, docs, n = Index(shared.value), [], [], 0
+        if not built:
+            built.append(Index(shared.value))
+        index, out, docs, n = built[0], [], [], 0
         for i in range(len(text)):
             docs.append(symbols(text[i].as_py()))
             n += len(docs[-1])

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_fold, stored, table, words
+from .common import bounded_batches, in_fold, stored, table, words
 
 OWN, SHARED, LOCAL = 1024, 1024, 1 << 17
 CLASSES = OWN + SHARED
@@ -228,6 +228,7 @@ SQL_ROW = "struct<n_tokens:long,known:long,base:double,lm:double,tail:array<stru
 
 def scored(spark: SparkSession, documents: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, learn, n_tokens, n_known, train_tokens, base_score, score) for every row of ``documents``."""
+    bounded_batches(spark)
     texts = documents.where(learn).select(F.col(text).cast("binary").alias("t"))
     counts = stored(spark, token_counts(texts), "counts")
     shared = F.crc32(F.substring("token", -3, 3)) % SHARED + OWN
@@ -240,9 +241,13 @@ def scored(spark: SparkSession, documents: DataFrame, learn: Column, key: str =
         parameters = train(spark, texts, vocabulary, parameters)
     tables = spark.sparkContext.broadcast(log_tables(parameters))  # a fixed size
 
+    numbers: dict[bytes, int] = {}  # a task's own, kept from batch to batch
+
     def local(column: pa.Array) -> pa.Array:
         v, (a1, a2, z) = vocabulary.value, tables.value
-        index, out = numbered(v), []
+        if not numbers:
+            numbers.update(numbered(v))
+        index, out = numbers, []
         end = index.get(END)
         for i in range(len(column)):
             ws = words(column[i].as_py())

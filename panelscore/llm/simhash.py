@@ -31,10 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, table, words
+from .common import bounded_batches, free_name, stored, table, words
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
-PARTS, TILE = 4, 2048
+PARTS, TILE = 4, 1024
 WIDTH = 64 // PARTS
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8, dtype=np.int64) * 256)[None, :]
@@ -65,16 +65,18 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def links_within(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between two tiles (or inside one): every linked fingerprint and the smallest of its component here."""
+    """A spanning forest of the links between two tiles (or inside one): every linked fingerprint and the first of its component here."""
     near = np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
     if same:
         near = np.triu(near, 1)
-    i, j = np.nonzero(near)
-    if not len(i):
+    u, v = np.nonzero(near)  # at most TILE x TILE places
+    if not len(u):
         return a[:0], a[:0]
-    nodes, at = np.unique(np.concatenate([a[i], b[j]]), return_inverse=True)
-    u, v = at[:len(i)], at[len(i):]
-    label = np.arange(len(nodes))
+    nodes = a if same else np.concatenate([a, b])
+    if not same:
+        v += len(a)
+    own = np.arange(len(nodes))
+    label = own
     while True:
         low = np.minimum(label[u], label[v])
         new = label.copy()
@@ -84,7 +86,7 @@ def links_within(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple
         if (new == label).all():
             break
         label = new
-    rest = label != np.arange(len(nodes))
+    rest = label != own
     return nodes[rest], nodes[label[rest]]
 
 
@@ -160,6 +162,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def grouped(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(fp, component_id) for every distinct fingerprint of ``documents``, which also come back as (key, fp)."""
+    bounded_batches(spark)
     prints = stored(spark, documents.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle).alias("fp")), "prints")
     nodes = stored(spark, prints.groupBy("fp").agg(F.min("k").alias("least")), "nodes")
     roots = components(spark, links(nodes.select("fp"), radius))

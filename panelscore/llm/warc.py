@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import table
+from .common import bounded_batches, table
 
 PER_FILE = 4096
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)
@@ -67,6 +67,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0) -> None:
     """Write one record per row of ``pages`` under ``path``."""
+    bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"), F.coalesce(F.encode(html, "UTF-8"), F.encode(F.lit(""), "UTF-8")).alias("payload"))
     rows = rows.withColumn("same", F.sha2("payload", 256))
     first = (rows.where(F.octet_length("payload") >= min_bytes).groupBy("same")
@@ -201,6 +202,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, kind)
 
+    bounded_batches(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(read, SCHEMA)
 
 

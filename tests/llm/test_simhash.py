@@ -62,7 +62,7 @@ def planted(seed, n=600):
     return sorted(set(out))
 
 
-@pytest.mark.parametrize("seed,tile", [(1, 2048), (2, 16)])
+@pytest.mark.parametrize("seed,tile", [(1, 1024), (2, 16)])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, seed, tile):
     monkeypatch.setattr(simhash, "TILE", tile)
     values = planted(seed)
