@@ -5,7 +5,7 @@ stage's ``docs``. The first four keep whole rows of ``documents``; the last adds
 
 =====================  =====================================================================================
 quality                drops rows whose probability of quality 1 is under ``subwords.THRESHOLD`` (0.7)
-toxicity               drops rows whose probability of severity 1 or more is ``ordinal.TOXIC_AT`` (0.3) or higher
+toxicity               drops rows whose probability of severity 1 or more is ``ordinal.TOXIC_AT`` (0.4) or higher
 near_duplicates        keeps one row of each group of fingerprints linked at 2 bits or fewer (3-word shingles)
 decontamination        drops rows that hold a benchmark item within 20 % word edits
 mixing                 drops rows the mix takes no word of; adds size, source_size, target, taken and pieces

@@ -33,6 +33,13 @@ def test_toxicity_on_the_held_out_fold(spark, larger):
     assert held[held["toxic"] == 1]["p_any"].mean() > 10 * held[held["toxic"] == 0]["p_any"].mean()
 
 
+def test_toxicity_with_more_labels(spark, sf_dir):
+    d = sf_dir.rsplit("/", 1)[0] + "/sf0.1"
+    held = ordinal.query(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
+    assert (held["toxic_predicted"] == held["toxic"]).mean() >= 0.98
+    assert held[held["toxic"] == 0]["toxic_predicted"].mean() <= 0.005
+
+
 def test_language_on_the_held_out_fold(spark, larger):
     rows = centroids.query(spark, larger)
     docs = spark.read.parquet(f"{larger}/documents.parquet").select("doc_id", "lang")
