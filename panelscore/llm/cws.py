@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..operators.ordered import with_global_rank
 from .common import stored, table
 
-SAMPLES, TOGETHER, SEED = 16, 4, 6
+SAMPLES, TOGETHER, SEED = 32, 4, 6
 BLOCK_BITS = 6  # 64 consecutive keys a block
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
