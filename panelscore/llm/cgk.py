@@ -1,4 +1,4 @@
-"""Benchmark decontamination: CGK embeddings, bit-sampling LSH over item-sized windows, exact edit verification.
+"""Benchmark decontamination: CGK embeddings, bit-sampling LSH over item-sized windows, pigeonhole seeds, exact edit verification.
 
 Symbols are words (A-Z lower-cased, ASCII punctuation removed). The CGK random walk reads a window: at step j it
 stands at position p, outputs the word there, and moves on by one if a random bit of (j, word) is set. Two
@@ -9,7 +9,13 @@ equal keys make a candidate. ``WALKS`` walks with ``TABLES`` tables each give th
 Windows: an item of n words gets the length class L, the largest of a doubling series with 1.5 L <= n + 1.
 Documents are walked from every (L/2)-th word only, items from each of their first L/2 words, so any copy of
 the item holds a document window that begins at one of the item's own starts, whatever its place.
-Several windows fall into one copy, each with all its tables. Walks of different classes share their steps.
+One such window falls into a copy, with all its tables; it sees the item's first 1.5 L words only, half of some items.
+Walks of different classes share their steps.
+
+Seeds: edits that stand together there leave no equal key, so every item is also looked up by exact seeds. At most k
+edits cut an item of n words into k + 1 unedited stretches, so one of them has at least (n - k) / (k + 1) words: all
+stretches of that many words (``seed_length``: 1 to 4) of every item meet those of every document. No copy within the limit
+is left out, wherever its edits stand.
 
 A candidate is verified exactly: the least number of word insertions, deletions and substitutions that turn the
 item into some passage of the document near the candidate must be at most ``1 - SIMILARITY`` of the item's words.
@@ -38,6 +44,7 @@ WALKS, TABLES, SAMPLED, SEED = 8, 6, 3, 17
 BLOCK_ITEMS, BLOCK_WORDS = 4096, 1 << 20
 CHUNK_WORDS = 1 << 17
 FILTER_BITS = 18
+SEED_FILTER_BITS, HITS = 24, 1 << 20
 TEXT_END, ITEM_END = np.uint64(1 << 33), np.uint64(1 << 34)  # what follows a document and an item: no word, and not the same
 
 
@@ -54,6 +61,17 @@ def window_length(n: int) -> int:
     return length
 
 
+def allowed(n: int) -> int:
+    """The most edits of a match with an item of n words."""
+    return int(n * (1 - SIMILARITY) + 1e-9)
+
+
+def seed_length(n: int) -> int:
+    """The words of the longest stretch that ``allowed(n)`` edits leave whole, however they stand."""
+    k = allowed(n)
+    return -(-(n - k) // (k + 1))
+
+
 def stride(length: int) -> int:
     return max(1, length // 2)
 
@@ -114,6 +132,15 @@ def keys(s: np.ndarray, starts: dict[int, np.ndarray], plan: dict[int, list]) ->
                 yield n, walk * TABLES + t, own[n][t]
 
 
+def seed_keys(s: np.ndarray, lengths: list[int]) -> Iterable[tuple[int, np.ndarray]]:
+    """(length, keys) of the stretches of ``s`` that begin at each of its words, for increasing lengths."""
+    bits, key = mixed(s, WALKS), np.zeros(len(s), np.uint64)
+    for j in range(lengths[-1]):
+        key = (key[:len(s) - j] * np.uint64(0x9E3779B97F4A7C15)) + bits[j:]
+        if j + 1 in lengths:
+            yield j + 1, key ^ (key >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def least_edits(item: np.ndarray, passage: np.ndarray, limit: int) -> tuple[int, int]:
     """Least edits between the item and any stretch of the passage, and the end of the first best stretch; (limit + 1, -1) if more.
 
@@ -163,9 +190,22 @@ class Index:
             mask = np.zeros(1 << FILTER_BITS, bool)
             mask[k >> np.uint64(64 - FILTER_BITS)] = True
             self.tables[at] = k[order], number[order], start[order], mask
+        seeds: dict[int, list[tuple]] = {}
+        for i, s in enumerate(self.items):
+            if len(s):
+                for n, k in seed_keys(s, [seed_length(len(s))]):
+                    seeds.setdefault(n, []).append((k, np.full(len(k), i), np.arange(len(k))))
+        self.seeds = {}
+        for n, rows in sorted(seeds.items()):
+            k, number, start = (np.concatenate(x) for x in zip(*rows))
+            order = np.argsort(k, kind="stable")
+            bits = min(SEED_FILTER_BITS, max(FILTER_BITS, len(k).bit_length() + 4))
+            mask = np.zeros(1 << bits, bool)
+            mask[k >> np.uint64(64 - bits)] = True
+            self.seeds[n] = k[order], number[order], start[order], mask, np.uint64(64 - bits)
 
     def limit(self, number: int) -> int:
-        return int(len(self.items[number]) * (1 - SIMILARITY) + 1e-9)
+        return allowed(len(self.items[number]))
 
     def candidates(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Where each document begins on the line of all words, and rows (item, document, where the item would begin on the line)."""
@@ -183,6 +223,19 @@ class Index:
             at = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())  # low, low + 1, ... high - 1 of every hit
             window = np.repeat(starts[n][maybe], times)
             found.append(np.stack([number[at], np.searchsorted(offset, window, "right") - 1, window - start[at]], 1))
+        for n, k in seed_keys(s, list(self.seeds)):
+            sorted_keys, number, start, mask, shift = self.seeds[n]
+            maybe = np.flatnonzero(mask[k >> shift])
+            low, high = (np.searchsorted(sorted_keys, k[maybe], side) for side in ("left", "right"))
+            ends = np.concatenate([[0], np.cumsum(high - low)])
+            a = 0
+            while a < len(maybe):  # at most HITS hits at a time (or those of one word): texts that repeat a word have very many
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] + HITS, "right")) - 1)
+                times = high[a:b] - low[a:b]
+                at = np.repeat(low[a:b] - (ends[a:b] - ends[a]), times) + np.arange(times.sum())
+                window = np.repeat(maybe[a:b], times)
+                found.append(np.unique(np.stack([number[at], np.searchsorted(offset, window, "right") - 1, window - start[at]], 1), axis=0))
+                a = b
         out = np.unique(np.concatenate(found), axis=0)
         return offset, out[self._share_words(s, out)]
 

@@ -133,3 +133,52 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     one = flat(cgk.matched(spark, d, b))
     monkeypatch.setattr(cgk, "BLOCK_ITEMS", 14)
     assert flat(cgk.matched(spark, d, b)) == one
+
+
+def in_runs(rnd, words, where, count):
+    """``count`` edits of one kind that stand together: at the head, in the middle, at the tail, or in two runs."""
+    n = len(words)
+    begins = {"head": [(0, count)], "middle": [((n - count) // 2, count)], "probed": [(max(0, 3 * cgk.window_length(n) // 4 - count // 2), count)],
+              "tail": [(n - count, count)], "two": [(n // 4, count // 2), (3 * n // 4, count - count // 2)]}[where]
+    out = list(words)
+    what = rnd.randrange(3)
+    for at, k in reversed(begins):
+        fresh = [f"new{rnd.randrange(10 ** 9)}" for _ in range(k)]
+        out[at:at + (0 if what == 2 else k)] = [] if what == 1 else fresh
+    return out
+
+
+@pytest.mark.parametrize("where", ["head", "middle", "probed", "tail", "two"])
+@pytest.mark.parametrize("n", [5, 10, 15, 23, 46, 59, 94, 150])
+def test_edits_that_stand_together(n, where):
+    rnd = random.Random(n)
+    items = [(i, [f"i{i}w{j}" for j in range(n)]) for i in range(30)]
+    index = cgk.Index([(i, " ".join(w).encode()) for i, w in items])
+    docs = [[f"x{rnd.randrange(10 ** 6)}" for _ in range(rnd.randrange(40))] + in_runs(rnd, w, where, index.limit(0)) + [f"y{rnd.randrange(10 ** 6)}" for _ in range(rnd.randrange(40))]
+            for _, w in items]
+    found = index.matches([cgk.symbols(" ".join(d).encode()) for d in docs])
+    assert [[m["item_id"] for m in f] for f in found] == [[i] for i, _ in items]
+
+
+def test_seeds_leave_no_match_out():
+    for n in range(1, 400):
+        k = cgk.allowed(n)
+        assert 1 <= cgk.seed_length(n) <= 4 and (k + 1) * (cgk.seed_length(n) - 1) < n - k
+    rnd = random.Random(5)
+    items = [(i, [f"i{i}w{j}" for j in range(rnd.choice([7, 20, 38, 60]))]) for i in range(100)]
+    index = cgk.Index([(i, " ".join(w).encode()) for i, w in items])
+    docs = []
+    for _, w in items:  # evenly spread substitutions, the fewest unedited stretches
+        k, w = cgk.allowed(len(w)), list(w)
+        for e in range(k):
+            w[(e + 1) * len(w) // (k + 1)] = f"new{e}"
+        docs.append(w)
+    found = index.matches([cgk.symbols(" ".join(d).encode()) for d in docs])
+    assert [[m["item_id"] for m in f] for f in found] == [[i] for i, _ in items]
+
+
+def test_a_word_said_again_and_again(monkeypatch):
+    monkeypatch.setattr(cgk, "HITS", 1000)
+    index = cgk.Index([(1, b"a " * 30), (2, b"a " * 20 + b"b " * 20)])
+    found = index.matches([cgk.symbols(b"a " * 3000), cgk.symbols(b"a " * 10 + b"b " * 10), cgk.symbols(b"a " * 16 + b"b " * 18)])
+    assert [[m["item_id"] for m in f] for f in found] == [[1], [], [2]]
