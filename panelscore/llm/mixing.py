@@ -1,17 +1,21 @@
 """Mixing sources to target weights: Sainte-Lague apportionment of equal-token blocks.
 
-Every source's documents are laid end to end in a seeded order and cut into blocks of equal token count (the last
-may be shorter). The mix has ``total / block`` seats; each seat goes to the source with the highest quotient
-target / (2 seats + 1), up to two per block. The method is house-monotone, so the first i/S of the seats is
+Every source's documents are laid end to end in a seeded order and cut into blocks of equal token count (to a word).
+The mix has ``total / block`` seats; each seat goes to the source with the highest quotient
+target / (2 seats + 1), up to two per block; targets are counted in the source's own blocks. The method is house-monotone, so the first i/S of the seats is
 itself an apportionment: shard i takes what that adds, an integer quota per shard and source. Which
 blocks fill a source's seats follows a seeded permutation i -> (a i + c) mod n of its blocks, walked once and,
 beyond n seats, a second time: exactly the quota, no ranking of blocks, at most two copies of any.
 
+A source whose target is less than ``LEAST`` blocks belongs to a tier of sources with a block half as large, or a quarter,
+and so on (down to one word), whose seats are apportioned among them. So every source comes within a few ``LEAST``-ths of its target
+(or a few words), however large the other sources are.
+
 Targets are water-filled: every source gets weight x level, but at most twice its size; the level solves for the total.
 
 Scale: positions on a source's line are running sums in two steps, inside sqrt(n) hash buckets and over the
 bucket sums, so a source with a third of all rows never meets in one task. The driver sees one row per source
-(``MAX_SOURCES``, checked) and works out quotas; block size is the total over ``SEATS``, so seats don't grow.
+(``MAX_SOURCES``, checked) and works out quotas; the largest block is the total over ``SEATS``, so its seats don't grow; a source of a finer tier has at most 2 ``LEAST`` seats.
 
 Defined results: null texts and keys count as size 0 and as a key like any other; the null source is a source,
 last in order; repeated rows are separate documents; an empty table gives an empty result; if all sizes are
@@ -31,7 +35,7 @@ from pyspark.sql import types as T
 from .common import free_name, stored, table
 
 WEIGHTS, SHARE, REPEAT = (5, 2, 1), 1.5, 2
-SEATS, SHARDS, SEED, MAX_SOURCES = 1 << 18, 16, 31, 100_000
+SEATS, LEAST, SHARDS, SEED, MAX_SOURCES = 1 << 18, 256, 16, 31, 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -81,21 +85,32 @@ def _stride(n: int) -> int:
     return a
 
 
-def quotas(sizes: dict, seats: int = SEATS, shards: int = SHARDS, seed: int = SEED) -> tuple[int, list[dict]]:
-    """Block size, and for each source (by code point, null last) its target, blocks, permutation and seats up to each shard's end."""
+def quotas(sizes: dict, seats: int = SEATS, shards: int = SHARDS, seed: int = SEED) -> list[dict]:
+    """For each source (by code point, null last) its target, blocks, permutation and seats up to each shard's end.
+
+    The first ``more`` blocks of a source have ``words`` + 1 words, the others ``words``.
+    """
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     total = [sizes[s][0] for s in names]
     want = targets(total, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(names))])
-    block = max(1, math.floor(sum(want)) // seats)
-    blocks = [-(-t // block) for t in total]
-    house = round(sum(want) / block)
-    ends = apportion(want, [REPEAT * b for b in blocks], [house * (i + 1) // shards for i in range(shards)])
-    out = []
-    for i, s in enumerate(names):
-        n = max(1, blocks[i])
-        out.append({"source": s, "number": i, "source_size": total[i], "target": want[i], "blocks": n, "stride": _stride(n), "start": seed * 7919 % n,
-                    "buckets": max(1, math.isqrt(sizes[s][1])), "ends": [e[i] for e in ends]})
-    return block, out
+    largest = max(1, math.floor(sum(want)) // seats)
+    tiers: dict[int, list[int]] = {}
+    for i, w in enumerate(want):
+        block = largest
+        while block > 1 and w < LEAST * block:
+            block //= 2
+        tiers.setdefault(block, []).append(i)
+    blocks, ends = [1] * len(names), [[0] * shards for _ in names]
+    for block, own in tiers.items():
+        for i in own:
+            blocks[i] = max(1, round(total[i] / block))
+        shares = [want[i] * blocks[i] / max(1, total[i]) for i in own]  # in the source's own blocks
+        house = round(sum(shares))
+        found = apportion(shares, [REPEAT * blocks[i] if total[i] else 0 for i in own], [house * (j + 1) // shards for j in range(shards)])
+        for k, i in enumerate(own):
+            ends[i] = [e[k] for e in found]
+    return [{"source": s, "number": i, "source_size": total[i], "target": want[i], "blocks": blocks[i], "words": total[i] // blocks[i], "more": total[i] % blocks[i],
+             "stride": _stride(blocks[i]), "start": seed * 7919 % blocks[i], "buckets": max(1, math.isqrt(sizes[s][1])), "ends": ends[i]} for i, s in enumerate(names)]
 
 
 def mixed(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -111,9 +126,9 @@ def mixed(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text:
     rows = sized.groupBy(source).agg(F.sum(size).alias("t"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    block, plan = quotas({r[0]: (r["t"], r["n"]) for r in rows}, seats, shards, seed)
+    plan = quotas({r[0]: (r["t"], r["n"]) for r in rows}, seats, shards, seed)
     p = free_name(documents.columns, "_plan")
-    fields = [("source", T.StringType()), ("number", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("blocks", T.LongType()), ("stride", T.LongType()),
+    fields = [("source", T.StringType()), ("number", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("blocks", T.LongType()), ("words", T.LongType()), ("more", T.LongType()), ("stride", T.LongType()),
               ("start", T.LongType()), ("buckets", T.LongType()), ("ends", T.ArrayType(T.LongType()))]
     planned = spark.createDataFrame([tuple(x[f] for f, _ in fields) for x in plan], T.StructType([T.StructField(f, t) for f, t in fields]))
     planned = planned.select(F.col("source").alias(s), F.col("number").alias(src), F.struct(*[f for f, _ in fields[2:]]).alias(p))
@@ -128,15 +143,22 @@ def mixed(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text:
              .withColumn(at, F.col(at) + F.col(off)))
     n, q = F.col(f"{p}.blocks"), F.element_at(F.col(f"{p}.ends"), -1)
 
+    words, more_words = F.col(f"{p}.words"), F.col(f"{p}.more")
+    begin = lambda i: i * words + F.least(i, more_words)  # noqa: E731  where block i begins
+
+    def block_of(x: Column) -> Column:
+        longer = more_words * (words + 1)  # words in blocks that have one more
+        return F.when(x < longer, F.floor(x / (words + 1))).otherwise(more_words + F.floor((x - longer) / words))
+
     def pieces_of(i: Column) -> Column:
-        first = F.greatest(F.col(at), i * block)
-        length = F.least(F.col(at) + F.col(size), (i + 1) * block) - first
+        first = F.greatest(F.col(at), begin(i))
+        length = F.least(F.col(at) + F.col(size), begin(i + 1)) - first
         slot = F.pmod(i * F.col(f"{p}.stride") + F.col(f"{p}.start"), n)
         piece = lambda x: F.when(x < q, F.struct(F.size(F.filter(F.col(f"{p}.ends"), lambda e: e <= x)).alias("shard"),
                                                  (first - F.col(at)).alias("first"), length.alias("words")))
         return F.array_compact(F.array(*[piece(slot + r * n) for r in range(REPEAT)]))
 
-    covered = F.when(F.col(size) > 0, F.sequence(F.floor(F.col(at) / block), F.floor((F.col(at) + F.col(size) - 1) / block))).otherwise(F.array().cast("array<bigint>"))
+    covered = F.when(F.col(size) > 0, F.sequence(block_of(F.col(at)), block_of(F.col(at) + F.col(size) - 1))).otherwise(F.array().cast("array<bigint>"))
     out = lined.withColumn(pieces, F.flatten(F.transform(covered, pieces_of)))
     own = (F.col(size), F.col(f"{p}.source_size"), F.col(f"{p}.target"), F.aggregate(pieces, F.lit(0).cast("long"), lambda a, x: a + x["words"]), F.col(pieces))
     return out.select(*names, *[c.alias(n) for c, n in zip(own, mix_columns(names))])

@@ -129,3 +129,23 @@ def test_hot_source_and_empty_tables(spark):
     assert mixing.mixed(spark, empty_documents(spark)).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [r["taken"] for r in mixing.mixed(spark, blank).collect()] == [0, 0]
+
+
+def test_small_sources_come_near_their_targets_beside_large_ones():
+    sizes = {"a": (3_000_000_000, 3_000_000), "b": (2_000_000_000, 10 ** 6), "c": (3_000, 3), "d": (6_000, 3), "e": (15_000, 3), "f": (0, 2), "g": (7, 1), "h": (28_611, 4), None: (1, 1)}
+    plan = {p["source"]: p for p in mixing.quotas(sizes)}
+    for s, (n, _) in sizes.items():
+        p = plan[s]
+        assert p["words"] * p["blocks"] + p["more"] == n
+        taken = sum(p["words"] + (k < p["more"]) for k in range(p["blocks"]) for r in range(2) if (k * p["stride"] + p["start"]) % p["blocks"] + r * p["blocks"] < p["ends"][-1])
+        assert abs(taken - p["target"]) <= 0.01 * p["target"], (s, taken, p["target"])
+        assert p["ends"] == sorted(p["ends"]) and p["ends"][-1] <= 2 * p["blocks"]
+    assert max(p["blocks"] for p in plan.values()) <= 2 * mixing.SEATS
+
+
+@pytest.mark.parametrize("seats", [1 << 18, 200])
+def test_small_sources_keep_their_documents(spark, seats):
+    rows = [(i, "w " * 2000, "large") for i in range(150)] + [(1000 + i, "w " * (3 + i % 5), f"s{i % 9}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target, taken = check(run(spark, df, seats=seats), rows)
+    assert all(abs(taken[s] - target[s]) <= max(2, 0.01 * target[s]) for s in target)
