@@ -8,7 +8,9 @@ writer's line separator is set to an empty gzip member, so an archive is a plain
 Reading: every record is checked (gzip CRC, version line, Content-Length, record end, block and payload digests).
 After a failed check the reader searches for the next gzip member or version line that starts a valid
 record, goes on there, and logs the bytes between as a quarantined gap (offset, length, reason). Plain and
-gzip-compressed records may be mixed in an archive.
+gzip-compressed records may be mixed in an archive. The content of a member is searched in the same way, and so is what
+a broken or cut off member gives before its error: its whole records are read. Records and gaps inside a member have the
+offset and length of the member's bytes they come from; an inner gap's reason names its place in the content.
 
 Scale: an archive is one row of one task, so its size bounds a task's memory; writing bounds it by ``PER_FILE``.
 Equal payloads meet as one digest row per group (pre-aggregated); the join back splits hot digests.
@@ -84,20 +86,47 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
      .write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("maxRecordsPerFile", PER_FILE).text(path))
 
 
-def inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """The content and end of the gzip member that starts at ``at``; None if it is broken or cut off."""
+def inflate(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """The content and end of the gzip member that starts at ``at``; if it is broken or cut off, what came before the error, and None."""
     d, out, p = zlib.decompressobj(31), [], at
     try:
         while not d.eof:
             if p >= len(data):
-                return None
+                return b"".join(out), None
             out.append(d.decompress(data[p:p + STEP]))
             p += STEP
     except zlib.error:
-        return None
+        return b"".join([*out, *(x for _, x in byte_by_byte(data, at, p))]), None
     return b"".join(out), min(p, len(data)) - len(d.unused_data)
 
 
+def byte_by_byte(data: bytes, at: int, p: int) -> Iterator[tuple[int, bytes]]:
+    """(place behind it, what it adds) for each byte from ``p`` to the error of the member that starts at ``at``."""
+    d = zlib.decompressobj(31)
+    d.decompress(data[at:p])
+    try:
+        for i in range(p, len(data)):
+            yield i + 1, d.decompress(data[i:i + 1])
+    except zlib.error:
+        return
+
+
+def used(data: bytes, at: int, length: int) -> int:
+    """Up to where the broken member at ``at`` has surely been read when it has given ``length`` bytes."""
+    d, p, left = zlib.decompressobj(31), at, length
+    try:
+        while left > 0:
+            part = data[p:p + STEP]
+            left -= len(d.decompress(part, left))
+            p += len(part) - len(d.unconsumed_tail)
+    except zlib.error:
+        for p, x in byte_by_byte(data, at, p):
+            left -= len(x)
+            if left <= 0:
+                break
+    return max(at + 1, p - 8)  # the decoder may hold some bytes that it has not used
+
+
 def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record that starts at ``at`` (headers, payload) and its end, or the check it fails."""
     if not VERSION_LINE.match(data, at):
@@ -126,25 +155,46 @@ def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     return {"head": head, "payload": payload}, end + 4
 
 
+def contents(data: bytes) -> tuple[list[tuple[int, dict]], list[tuple[int, int, str]], int]:
+    """The valid records of a member's content (end, record), the gaps (begin, end, reason) between them, and the end of the last record."""
+    at, last, gap, reason, found, gaps = 0, 0, None, "", [], []
+    while at < len(data):
+        r = parse(data, at)
+        if isinstance(r, str):
+            if gap is None:
+                gap, reason = at, r
+            at = data.find(VERSION, at + 1)
+            if at < 0:
+                break
+            continue
+        if gap is not None:
+            gaps.append((gap, at, reason))
+            gap = None
+        at = last = r[1]
+        found.append((last, r[0]))
+    if gap is not None:
+        gaps.append((gap, len(data), reason))
+    return found, gaps, last
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
     """("record", offset, length, head, payload) and ("gap", offset, length, reason), in order, covering every byte."""
     at, gap, reason = 0, None, ""
     while at < len(data):
-        found, end, why = [], at, "no version line"
+        found, gaps, end, why = [], [], at, "no version line"
         if data.startswith(MAGIC, at):
-            unpacked = inflate(data, at)
-            why = "broken member"
-            if unpacked:
-                content, end = unpacked
-                inner = 0
-                why = ""
-                while inner < len(content):
-                    r = parse(content, inner)
-                    if isinstance(r, str):
-                        why = r
-                        break
-                    found.append(r[0])
-                    inner = r[1]
+            content, whole = inflate(data, at)
+            records, gaps, last = contents(content)
+            found, why = [r for _, r in records], ""
+            if whole is None and not found:
+                why = "broken member"
+            elif whole is None:
+                end = used(data, at, last)
+                gaps = [g for g in gaps if g[1] <= last]  # what follows is part of the gap behind ``end``
+            elif gaps and not found:
+                why = gaps[0][2]
+            else:
+                end = whole
         else:
             r = parse(data, at)
             if isinstance(r, str):
@@ -157,12 +207,12 @@ def salvage(data: bytes) -> Iterator[tuple]:
                 gap = None
             for f in found:
                 yield "record", at, end - at, f["head"], f["payload"]
+            for begin, stop, inner in gaps:
+                yield "gap", at, end - at, f"{inner} (content {begin} to {stop})", None
             at = end
             continue
         if gap is None:
             gap, reason = at, why
-        for f in found:  # whole records before the broken one of the same member
-            yield "record", at, end - at, f["head"], f["payload"]
         nearest = [p for p in (data.find(MAGIC, at + 1), data.find(VERSION, at + 1)) if p >= 0]
         at = min(nearest, default=len(data))
     if gap is not None:

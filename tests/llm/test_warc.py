@@ -1,6 +1,7 @@
 """WARC: exact round trip, revisits, and salvage after every kind of damage."""
 import gzip
 import random
+import zlib
 
 import pytest
 from panelscore.llm import warc
@@ -94,3 +95,29 @@ def test_damaged_file_through_spark(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path)).collect()
     assert sorted(r["page_id"] for r in rows if r["kind"] == "record") == list(range(40))
     assert [(r["length"], r["reason"]) for r in rows if r["kind"] == "gap"] == [(99, "no version line")]
+
+
+def test_salvage_inside_a_member():
+    plain = archive(8, packed=False)
+    bad = bytearray(plain[3])
+    bad[-10] ^= 1  # block digest
+    short = plain[5].replace(b"Content-Length: ", b"Content-Length: 9", 1) if b"HTTP" not in plain[5].split(b"Content-Length")[0] else plain[5][:-6] + plain[5][-4:]
+    one = warc.member(b"".join([*plain[:3], bytes(bad), plain[4], short, *plain[6:]]))
+    ids, gaps = read([*archive(1, seed=3), one, *archive(1, seed=4)])
+    assert ids == [0, 0, 1, 2, 4, 6, 7, 0]
+    assert len(gaps) == 2 and all(g[1] == len(one) for g in gaps) and "block digest" in gaps[0][2]
+
+
+def test_salvage_before_the_error_of_a_member():
+    rnd = random.Random(9)
+    plain = [warc.record(i, "u", bytes(rnd.choices(range(256), k=3000)), None, False) for i in range(30)]
+    for level in (0, 6):
+        c = zlib.compressobj(level, zlib.DEFLATED, 31)
+        whole = c.compress(b"".join(plain)) + c.flush()
+        cut = whole[:len(whole) * 2 // 3]
+        ids, gaps = read([cut])
+        assert ids == list(range(len(ids))) and 18 <= len(ids) <= 20 and len(gaps) == 1
+        ids, gaps = read([cut, *archive(2)])
+        assert ids[-2:] == [0, 1] and ids[:-2] == list(range(len(ids) - 2)) and len(ids) >= 20
+        crc = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
+        assert read([crc])[0] == list(range(30)) and read([crc, *archive(2)])[0] == [*range(30), 0, 1]
