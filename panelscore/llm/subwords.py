@@ -12,6 +12,9 @@ Scoring covers every row: the layer is folded into the vectors, so that a word h
 the logit), kept in a bounded cache per task, and a document is the mean of its words' numbers - the same
 value as averaging vectors first, since both are linear.
 
+A word is a run of bytes other than spaces, of any length: in text without spaces a sentence or the whole text is one word, and
+all its n-grams count. Words are worked through in parts of about ``PART_BYTES`` bytes, which bounds memory, not words.
+
 Defined results: null and empty texts have the zero vector and get the layer's bias; repeated rows are scored
 alike, one by one; with no labelled rows every score is 0.5; with one class, that class's smoothed share.
 """
@@ -21,6 +24,7 @@ import math
 import operator
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,7 @@ from .common import arrays, bounded_batches, in_fold, sampled, table
 
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 12, 3, 5
 TRAIN_ROWS, EPOCHS, BATCH, RATE, SEED = 4000, 6, 64, 0.25, 20
-CACHE_WORDS, CHUNK = 100_000, 32
+CACHE_WORDS, CACHE_BYTES, CHUNK, PART_BYTES = 100_000, 16 << 20, 32, 1 << 18
 THRESHOLD = 0.7
 REPEATED, NEUTRAL = b"\t=", 6  # no word holds a tab
 
@@ -42,24 +46,81 @@ def tokens(text: bytes | None) -> tuple[list[bytes], int]:
     return ws, sum(map(operator.eq, ws, ws[1:]))
 
 
-def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of the words, one word after the other, and how many each word has: the word itself and the byte n-grams of ``<word>``."""
-    marked = [b"<" + w[:64] + b">" for w in words]
+def parts(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hash buckets, number of their word) of the words, in parts: the word itself and the byte n-grams of ``<word>``.
+
+    A word longer than ``PART_BYTES`` has parts of its own, cut from its beginning, so no word's parts depend on the others.
+    """
+    held, size = [], 0
+    for i, w in enumerate(words):
+        if held and size + len(w) > PART_BYTES:
+            yield _part(words, held)
+            held, size = [], 0
+        if len(w) <= PART_BYTES:
+            held.append(i)
+            size += len(w) + 2
+            continue
+        yield np.array([zlib.crc32(w) % BUCKETS]), np.array([i])
+        marked = b"<" + w + b">"
+        for at in range(0, len(marked), PART_BYTES):
+            line = np.frombuffer(marked[at:at + PART_BYTES + MAX_N - 1], np.uint8).astype(np.uint32)
+            for k in range(MIN_N, MAX_N + 1):
+                ids = _ngrams(line, np.arange(max(0, min(PART_BYTES, len(line) - k + 1))), k)
+                if len(ids):
+                    yield ids, np.full(len(ids), i)
+    if held:
+        yield _part(words, held)
+
+
+def _ngrams(line: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The buckets of the n-grams of ``k`` bytes that begin at the places ``at``."""
+    h = np.full(len(at), k, np.uint32)
+    for j in range(k):
+        h = h * np.uint32(0x01000193) ^ line[at + j]
+    return ((h * np.uint32(2654435761)) >> np.uint32(7)).astype(np.int64) % BUCKETS
+
+
+def _part(words: list[bytes], held: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    marked = [b"<" + words[i] + b">" for i in held]
     n = np.array([len(m) for m in marked])
     line = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
-    word = np.repeat(np.arange(len(words)), n)
+    word = np.repeat(held, n)
     left = np.repeat(np.cumsum(n), n) - np.arange(len(line))  # bytes from here to the end of the word
-    ids, owner = [np.fromiter((zlib.crc32(w) % BUCKETS for w in words), np.int64, len(words))], [np.arange(len(words))]
+    ids, owner = [np.fromiter((zlib.crc32(words[i]) % BUCKETS for i in held), np.int64, len(held))], [np.array(held)]
     for k in range(MIN_N, MAX_N + 1):
         at = np.flatnonzero(left >= k)
-        h = np.full(len(at), k, np.uint32)
-        for j in range(k):
-            h = h * np.uint32(0x01000193) ^ line[at + j]
-        ids.append(((h * np.uint32(2654435761)) >> np.uint32(7)).astype(np.int64) % BUCKETS)
+        ids.append(_ngrams(line, at, k))
         owner.append(word[at])
-    owner = np.concatenate(owner)
+    return np.concatenate(ids), np.concatenate(owner)
+
+
+def counted_features(words: list[bytes]) -> np.ndarray:
+    """How many features each word has."""
+    n = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    return 1 + sum(np.maximum(n - k + 1, 0) for k in range(MIN_N, MAX_N + 1))
+
+
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the words, one word after the other, and how many each word has."""
+    ids, owner = (np.concatenate(x) for x in zip(*parts(words)))
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(ids)[order], np.bincount(owner, minlength=len(words))
+    return ids[order], np.bincount(owner, minlength=len(words))
+
+
+def word_shares(words: list[bytes], share: np.ndarray) -> np.ndarray:
+    """The mean of ``share`` over each word's features."""
+    total = np.zeros(len(words))
+    for ids, owner in parts(words):
+        first = owner[0]  # a part's words follow each other
+        found = np.bincount(owner - first, share[ids])
+        total[first:first + len(found)] += found
+    return total / counted_features(words)
+
+
+def _merged(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets and the sums of their weights."""
+    ids, at = np.unique(np.concatenate([i for i, _ in pieces]), return_inverse=True)
+    return ids, np.bincount(at, np.concatenate([w for _, w in pieces]))
 
 
 def _document_features(text: pa.Array) -> pa.Array:
@@ -72,10 +133,16 @@ def _document_features(text: pa.Array) -> pa.Array:
             continue
         found = Counter(ws)
         found[REPEATED] = again
-        ids, n = features(list(found))
-        share = np.repeat(np.fromiter(found.values(), float, len(found)) / n / (found.total() + NEUTRAL), n)
-        ids, at = np.unique(ids, return_inverse=True)
-        out.append({"ids": ids.astype(np.int32).tobytes(), "weights": np.bincount(at, share).astype(np.float32).tobytes()})
+        names = list(found)
+        each = np.fromiter(found.values(), float, len(found)) / counted_features(names) / (found.total() + NEUTRAL)
+        pieces = []
+        for ids, owner in parts(names):
+            ids, at = np.unique(ids, return_inverse=True)
+            pieces.append((ids, np.bincount(at, each[owner])))
+            if len(pieces) == 32:
+                pieces = [_merged(pieces)]
+        ids, weights = _merged(pieces)
+        out.append({"ids": ids.astype(np.int32).tobytes(), "weights": weights.astype(np.float32).tobytes()})
     return pa.array(out, pa.struct([("ids", pa.binary()), ("weights", pa.binary())]))
 
 
@@ -147,6 +214,7 @@ def probability(spark: SparkSession, model: tuple[np.ndarray, float]):
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS floats, a fixed size
     known: dict[bytes, float] = {}  # a task's own, kept from batch to batch
+    held = [0]  # bytes of the words in it
 
     def score(text: pa.Array) -> pa.Array:
         share, bias = shared.value
@@ -154,12 +222,13 @@ def probability(spark: SparkSession, model: tuple[np.ndarray, float]):
         out, texts = [], text.to_pylist()
         for start in range(0, len(texts), CHUNK):
             part = [tokens(t) for t in texts[start:start + CHUNK]]
-            if len(known) > CACHE_WORDS:
+            if len(known) > CACHE_WORDS or held[0] > CACHE_BYTES:
                 known.clear()
+                held[0] = 0
             new = list({REPEATED}.union(*(ws for ws, _ in part)).difference(known))
             if new:
-                ids, n = features(new)
-                known.update(zip(new, (np.add.reduceat(share[ids].astype(np.float64), np.cumsum(n) - n) / n).tolist()))
+                known.update(zip(new, word_shares(new, share).tolist()))
+                held[0] += sum(map(len, new))
             for ws, again in part:
                 z = bias + (math.fsum(map(known.__getitem__, ws)) + again * known[REPEATED]) / (len(ws) + again + NEUTRAL)
                 out.append(1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z)))))

@@ -141,3 +141,24 @@ def test_document_frequencies_are_counted_over_all_rows(spark):
     texts = [b"abc abd", b"abc", b"", b"xyz" * 50]
     df, n = centroids.document_frequencies(spark.createDataFrame([(t,) for t in texts], "t binary").repartition(3))
     assert n == 4 and (df == sum((centroids.counts(t) > 0).astype(int) for t in texts)).all()
+
+
+def test_all_of_a_long_word_counts(monkeypatch):
+    rnd = random.Random(3)
+    words = [b"short", bytes(rnd.choices(b"abcdefgh", k=5000)), "漢字仮名交じり文".encode() * 30, b"x" * 63, b"<>", bytes(rnd.choices(b"abc", k=700))]
+    ids, n = subwords.features(words)
+    assert n.tolist() == [1 + sum(len(w) + 3 - k for k in range(3, 6)) for w in words] == subwords.counted_features(words).tolist()
+    share = np.random.default_rng(1).normal(size=subwords.BUCKETS)
+    want = subwords.word_shares(words, share)
+    at = np.cumsum(n) - n
+    assert want == pytest.approx(np.add.reduceat(share[ids], at) / n, rel=1e-9)
+    tail = subwords.word_shares([words[1][:64] + b"z" * 4936], share)[0]
+    assert tail != want[1]  # the same first 64 bytes
+    doc = subwords._document_features(subwords.pa.array([b" ".join(words)]))
+    monkeypatch.setattr(subwords, "PART_BYTES", 100)
+    assert subwords.word_shares(words, share) == pytest.approx(want, rel=1e-9)
+    small, m = subwords.features(words)
+    assert (m == n).all() and all(sorted(small[a:a + k]) == sorted(ids[a:a + k]) for a, k in zip(at, n))
+    again = subwords._document_features(subwords.pa.array([b" ".join(words)]))
+    assert again[0]["ids"] == doc[0]["ids"]
+    assert np.frombuffer(again[0]["weights"].as_py(), np.float32) == pytest.approx(np.frombuffer(doc[0]["weights"].as_py(), np.float32), rel=1e-4)
