@@ -1,7 +1,7 @@
 """The queries of this package by name, and the SQL of those that SQL can express."""
 from __future__ import annotations
 
-from . import centroids, cgk, cws, lbl, mixing, ordinal, simhash, subwords, url_filter, warc
+from . import alignment, centroids, cgk, cws, lbl, mixing, ordinal, simhash, subwords, token_counts, url_filter, warc, whitening
 
 QUERIES = {
     "op1_toxicity": ordinal.query,
@@ -14,6 +14,9 @@ QUERIES = {
     "op8_quality": subwords.query,
     "op9_simhash": simhash.query,
     "op10_mixing": mixing.query,
+    "op11_whitening": whitening.query,
+    "op12_alignment": alignment.query,
+    "op13_token_counts": token_counts.query,
 }
 ORACLE = {
     "op2_warc": warc.ORACLE,
