@@ -1,33 +1,18 @@
-"""Model operators on Spark ML.
-
-The reference trains its boosted models on one machine; here every model is a Spark ML ``Pipeline``
-trained on the distributed mart. The boosted-tree settings are mapped to the nearest ``GBTClassifier``
-parameters; leaf-wise growth and L2 leaf regularisation have no Spark ML equivalent. Early stopping keeps
-the best iteration on the validation part with a patience (``fit_boosted``); Spark ML's own rule
-(``validationIndicatorCol``) is not used: its tolerance is relative to the error, which at these learning
-rates ends a fit at its first tree.
+"""Model operators on Spark ML (M1-M5, M9, M10, O4, P3, S9, S14, U3): the linear baseline, a Spark ML ``Pipeline`` trained on
+the distributed mart. The boosted models are in ``boosting``.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The reference's model settings. Baseline logistic regression as given; the primary
-# and comparison boosted models as their nearest GBTClassifier parameters (learning rate, minimum rows
-# per leaf, feature and row sampling, depth or borders, round limit).
+# The reference's settings of its linear baseline.
 BASELINE_PARAMS = {"maxIter": 50, "regParam": 0.01}
-PRIMARY_PARAMS = {"stepSize": 0.03, "minInstancesPerNode": 300, "featureSubsetStrategy": "0.6",
-                  "subsamplingRate": 0.8, "maxDepth": 7, "maxIter": 3000, "seed": 42}
-COMPARISON_PARAMS = {"stepSize": 0.05, "maxDepth": 6, "maxBins": 128, "maxIter": 1500, "seed": 42}
-PRIMARY_PATIENCE, COMPARISON_PATIENCE = 150, 100
 
 
 def model_features(df: DataFrame, key: str = "id", label: str = "flag", exclude=()) -> list[str]:
@@ -59,53 +44,6 @@ def baseline_pipeline(features: list[str], label: str = "flag", weight: str | No
                             lr])
 
 
-def gbt_pipeline(features: list[str], label: str = "flag", params: dict = PRIMARY_PARAMS, **overrides) -> Pipeline:
-    """M6/M7 for a given number of rounds (``maxIter``)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, **{**params, **overrides})
-    return Pipeline(stages=[assembler(features, "features"), gbt])
-
-
-@dataclass(frozen=True)
-class Boosted:
-    """A boosted pipeline cut to its best iteration: ``rounds`` trees kept of ``trained``, with the validation losses."""
-    model: PipelineModel
-    rounds: int
-    trained: int
-    losses: tuple[float, ...]
-
-
-def best_iteration(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The number of rounds with the least loss before ``patience`` rounds pass without a new least one, and whether they did."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_boosted(features: list[str], train: DataFrame, valid: DataFrame, label: str = "flag", params: dict = PRIMARY_PARAMS,
-                patience: int = PRIMARY_PATIENCE, rounds: int | None = None) -> Boosted:
-    """M6/M7 with M8: boost on ``train``, measure the log loss of every round on ``valid``, keep the best iteration.
-
-    ``rounds`` is the limit, by default the parameter set's own. Boosting runs in spells: 2 x patience rounds, then twice as many as before,
-    until the patience is spent or the limit reached (a fit's first k rounds are the same whatever its limit, so a
-    spell repeats at most half of the work); one pass over ``valid`` gives the losses of all rounds."""
-    limit = rounds or params["maxIter"]
-    n = min(limit, 2 * patience)
-    while True:
-        model = gbt_pipeline(features, label, params, maxIter=n).fit(train)
-        losses = tuple(model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid)))
-        best, spent = best_iteration(losses, patience)
-        if spent or n == limit:
-            break
-        n = min(limit, 2 * n)
-    if best < n:
-        model = gbt_pipeline(features, label, params, maxIter=best).fit(train)
-    return Boosted(model, best, n, losses)
-
-
 def score(model: PipelineModel, df: DataFrame, key: str = "id", label: str | None = "flag",
           out: str = "y_score") -> DataFrame:
     """M9: P(label = 1) per row; with a label the result is a prediction table (id, y_true, y_score)."""
@@ -126,12 +64,8 @@ def binned_metrics(model: PipelineModel, df: DataFrame, label: str = "flag", num
 
 
 def feature_importance(model: PipelineModel, features: list[str], top: int | None = 30) -> DataFrame:
-    """Importance per feature, descending (trees: total gain share; linear: |coefficient|)."""
-    last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        values = last.featureImportances.toArray().tolist()
-    else:
-        values = [abs(v) for v in last.coefficients.toArray().tolist()]
+    """|coefficient| per feature, descending."""
+    values = [abs(v) for v in model.stages[-1].coefficients.toArray().tolist()]
     spark = SparkSession.active()
     df = spark.createDataFrame(list(zip(features, [float(v) for v in values])), "feature string, importance double")
     df = df.orderBy(F.desc("importance"), "feature")

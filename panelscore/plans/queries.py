@@ -6,12 +6,14 @@ on both sides, because the order of summation differs between the engines.
 """
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles, round_report
-from ..operators import fold, gates, metrics, models, profile, split
+from ..operators import boosting, fold, gates, metrics, models, profile, split
 from ..session import work_path
 from ..sources import bindings as B
 from ..sources import io
@@ -450,15 +452,17 @@ def gates_no_valid(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models
-# Rows-only checks: model scores have no SQL oracle. The registered queries ask for a limit of ML_ROUNDS boosting
-# rounds (the operators' default is the parameter sets' own limit); the rounds kept are a column of the result.
+# The scored boosting queries fit ML_ROUNDS trees, so that SQL can fit them again; ``gbt_early_stop`` has the models' own round limit.
 
 ML_ROUNDS = 10
+#: a patience that the early-stopping query spends, and a rate at which its metric stops getting better
+EARLY = {"rate": 0.3, "patience": 5}
 
 
-def _ml_input(spark, sf_dir) -> DataFrame:
-    """The labelled mart with the hash split, written once and read back (S7) for iterative training."""
-    mart = fold.fold_history(B.lineitem_history(spark, sf_dir), B.LINEITEM_SPEC)
+def _ml_input(spark, sf_dir, clients=None) -> DataFrame:
+    """The labelled mart (of ``clients``) with the hash split, written once and read back (S7) for iterative training."""
+    history = B.lineitem_history(spark, sf_dir)
+    mart = fold.fold_history(history if clients is None else history.join(clients, "id", "left_semi"), B.LINEITEM_SPEC)
     labelled = split.hash_split(label_mart(mart, B.value_target(spark, sf_dir))).drop("u")
     out, _ = io.materialize(spark, labelled, work_path(spark, "ml-input"))
     return out
@@ -474,18 +478,11 @@ def _baseline(spark, sf_dir, data=None):
     return models.baseline_pipeline(_features(data)).fit(train), data.where(F.col("is_valid")), data
 
 
-def _gbt(spark, sf_dir, params, patience, data=None):
-    data = _ml_input(spark, sf_dir) if data is None else data
+def _boosted(spark, sf_dir, settings, data=None, rounds=ML_ROUNDS):
+    """A boosted model and its validation rows. Features are rounded to six digits: means of the same rows are the same value in any engine."""
+    data = round_doubles(_ml_input(spark, sf_dir) if data is None else data)
     valid = data.where(F.col("is_valid"))
-    return models.fit_boosted(_features(data), data.where(~F.col("is_valid")), valid, params=params, patience=patience, rounds=ML_ROUNDS), valid, data
-
-
-def _primary(spark, sf_dir, data=None):
-    return _gbt(spark, sf_dir, models.PRIMARY_PARAMS, models.PRIMARY_PATIENCE, data)
-
-
-def _comparison(spark, sf_dir, data=None):
-    return _gbt(spark, sf_dir, models.COMPARISON_PARAMS, models.COMPARISON_PATIENCE, data)
+    return boosting.fit(_features(data), data.where(~F.col("is_valid")), valid, settings=settings, rounds=rounds), valid
 
 
 @query("assemble")
@@ -514,28 +511,82 @@ def mllib_metrics(spark, sf_dir):
 
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
-    b, valid, _ = _primary(spark, sf_dir)
-    return models.score(b.model, valid).withColumn("rounds", F.lit(b.rounds))
+    """Validation scores of the leaf-wise model at its best round (M6, M8, M9)."""
+    b, valid = _boosted(spark, sf_dir, boosting.PRIMARY)
+    return round_doubles(boosting.score(b, valid)).withColumn("rounds", F.lit(b.rounds))
 
 
 @query("gbt2_scores")
 def gbt2_scores(spark, sf_dir):
-    b, valid, _ = _comparison(spark, sf_dir)
-    return models.score(b.model, valid).withColumn("rounds", F.lit(b.rounds))
+    """Validation scores of the symmetric model at its best round (M7, M8, M9)."""
+    b, valid = _boosted(spark, sf_dir, boosting.COMPARISON)
+    return round_doubles(boosting.score(b, valid)).withColumn("rounds", F.lit(b.rounds))
+
+
+def _split_rows(spark, model) -> DataFrame:
+    """The splits of a model: (tree, path: root 1, children 2i and 2i + 1, feature, bin, gain, rows)."""
+    rows = []
+    for number, t in enumerate(model.trees):
+        path = {0: 1}
+        for i in range(len(t.feature)):  # children have higher numbers than their node
+            if t.feature[i] >= 0:
+                path[int(t.left[i])], path[int(t.right[i])] = 2 * path[i], 2 * path[i] + 1
+                rows.append((number, path[i], model.features[t.feature[i]], int(t.bin[i]), float(t.gain[i]), int(t.rows[i])))
+    return spark.createDataFrame(rows, "tree int, path long, feature string, bin int, gain double, rows long")
+
+
+@query("gbt_trees")
+def gbt_trees(spark, sf_dir):
+    """Every split of the leaf-wise trees that are kept (M6): where, on which bin, with which regularised gain and how many rows."""
+    b, _ = _boosted(spark, sf_dir, boosting.PRIMARY)
+    return round_doubles(_split_rows(spark, b))
+
+
+@query("gbt_history")
+def gbt_history(spark, sf_dir):
+    """Validation AUC after each round of both models (M8), and whether it is the round kept."""
+    data = _ml_input(spark, sf_dir)
+    rows = []
+    for name, settings in (("primary", boosting.PRIMARY), ("comparison", boosting.COMPARISON)):
+        b, _ = _boosted(spark, sf_dir, settings, data)
+        rows += [(name, i + 1, auc, i + 1 == b.rounds) for i, auc in enumerate(b.history)]
+    return round_doubles(spark.createDataFrame(rows, "model string, round int, auc double, best boolean"), 9)
+
+
+@query("gbt_early_stop")
+def gbt_early_stop(spark, sf_dir):
+    """A fit under the symmetric model's own limit of 1,500 rounds that its patience ends (M8): metric by round, best round, stopped early."""
+    b, _ = _boosted(spark, sf_dir, replace(boosting.COMPARISON, **EARLY), rounds=boosting.COMPARISON.rounds)
+    rows = [(i + 1, auc, b.rounds, b.trained < boosting.COMPARISON.rounds) for i, auc in enumerate(b.history)]
+    return round_doubles(spark.createDataFrame(rows, "round int, auc double, best int, stopped boolean"), 9)
 
 
 @query("score_test")
 def score_test(spark, sf_dir):
-    """Scores for clients without a label (the test role: orders with history whose flag is unknown to
-    the model), in training column order (P3, M9), as a submission (id, score)."""
-    b, _, data = _primary(spark, sf_dir)
-    return models.score(b.model, data.drop("flag"), label=None, out="score").orderBy("id")
+    """Learns on the clients placed before ``B.SCORING_FROM`` and scores the later ones, in training column order (P3, M9), as a
+    submission (id, score)."""
+    old, new = B.clients_by_date(spark, sf_dir)
+    b, _ = _boosted(spark, sf_dir, boosting.PRIMARY, _ml_input(spark, sf_dir, old))
+    test = round_doubles(fold.fold_history(B.lineitem_history(spark, sf_dir).join(new, "id", "left_semi"), B.LINEITEM_SPEC))
+    return round_doubles(boosting.score(b, test, label=None, out="score")).orderBy("id")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    b, _, data = _primary(spark, sf_dir)
-    return models.feature_importance(b.model, _features(data), top=30)
+    """Share of all gain by feature, the 30 highest."""
+    b, _ = _boosted(spark, sf_dir, boosting.PRIMARY)
+    return round_doubles(boosting.feature_importance(spark, b, top=30))
+
+
+@query("boosted_comparison")
+def boosted_comparison(spark, sf_dir):
+    """Exact metric rows of the two boosted models on the same hash-split validation rows."""
+    data = _ml_input(spark, sf_dir)
+    records = []
+    for name, settings in (("gbt_comparison", boosting.COMPARISON), ("gbt_primary", boosting.PRIMARY)):
+        b, valid = _boosted(spark, sf_dir, settings, data)
+        records.append((name, metrics.metric_record(boosting.score(b, valid), name)))
+    return round_doubles(models.comparison(records))
 
 
 @query("model_roundtrip")
@@ -553,9 +604,10 @@ def model_roundtrip(spark, sf_dir):
 def model_comparison(spark, sf_dir):
     """Exact metric rows of the three models on the same hash-split validation rows."""
     base, valid, data = _baseline(spark, sf_dir)
-    primary, second = _primary(spark, sf_dir, data)[0], _comparison(spark, sf_dir, data)[0]
-    records = [(name, metrics.metric_record(models.score(m, valid), name)) for name, m in
-               (("logistic_regression", base), ("gbt_comparison", second.model), ("gbt_primary", primary.model))]
+    records = [("logistic_regression", metrics.metric_record(models.score(base, valid), "logistic_regression"))]
+    for name, settings in (("gbt_comparison", boosting.COMPARISON), ("gbt_primary", boosting.PRIMARY)):
+        b, rounded = _boosted(spark, sf_dir, settings, data)
+        records.append((name, metrics.metric_record(boosting.score(b, rounded), name)))
     return models.comparison(records)
 
 

@@ -15,7 +15,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fold, gates, metrics, models, split
+from ..operators import boosting, fold, gates, metrics, models, split
 from ..session import checkpoint_dir
 from ..sources import bindings as B
 from ..sources import io
@@ -65,10 +65,11 @@ def run_workflow(spark: SparkSession, history: DataFrame, target: DataFrame, tes
     # models (M3, M6-M8) on the same hash split
     def fit_all():
         base = models.baseline_pipeline(cols).fit(split.with_class_weights(train, counted_on=marts))
-        primary = models.fit_boosted(cols, train, valid, params=models.PRIMARY_PARAMS, patience=models.PRIMARY_PATIENCE, rounds=rounds)
-        second = models.fit_boosted(cols, train, valid, params=models.COMPARISON_PARAMS, patience=models.COMPARISON_PATIENCE, rounds=rounds)
-        for name, m in (("logistic_regression", base), ("gbt_primary", primary.model), ("gbt_comparison", second.model)):
-            models.save_model(m, f"{out}/models/{name}")
+        primary = boosting.fit(cols, train, valid, key=spec.key, settings=boosting.PRIMARY, rounds=rounds)
+        second = boosting.fit(cols, train, valid, key=spec.key, settings=boosting.COMPARISON, rounds=rounds)
+        models.save_model(base, f"{out}/models/logistic_regression")
+        for name, m in (("gbt_primary", primary), ("gbt_comparison", second)):
+            boosting.save(spark, m, f"{out}/models/{name}")
         return base, primary, second
     base, primary, second = stage("train", fit_all)
     kept = {"gbt_primary": primary.rounds, "gbt_comparison": second.rounds}
@@ -76,13 +77,15 @@ def run_workflow(spark: SparkSession, history: DataFrame, target: DataFrame, tes
     # evaluate (M11-M14, W3-W5, A21, A22, A28, M5, M10, U3): one curve table per model
     def evaluate():
         preds, curves = {}, {}
-        for name, m in (("logistic_regression", base), ("gbt_comparison", second.model), ("gbt_primary", primary.model)):
+        scored = (("logistic_regression", models.score(base, valid, key=spec.key)), ("gbt_comparison", boosting.score(second, valid, key=spec.key)),
+                  ("gbt_primary", boosting.score(primary, valid, key=spec.key)))
+        for name, df in scored:
             path = f"{out}/predictions/{name}"
-            io.write_predictions(models.score(m, valid, key=spec.key), path, spec.key)
+            io.write_predictions(df, path, spec.key)
             preds[name] = spark.read.parquet(path)
             curves[name] = metrics.score_curve(preds[name])
         main = curves["gbt_primary"]
-        importance = models.feature_importance(primary.model, cols, top=30)
+        importance = boosting.feature_importance(spark, primary, top=30).drop("gain", "splits")
         binned = reports.baseline_report(models.binned_metrics(base, valid), train, valid)
         compared = reports.model_report(curves["gbt_comparison"], "gbt_comparison", second.rounds)
         io.write_report(binned, f"{out}/reports/baseline_metrics")
@@ -101,8 +104,7 @@ def run_workflow(spark: SparkSession, history: DataFrame, target: DataFrame, tes
 
     # score the test clients
     def score_test():
-        sub = models.score(models.load_model(f"{out}/models/gbt_primary"), test, key=spec.key, label=None,
-                           out="score")
+        sub = boosting.score(boosting.load(spark, f"{out}/models/gbt_primary"), test, key=spec.key, label=None, out="score")
         io.write_submission_csv(sub, f"{out}/submission", spec.key)
         return io.read_submission_csv(spark, f"{out}/submission")
     submission = stage("predict", score_test)

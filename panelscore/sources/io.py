@@ -140,3 +140,27 @@ def report_dict(df: DataFrame) -> dict:
     if len(rows) != 1:
         raise ValueError("a report has exactly one row")
     return rows[0].asDict(recursive=True)
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system that holds ``path``, whatever it is, and the path on it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` (none, if it does not exist)."""
+    fs, p = _folder(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that this library wrote and no DataFrame reads any more."""
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)

@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from panelscore.operators import fold, metrics, models, split
+from panelscore.operators import boosting, fold, metrics, models, split
 from panelscore.sources import bindings as B
 
 
@@ -32,31 +32,6 @@ def test_baseline_learns_and_scores_are_probabilities(spark, mart):
     assert metrics.ranking_metrics(preds).first()["roc_auc"] > 0.8
 
 
-def test_boosting_keeps_its_best_iteration_and_beats_one_tree(spark, mart):
-    train, valid = mart.where(~F.col("is_valid")), mart.where(F.col("is_valid"))
-    args = {"params": models.COMPARISON_PARAMS, "patience": 3}
-    many = models.fit_boosted(_features(mart), train, valid, rounds=8, **args)
-    one = models.fit_boosted(_features(mart), train, valid, rounds=1, **args)
-    assert many.rounds > 1 and len(many.model.stages[-1].trees) == many.rounds
-    assert many.rounds == models.best_iteration(many.losses, 3)[0]
-    auc = lambda b: metrics.ranking_metrics(models.score(b.model, valid)).first()["roc_auc"]
-    assert auc(many) > auc(one)
-    imp = models.feature_importance(many.model, _features(mart), top=5).collect()
-    assert len(imp) == 5 and imp[0]["importance"] >= imp[-1]["importance"]
-
-
-def test_a_fits_first_rounds_do_not_depend_on_its_limit(spark, mart):
-    train = mart.where(~F.col("is_valid"))
-    short, long = (models.gbt_pipeline(_features(mart), params=models.PRIMARY_PARAMS | {"minInstancesPerNode": 5}, maxIter=n).fit(train).stages[-1] for n in (2, 4))
-    assert [t.toDebugString.split("\n", 1)[1] for t in short.trees] == [t.toDebugString.split("\n", 1)[1] for t in long.trees[:2]]
-
-
-def test_best_iteration_has_patience():
-    assert models.best_iteration([5, 4, 3, 3.5, 3.2, 2, 1], patience=4) == (7, False)
-    assert models.best_iteration([5, 4, 3, 3.5, 3.2, 2, 1], patience=2) == (3, True)
-    assert models.best_iteration([1, 1, 1], patience=150) == (1, False)
-
-
 def test_workflow_writes_every_report_and_passes_its_gates(spark, sf_dir, tmp_path):
     import json
     from panelscore.plans.workflow import run_on_test_tables
@@ -72,8 +47,9 @@ def test_workflow_writes_every_report_and_passes_its_gates(spark, sf_dir, tmp_pa
     for name in ("roc", "pr", "ks", "histogram", "calibration", "confusion", "importance", "model_comparison", "split"):
         assert spark.read.parquet(f"{tmp_path}/reports/{name}").count() > 0, name
     assert spark.read.parquet(f"{tmp_path}/reports/histogram").count() == 59
-    for name in ("logistic_regression", "gbt_primary", "gbt_comparison"):
-        models.load_model(f"{tmp_path}/models/{name}")
+    models.load_model(f"{tmp_path}/models/logistic_regression")
+    for name in ("gbt_primary", "gbt_comparison"):
+        assert boosting.load(spark, f"{tmp_path}/models/{name}").rounds == out["rounds"][name]
     learned = spark.read.parquet(f"{tmp_path}/features/train").select("id")
     scored = spark.read.parquet(f"{tmp_path}/features/test").select("id")
     assert learned.intersect(scored).count() == 0 and scored.count() == out["submission_check"]["rows"]
