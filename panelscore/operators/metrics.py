@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
@@ -139,6 +139,28 @@ def metric_record(preds: DataFrame | Curve, model: str, label: str = "y_true", s
         F.col("unscored").alias("unscored_rows"))
 
 
+def binned_areas(preds: DataFrame | Curve, bins: int = 1000, label: str = "y_true", score: str = "y_score") -> DataFrame:
+    """M5, one row: areas under the ROC and the precision-recall curve through at most about ``bins`` points, by trapezoids (the second
+    is not sklearn's average precision, SURVEY D2).
+
+    Distinct scores are ranked in ranges (``running_totals``) and every g-th one is kept, g = distinct scores / ``bins``; with fewer scores than
+    twice ``bins`` all are. Only the kept points, under twice ``bins`` and so bounded, meet in one window. The ROC curve starts at (0, 0), the
+    other at recall 0 with the first point's precision."""
+    c = score_curve(preds, label, score)
+    ranked = running_totals(c.points.select(c.score, "tps", "fps", F.lit(1).alias("one")), c.score, ["one"])
+    n = c.points.select(F.count(F.lit(1))).scalar()
+    group = F.greatest(F.lit(1), F.floor(n / F.lit(bins)))
+    kept = ranked.where((F.col("cum_one") % group == 0) | (F.col("cum_one") == n))
+    w = Window.orderBy("cum_one")
+    points = c.with_totals(kept).select("cum_one", ratio(F.col("fps"), F.col("n")).alias("x"), ratio(F.col("tps"), F.col("p")).alias("y"),
+                                        ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("q"))
+    before = lambda col, first: F.coalesce(F.lag(col).over(w), first)
+    steps = points.select(((F.col("x") - before("x", F.lit(0.0))) * (F.col("y") + before("y", F.lit(0.0))) / 2).alias("roc"),
+                          ((F.col("y") - before("y", F.lit(0.0))) * (F.col("q") + before("q", F.col("q"))) / 2).alias("pr"))
+    areas = steps.agg(F.sum("roc").alias("roc_auc"), F.sum("pr").alias("pr_auc_trapezoid"), F.count(F.lit(1)).alias("points"))
+    return areas.select("roc_auc", (F.col("roc_auc") * 2 - 1).alias("gini"), "pr_auc_trapezoid", "points")
+
+
 def confusion_at(preds: DataFrame | Curve, threshold: Column, label: str = "y_true",
                  score: str = "y_score") -> DataFrame:
     """Counts of (y_true, y_pred) with y_pred = score >= threshold; all four cells present."""

@@ -24,10 +24,15 @@ def hash_split(df: DataFrame, key: str = "id", seed: int = SPLIT_SEED,
     return with_unit_hash(df, key, seed, out="u").withColumn(flag, F.col("u") < F.lit(valid_fraction))
 
 
-def random_split(df: DataFrame, seed: int = SPLIT_SEED, valid_fraction: float = VALID_FRACTION):
-    """Spark's ``randomSplit`` (M4), kept for comparison; depends on partitioning."""
-    train, valid = df.randomSplit([1.0 - valid_fraction, valid_fraction], seed=seed)
-    return train, valid
+#: another stream of the hash than the shared split's, so that the two splits are independent
+RANDOM_STREAM = 1 << 32
+
+
+def random_split(df: DataFrame, key: str = "id", seed: int = SPLIT_SEED, valid_fraction: float = VALID_FRACTION) -> tuple[DataFrame, DataFrame]:
+    """A seeded random split of rows into (train, valid) by key (M4). Spark's ``randomSplit`` draws by partition and place, so the same seed gives
+    other rows for another number of files (SURVEY D1); here a row's part depends on its key and the seed alone."""
+    hashed = hash_split(df, key, seed + RANDOM_STREAM, valid_fraction, "_part").drop("u")
+    return hashed.where(~F.col("_part")).drop("_part"), hashed.where(F.col("_part")).drop("_part")
 
 
 def split_report(df: DataFrame, label: str = "flag", flag: str = "is_valid") -> DataFrame:

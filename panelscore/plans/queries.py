@@ -57,6 +57,13 @@ def mart_trend(spark, sf_dir):
     return round_doubles(m.select("id", "rn_cnt", "qty_trend", "disc_trend"))
 
 
+@query("mart_bucketed")
+def mart_bucketed(spark, sf_dir):
+    """The mart from a canonical layer that is bucketed by client and sorted by sequence number (S3, S7): no exchange before the aggregate."""
+    layer = io.write_bucketed(B.lineitem_history(spark, sf_dir), work_path(spark, "bucketed-history"), "id", ["id", "rn"], 8)
+    return round_doubles(fold.fold_history(layer, B.LINEITEM_SPEC))
+
+
 @query("mart_recent")
 def mart_recent(spark, sf_dir):
     m = fold.fold_history(B.lineitem_history(spark, sf_dir), B.LINEITEM_SPEC)
@@ -231,8 +238,8 @@ def row_weights(spark, sf_dir):
 
 @query("random_split")
 def random_split(spark, sf_dir):
-    """Validation part of ``randomSplit``; rows-only, it depends on the partitioning."""
-    _, valid = split.random_split(B.orders_target(spark, sf_dir))
+    """Validation part of the seeded random split by key (M4), the same whatever the number of partitions."""
+    _, valid = split.random_split(B.orders_target(spark, sf_dir).repartition(7))
     return valid
 
 
@@ -456,7 +463,7 @@ def gates_no_valid(spark, sf_dir):
 
 ML_ROUNDS = 10
 #: a patience that the early-stopping query spends, and a rate at which its metric stops getting better
-EARLY = {"rate": 0.3, "patience": 5}
+EARLY = {"rate": 1.0, "patience": 2}
 
 
 def _ml_input(spark, sf_dir, clients=None) -> DataFrame:
@@ -509,6 +516,20 @@ def mllib_metrics(spark, sf_dir):
                                  "roc_auc double, gini double, pr_auc_trapezoid double, valid_rows long")
 
 
+@query("baseline_gradient")
+def baseline_gradient(spark, sf_dir):
+    """Whether the baseline's coefficients are where the regularised loss has no slope (M3): one row per feature and the intercept."""
+    model, _, data = _baseline(spark, sf_dir)
+    train = split.with_class_weights(data.where(~F.col("is_valid")), counted_on=data)
+    return models.baseline_gradient(model, train, _features(data)).select("feature", "at_optimum")
+
+
+@query("binned_metrics")
+def binned_metrics(spark, sf_dir):
+    """Areas through 100 points of the curves of a score with about 1,000 distinct values (M5)."""
+    return round_doubles(metrics.binned_areas(_preds(spark, sf_dir), bins=100))
+
+
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
     """Validation scores of the leaf-wise model at its best round (M6, M8, M9)."""

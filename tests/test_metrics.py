@@ -217,3 +217,19 @@ def test_class_weights_and_absent_class(spark):
     pos_w = split.with_class_weights(only0.union(spark.createDataFrame([(3, 1)], "id long, flag int")),
                                      counted_on=only0).where("flag = 1").collect()[0]["w"]
     assert pos_w is None
+
+
+def test_binned_areas_equal_the_exact_ones_and_mllibs(spark, sf_dir):
+    """With bins for every score the ROC area is exact and both equal MLlib's; with few bins they are near."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from panelscore.sources import bindings as B
+    preds = B.orders_predictions(spark, sf_dir)
+    exact = metrics.ranking_metrics(preds).first()
+    full, few = (metrics.binned_areas(preds, n).first() for n in (10**6, 50))
+    raw = preds.select(F.col("y_true").cast("double").alias("label"), array_to_vector(F.array(-F.col("y_score"), F.col("y_score"))).alias("rawPrediction"))
+    ev = BinaryClassificationEvaluator(numBins=0)
+    assert abs(full["roc_auc"] - exact["roc_auc"]) < 1e-12 and abs(full["gini"] - exact["gini"]) < 1e-12
+    assert abs(full["roc_auc"] - ev.evaluate(raw)) < 1e-9
+    assert abs(full["pr_auc_trapezoid"] - ev.setMetricName("areaUnderPR").evaluate(raw)) < 1e-9
+    assert few["points"] < 100 and abs(few["roc_auc"] - full["roc_auc"]) < 0.01

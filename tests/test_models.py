@@ -68,3 +68,21 @@ def test_comparison_skips_absent_models(spark, mart):
     rec = spark.createDataFrame([("m", 0.5)], "model string, roc_auc double")
     out = models.comparison([("baseline", None), ("m", rec)]).collect()
     assert [r["model"] for r in out] == ["m"]
+
+
+def test_gradient_is_zero_at_the_optimum_only(spark, mart):
+    train = split.with_class_weights(mart.where(~F.col("is_valid")))
+    cols = _features(mart)
+    fitted = models.baseline_gradient(models.baseline_pipeline(cols, maxIter=200, tol=1e-10).fit(train), train, cols)
+    assert fitted.count() == len(cols) + 1 and fitted.where(~F.col("at_optimum")).count() == 0
+    early = models.baseline_gradient(models.baseline_pipeline(cols, maxIter=1).fit(train), train, cols)
+    assert early.where(~F.col("at_optimum")).count() > 0
+
+
+def test_random_split_does_not_depend_on_partitions(spark, mart):
+    parts = [sorted(r["id"] for r in split.random_split(mart.repartition(n))[1].select("id").collect()) for n in (3, 7)]
+    train, valid = split.random_split(mart)
+    assert parts[0] == parts[1] and 0.15 < len(parts[0]) / mart.count() < 0.25
+    assert train.count() + valid.count() == mart.count() and train.columns == mart.columns
+    assert parts[0] != sorted(r["id"] for r in mart.where("is_valid").select("id").collect())
+    assert parts[0] != sorted(r["id"] for r in split.random_split(mart, seed=7)[1].select("id").collect())

@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, sf_dir, con, key):
 def test_every_query_has_a_check():
     assert set(ORACLES) <= set(E.queries())
     # only the model operators lack SQL: their scores come from trained models
-    assert set(ROWS_ONLY) <= {"baseline_scores", "mllib_metrics", "gbt_early_stop", "model_comparison", "random_split"}
+    assert set(ROWS_ONLY) <= {"baseline_scores", "mllib_metrics", "model_comparison"}
 
 
 def test_entry_smoke(spark):

@@ -52,7 +52,7 @@ def test_filters_reach_the_scan(spark, sf_dir):
 
 
 #: boosting adds up histograms and walks trees with numpy, in Arrow batches
-BOOSTED = {"gbt_scores", "gbt2_scores", "gbt_trees", "gbt_history", "feature_importance", "score_test", "boosted_comparison"}
+BOOSTED = {"gbt_scores", "gbt2_scores", "gbt_trees", "gbt_history", "feature_importance", "score_test", "boosted_comparison", "gbt_early_stop"}
 
 
 @pytest.mark.parametrize("key", sorted(k for k in ORACLE if not k.startswith(("ingest", "mart_mat",
@@ -62,6 +62,23 @@ def test_no_python_on_the_row_path(spark, sf_dir, key):
     assert python_nodes(E.queries()[key](spark, sf_dir)) == []
 
 
+def test_bucketed_layer_folds_without_an_exchange(spark, history, tmp_path):
+    from panelscore.sources import io
+    layer = io.write_bucketed(history, str(tmp_path / "layer"), "id", ["id", "rn"], 4)
+    folded = fold_history(layer, SPEC, "single")
+    assert count_nodes(folded, r"Exchange") == 0
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, fold_history(history, SPEC, "single").collect()))
+    joined = folded.join(io.write_bucketed(history.select("id").distinct(), str(tmp_path / "ids"), "id", ["id"], 4), "id")
+    assert count_nodes(joined.hint("merge"), r"Exchange hashpartitioning") == 0
+
+
+def test_a_writes_rows_are_counted_from_footers(spark, tmp_path):
+    from panelscore.sources import io
+    assert io.write_counted(spark.range(1000).repartition(3), str(tmp_path / "t")) == 1000
+    text = plan_text(spark.read.parquet(str(tmp_path / "t")).groupBy().count())
+    assert "ReadSchema: struct<>" in text
+
+
 def test_class_size_filter_reaches_the_scan(spark):
     from panelscore.operators import split
     path = os.path.join(tempfile.mkdtemp(prefix="flags-"), "t")
