@@ -24,9 +24,10 @@ further columns may have any name; the key is returned as ``doc_id``. Invalid UT
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,17 +36,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, stored, table
-from .tokenizing import UNITS_KEPT, byte_bpe, byte_bpe_entries, pieces_respect_units, sentence_pieces, sentences, splits_at_units, units
+from .tokenizing import UNITS_KEPT, byte_bpe, byte_bpe_entries, pieces_respect_units, pretokens, sentence_pieces, sentences, spelled, splits_at_units, units
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK, REACH, FAN = 1 << 16, 1 << 12, 16
 HEAD = 1 << 19
-_NONE = np.zeros((0, 3), np.int64)
+_NONE = np.zeros((3, 0), np.int64)
 _FEW = np.zeros(0, np.int64)
 
 
 class Pair:
-    """Two tokenizers. A token row is an array of (start, end, id), by byte offsets in space + text."""
+    """Two tokenizers. A token row is an array [3, tokens] of starts, ends and ids, by byte offsets in space + text."""
 
     def __init__(self, a: str, b: str):
         self.a, self.b = byte_bpe(a, True), sentences(b)
@@ -56,61 +57,70 @@ class Pair:
         n = max(len(self.bytes_a), len(self.bytes_b))
         #: an id as text with the separator behind it: , within, | after the A ids, ; after the B ids of a group
         self.written = np.array([f"{i}{s}".encode() for i in range(n) for s in ",|;"], object)
-        self.known: dict[str, tuple | None] = {}
-
-    def right(self, ids: list[int], entries: list[bytes], raw: bytes) -> bool:
-        return b"".join([entries[i] for i in ids]) == raw
+        if not {bytes([b]) for b in range(256)} <= set(self.bytes_a):
+            raise ValueError("A has to be a byte-level BPE with all bytes")  # so its tokens are the text's bytes
+        #: ids of units and pre-tokens seen, as 32-bit numbers in bytes; None for a unit whose B tokens are not its bytes
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes | None] = {}
+        self.merged: dict[str, bytes] = {}
+
+    def _merge(self, pretoken: str) -> bytes:
+        ids = array("i", [t.id for t in self.a.model.tokenize(spelled(pretoken))]).tobytes()
+        self.merged[pretoken] = ids
+        return ids
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > UNITS_KEPT:
-            self.known.clear()
-        rows_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
-        rows_b = self.b.encode([u[1:] if u[0] == " " else u for u in new], num_threads=1)
-        for unit, a, b in zip(new, rows_a, rows_b):
+        merged, entries = self.merged, self.bytes_b
+        for unit, b in zip(new, self.b.encode([u[1:] if u[0] == " " else u for u in new], num_threads=1)):
             if unit == " ":
                 b = [self.space]
-            elif unit[0] != " ":  # the space that B adds stands alone before a line end
-                b = b[1:] if b and b[0] == self.space else [-1]
-            raw = unit.encode()
-            good = -1 not in b and self.right(a, self.bytes_a, raw) and self.right(b, self.bytes_b, raw)
-            self.known[unit] = (tuple(a), tuple(b)) if good else None
-
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """The A and B ids of ``text``, which begins with a space; None if their bytes are not those of the text."""
-        parts = units(text) if self.by_unit else None
+            elif unit[0] != " " and b and b[0] == self.space:  # the space that B adds stands alone before a line end
+                b = b[1:]
+            self.known_a[unit] = b"".join([merged.get(p) or self._merge(p) for p in pretokens(self.a, unit, True)])
+            self.known_b[unit] = array("i", b).tobytes() if b"".join([entries[i] for i in b]) == unit.encode() else None
+
+    def cut(self, texts: list[str]) -> list[list[str] | None]:
+        """The units of each text (None: it has to be encoded whole); their ids are known from now on to the next call."""
+        parts = [units(t) if self.by_unit else None for t in texts]
+        every = set().union(*(p for p in parts if p))
+        new = every - self.known_b.keys()
+        if len(self.known_b) + len(new) > UNITS_KEPT:
+            self.known_a, self.known_b, self.merged = {}, {}, {}
+            new = every
+        if new:
+            self._learn(list(new))
+        return parts
+
+    def ids(self, text: str, parts: list[str] | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """The A and B ids of ``text``, which begins with a space; None if the B bytes are not those of the text."""
         if parts is None:
-            raw = text.encode()
             a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
-            if not (self.right(a, self.bytes_a, raw) and self.right(b, self.bytes_b, raw)):
-                return None
-            return np.array(a, np.int64), np.array(b, np.int64)
-        known = self.known
-        new = list({u for u in parts if u not in known})
-        if new:
-            self._learn(new)
-            if len(new) < len(parts) and any(u not in known for u in parts):  # the store was emptied
-                self._learn(list({u for u in parts if u not in known}))
-        found = [known[u] for u in parts]
-        if None in found:
+            return (np.array(a, np.int64), np.array(b, np.int64)) if b"".join([self.bytes_b[i] for i in b]) == text.encode() else None
+        rows_b = list(map(self.known_b.__getitem__, parts))
+        if None in rows_b:
             return None
-        return tuple(np.fromiter(chain.from_iterable([f[k] for f in found]), np.int64) for k in (0, 1))
+        return tuple(np.frombuffer(b"".join(r), np.int32).astype(np.int64) for r in (map(self.known_a.__getitem__, parts), rows_b))
 
-    def token_rows(self, text: str, at: int) -> tuple[np.ndarray, np.ndarray] | None:
+    def token_rows(self, text: str, parts: list[str] | None, at: int) -> tuple[np.ndarray, np.ndarray] | None:
         """The token rows of ``text``, which begins at byte ``at`` of its document."""
-        ids = self.ids(text)
+        ids = self.ids(text, parts)
         if ids is None:
             return None
         out = []
         for row, size in zip(ids, (self.size_a, self.size_b)):
-            end = at + np.cumsum(size[row])
-            out.append(np.stack([end - size[row], end, row], axis=1))
+            size = size[row]
+            end = at + np.cumsum(size)
+            out.append(np.stack([end - size, end, row]))
         return tuple(out)
 
 
 @functools.lru_cache(maxsize=2)
 def pair_of(a: str, b: str) -> Pair:
     """One per process: later tasks find the units that earlier ones encoded."""
-    return Pair(a, b)
+    pair = Pair(a, b)
+    gc.collect()
+    gc.freeze()  # what is loaded by now stays: no need to walk it again and again
+    return pair
 
 
 class Groups(NamedTuple):
@@ -138,23 +148,36 @@ class Fragment(NamedTuple):
 BAD = Fragment(False, False)
 
 
-def closed(pair: Pair, a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> Groups:
-    """The groups of token rows that begin at a common end and end at the last of ``cuts``."""
-    if not len(cuts):
+def _ends(row: np.ndarray, base: int, size: int) -> np.ndarray:
+    """By offset from ``base``: whether a token of the row ends there."""
+    out = np.zeros(size, bool)
+    out[row[1] - base] = True
+    return out
+
+
+def closed(pair: Pair, a: np.ndarray, b: np.ndarray) -> Groups:
+    """The groups of token rows that begin together and end together."""
+    if not a.shape[1]:
         return Groups()
-    start, end, ids = a.T
-    end_b, ids_b = b[:, 1], b[:, 2]
-    group_a, group_b = np.searchsorted(cuts, end), np.searchsorted(cuts, end_b)
+    base = a[0, 0]
+    size = a[1, -1] - base + 1
+    (start, end, ids), ids_b = a, b[2]
+    start, end = start - base, end - base
+    in_b = _ends(b, base, size)
+    last_a, last_b = in_b[end], _ends(a, base, size)[b[1] - base]  # the last tokens of their groups
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    to_a, to_b = np.nonzero(last_a)[0] + 1, np.append(0, np.nonzero(last_b)[0] + 1)  # A tokens to each group's end, B tokens to its beginning
     # each id with its separator, at its place: a group's A ids, then its B ids
-    order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = ids * 3 + (end == cuts[group_a])
-    order[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = ids_b * 3 + 2 * (end_b == cuts[group_b])
-    first, last = np.searchsorted(end_b, start, "right"), np.searchsorted(end_b, end)
-    n = last - first + 1
+    order = np.empty(len(ids) + len(ids_b), np.int64)
+    order[np.arange(len(ids)) + to_b[group_a]] = ids * 3 + last_a
+    order[np.arange(len(ids_b)) + to_a[group_b]] = ids_b * 3 + 2 * last_b
+    ended = np.cumsum(in_b)  # B tokens that end at or before an offset
+    first = ended[start]
+    n = ended[end - 1] - first + 1
     total = int(n.sum())
     partner = np.arange(total) - np.repeat(np.cumsum(n) - n - first, n)
     keys, counts = np.unique(np.repeat(ids, n) << 32 | ids_b[partner], return_counts=True)
-    return Groups(len(a), len(b), len(cuts), total, b"".join(pair.written[order].tolist()), keys, counts)
+    return Groups(len(ids), len(ids_b), len(to_a), total, b"".join(pair.written[order].tolist()), keys, counts)
 
 
 def together(x: Groups, y: Groups) -> Groups:
@@ -167,31 +190,33 @@ def together(x: Groups, y: Groups) -> Groups:
 
 def fragment(pair: Pair, a: np.ndarray, b: np.ndarray) -> Fragment:
     """The fragment of the tokens that end in a range."""
-    cuts = np.intersect1d(a[:, 1], b[:, 1], assume_unique=True)
-    if not len(cuts):
+    if not (a.shape[1] and b.shape[1]):
+        return Fragment(True, False, a, b)
+    base = min(a[0, 0], b[0, 0])
+    size = max(a[1, -1], b[1, -1]) - base + 1
+    common = [np.nonzero(_ends(other, base, size)[row[1] - base])[0] + 1 for row, other in ((a, b), (b, a))]
+    if not len(common[0]):
         return Fragment(True, False, a, b)
-    (a0, a1), (b0, b1) = (np.searchsorted(t[:, 1], cuts[[0, -1]], "right") for t in (a, b))
-    return Fragment(True, True, a[:a0], b[:b0], closed(pair, a[a0:a1], b[b0:b1], cuts[1:]), a[a1:], b[b1:])
+    (a0, a1), (b0, b1) = (c[[0, -1]] for c in common)
+    return Fragment(True, True, a[:, :a0], b[:, :b0], closed(pair, a[:, a0:a1], b[:, b0:b1]), a[:, a1:], b[:, b1:])
 
 
 def compose(pair: Pair, x: Fragment, y: Fragment) -> Fragment:
     """The fragment of two neighbouring ranges."""
     if not (x.good and y.good):
         return BAD
+    joined = lambda u, v: np.concatenate([u, v], axis=1)
     if not x.cut:
-        return y._replace(head_a=np.concatenate([x.head_a, y.head_a]), head_b=np.concatenate([x.head_b, y.head_b]))
-    open_a, open_b = np.concatenate([x.tail_a, y.head_a]), np.concatenate([x.tail_b, y.head_b])
+        return y._replace(head_a=joined(x.head_a, y.head_a), head_b=joined(x.head_b, y.head_b))
+    open_a, open_b = joined(x.tail_a, y.head_a), joined(x.tail_b, y.head_b)
     if not y.cut:
         return x._replace(tail_a=open_a, tail_b=open_b)
-    middle = closed(pair, open_a, open_b, open_a[-1:, 1])
-    return Fragment(True, True, x.head_a, x.head_b, together(together(x.closed, middle), y.closed), y.tail_a, y.tail_b)
+    return Fragment(True, True, x.head_a, x.head_b, together(together(x.closed, closed(pair, open_a, open_b)), y.closed), y.tail_a, y.tail_b)
 
 
 def whole(pair: Pair, x: Fragment) -> Groups:
     """The groups of a whole text: its prefix begins at the text's start and so is a group too; nothing is behind its last common end."""
-    if not (x.good and x.cut):
-        return Groups()
-    return together(closed(pair, x.head_a, x.head_b, x.head_a[-1:, 1]), x.closed)
+    return together(closed(pair, x.head_a, x.head_b), x.closed) if x.good and x.cut else Groups()
 
 
 # ---------------------------------------------------------------- chunks
@@ -235,14 +260,18 @@ def _chunks(chunk: int, reach: int):
     return F.arrow_udf(cut, _CHUNKS)
 
 
-def chunk_fragment(pair: Pair, raw: bytes, start: int, stop: int, at: int) -> Fragment:
-    try:
-        rows = pair.token_rows(raw.decode(), at)
-    except UnicodeDecodeError:
-        rows = None
-    if rows is None:
-        return BAD
-    return fragment(pair, *(r[slice(*np.searchsorted(r[:, 1], (start, stop), "right"))] for r in rows))
+def chunk_fragments(pair: Pair, chunks: list[tuple[bytes, int, int, int]]) -> Iterator[Fragment]:
+    """The fragment of each chunk (raw, start, stop, at): the tokens of ``raw``, from byte ``at`` on, that end in (start, stop]."""
+    texts: list[str | None] = []
+    for raw, *_ in chunks:
+        try:
+            texts.append(raw.decode())
+        except UnicodeDecodeError:
+            texts.append(None)
+    parts = pair.cut([t for t in texts if t is not None])[::-1]
+    for text, (_, start, stop, at) in zip(texts, chunks):
+        rows = None if text is None else pair.token_rows(text, parts.pop(), at)
+        yield BAD if rows is None else fragment(pair, *(r[:, slice(*np.searchsorted(r[1], (start, stop), "right"))] for r in rows))
 
 
 # ---------------------------------------------------------------- tables
@@ -260,7 +289,7 @@ def _packed(f: Fragment) -> dict:
 
 
 def _unpacked(r: dict) -> Fragment:
-    heads = {n: np.array(r[n], np.int64).reshape(-1, 3) for n, _ in _OPEN}
+    heads = {n: np.array(r[n], np.int64).reshape(3, -1) for n, _ in _OPEN}
     c = Groups(*(r[n] for n, _ in _GROUPS[:5]), np.array(r["keys"], np.int64), np.array(r["counts"], np.int64))
     return Fragment(r["good"], r["cut"], heads["head_a"], heads["head_b"], c, heads["tail_a"], heads["tail_b"])
 
@@ -281,11 +310,9 @@ def _short(a: str, b: str):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(a, b)
         for batch in batches:
-            out = []
-            for value in batch.column(1):
-                raw = value.as_py()
-                out.append(whole(pair, chunk_fragment(pair, b" " + raw, 0, len(raw) + 1, 0)) if raw else Groups())
-            yield _results(batch.column(0), out)
+            texts = batch.column(1).to_pylist()
+            found = chunk_fragments(pair, [(b" " + t, 0, len(t) + 1, 0) for t in texts if t])
+            yield _results(batch.column(0), [whole(pair, next(found)) if t else Groups() for t in texts])
 
     return align
 
@@ -295,9 +322,8 @@ def _fragments(a: str, b: str):
         pair = pair_of(a, b)
         for batch in batches:
             row, no, *rest = batch.columns
-            found = [_packed(chunk_fragment(pair, raw, start, stop, at)) for start, stop, at, raw in zip(*(c.to_pylist() for c in rest))]
-            for i, f in enumerate(found):  # one by one: a fragment may be large
-                yield pa.RecordBatch.from_arrays([row.slice(i, 1), no.slice(i, 1), pa.array([f], _FRAGMENT)], ["row", "no", "f"])
+            for i, f in enumerate(chunk_fragments(pair, list(zip(*(c.to_pylist() for c in rest))))):  # one by one: a fragment may be large
+                yield pa.RecordBatch.from_arrays([row.slice(i, 1), no.slice(i, 1), pa.array([_packed(f)], _FRAGMENT)], ["row", "no", "f"])
 
     return align
 
@@ -339,7 +365,7 @@ def aligned(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text
     if most is None:
         result = short
     else:
-        parts = chunks.select("row", "no", "start", "stop", "at", "raw").repartition("row", "no").mapInArrow(_fragments(a, b), f"row long, no long, f {_FRAGMENT_SQL}")
+        parts = chunks.select("row", "no", "raw", "start", "stop", "at").repartition("row", "no").mapInArrow(_fragments(a, b), f"row long, no long, f {_FRAGMENT_SQL}")
         while most:
             near = parts.groupBy("row", F.floor(F.col("no") / fan).alias("no")).agg(F.sort_array(F.collect_list(F.struct("no", "f"))).alias("fs"))  # at most ``fan`` fragments
             parts = near.mapInArrow(_composed(a, b), f"row long, no long, f {_FRAGMENT_SQL}")

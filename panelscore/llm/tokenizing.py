@@ -18,8 +18,11 @@ import re
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: white space but space and line end, and two characters that some Unicode versions count as white space
 _ODD = re.compile("[^\\S \\n]|[\u180e\ufeff]")
+#: characters outside the blocks where Unicode versions agree on what is a letter, a number and white space (held against the
+#: tokenizer's own splitting in the tests): Latin to Cyrillic, general punctuation, East Asian scripts, Hangul
+_UNSURE = re.compile("[^\u0000-\u052f\u2000-\u206f\u3000-\u9fff\uac00-\ud7a3]")
 #: units kept for reuse in a task's process
-UNITS_KEPT = 200_000
+UNITS_KEPT = 300_000
 
 
 def file_path(name: str) -> str:
@@ -64,6 +67,21 @@ def units(text: str) -> list[str] | None:
     return None if _ODD.search(text) else _UNIT.findall(text)
 
 
+@functools.lru_cache(maxsize=1)
+def split_pattern():
+    """The pattern that byte-level BPEs split a text with: contractions, and runs of letters, numbers or other characters with a space before them."""
+    import public_tokenizers
+    import regex
+    return regex.compile(public_tokenizers.PATTERN)
+
+
+def pretokens(tokenizer, text: str, usual: bool) -> list[str]:
+    """The parts that the tokenizer's pre-tokenizer cuts a text into. ``usual``: it splits by the usual pattern, which is applied here where all agree on it."""
+    if usual and not _UNSURE.search(text):
+        return [text] if text[:1] == " " and text[1:].isalpha() else split_pattern().findall(text)
+    return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+
 def byte_alphabet() -> dict[str, int]:
     """The byte that each character of a byte-level spelling stands for: printable Latin-1 characters stand for
     themselves, the other bytes are numbered from U+0100."""
@@ -72,6 +90,18 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+@functools.lru_cache(maxsize=1)
+def _spelling() -> dict[int, str]:
+    return {b: c for c, b in byte_alphabet().items()}
+
+
+def spelled(text: str) -> str:
+    """The byte-level spelling of a text: the character of each of its UTF-8 bytes (of printable ASCII only the space differs)."""
+    if text.isascii() and text.isprintable():
+        return text.replace(" ", "\u0120")
+    return text.encode().decode("latin-1").translate(_spelling())
+
+
 @functools.lru_cache(maxsize=4)
 def byte_bpe_entries(name: str) -> list[bytes]:
     """The bytes of every id of a byte-level BPE; a special token's are its string in UTF-8."""
