@@ -15,7 +15,7 @@ offset and length of the member's bytes they come from; an inner gap's reason na
 Scale: an archive is one row of one task, so its size bounds a task's memory; writing bounds it by ``PER_FILE``.
 Equal payloads meet as one digest row per group (pre-aggregated); the join back splits hot digests.
 
-Defined results: a null html is an empty payload; a null page_id is written without an id and is a response
+Defined results: further columns may have any name, for inner columns take names that the table does not have; a null html is an empty payload; a null page_id is written without an id and is a response
 only if all of its group are null; repeated rows of the smallest page_id are all responses; an empty table
 gives no records; line breaks and control characters of a url are percent-encoded.
 """
@@ -127,6 +127,19 @@ def used(data: bytes, at: int, length: int) -> int:
     return max(at + 1, p - 8)  # the decoder may hold some bytes that it has not used
 
 
+URN = "<urn:page:"
+
+
+def _whole(value: str) -> int | None:
+    """A whole number of at most 64 bits as this library writes it; None for anything else."""
+    digits = value.removeprefix("-")
+    return int(value) if digits.isascii() and digits.isdecimal() and len(digits) < 20 and -(1 << 63) <= int(value) < 1 << 63 else None
+
+
+def _urn(value: str | None) -> int | None:
+    return _whole(value[len(URN):-1]) if value and value.startswith(URN) and value.endswith(">") else None
+
+
 def parse(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record that starts at ``at`` (headers, payload) and its end, or the check it fails."""
     if not VERSION_LINE.match(data, at):
@@ -136,8 +149,13 @@ def parse(data: bytes, at: int) -> tuple[dict, int] | str:
         return "header without end"
     lines = data[at:body].decode("utf-8", "replace").split("\r\n")
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    if not head.get("content-length", "").isdecimal():
+    if (_whole(head.get("content-length", "")) or -1) < 0 and head.get("content-length") != "0":
         return "no Content-Length"
+    for name, value in head.items():
+        if name in ("warc-record-id", "warc-refers-to") and value.startswith(URN) and _urn(value) is None:
+            return "bad record id"
+        if name == "payload-bytes" and _whole(value) is None:
+            return "bad Payload-Bytes"
     body += 4
     end = body + int(head["content-length"])
     if end + 4 > len(data):
@@ -223,8 +241,6 @@ SCHEMA = ("kind string, archive string, offset long, length long, reason string,
           "payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
-def _urn(value: str | None) -> int | None:
-    return int(value[len("<urn:page:"):-1]) if value and value.startswith("<urn:page:") else None
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -241,9 +257,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         row["reason"] = head
                     else:
                         revisit = head.get("warc-type") == "revisit"
-                        size = head.get("payload-bytes", "")
                         row |= {"page_id": _urn(head.get("warc-record-id")), "url": head.get("warc-target-uri"), "record_type": head.get("warc-type"),
-                                "payload_bytes": (int(size) if size.isdecimal() else None) if revisit else len(payload),
+                                "payload_bytes": _whole(head.get("payload-bytes", "")) if revisit else len(payload),
                                 "payload_digest": head.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else sha1(payload),
                                 "refers_to": _urn(head.get("warc-refers-to")), "payload": None if revisit else payload}
                     rows.append(row)

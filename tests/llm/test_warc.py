@@ -121,3 +121,48 @@ def test_salvage_before_the_error_of_a_member():
         assert ids[-2:] == [0, 1] and ids[:-2] == list(range(len(ids) - 2)) and len(ids) >= 20
         crc = whole[:-8] + bytes([whole[-8] ^ 1]) + whole[-7:]
         assert read([crc])[0] == list(range(30)) and read([crc, *archive(2)])[0] == [*range(30), 0, 1]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_damaged_headers_are_quarantined(packed):
+    plain = archive(4, packed=False)
+    harm = [(b"<urn:page:1>", b"<urn:page:?>"), (b"<urn:page:1>", b"<urn:page:" + b"9" * 30 + b">"), (b"Content-Length: ", b"Content-Length: -"), (b"Content-Length: ", "Content-Length: ²".encode())]
+    for old, new in harm:
+        bad = plain[1].replace(old, new, 1)
+        assert bad != plain[1]
+        parts = [warc.member(p) for p in (plain[0], bad, *plain[2:])] if packed else [plain[0], bad, *plain[2:]]
+        ids, gaps = read(parts)
+        assert ids == [0, 2, 3] and len(gaps) == 1, new
+    revisit = warc.record(7, "u", b"abc", 3, True).replace(b"Payload-Bytes: 3", b"Payload-Bytes: " + b"3" * 40).replace(b"<urn:page:3>", b"<urn:page:x>")
+    assert read([plain[0], revisit, plain[2]])[0] == [0, 2]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_any_damage_is_covered_and_spares_the_other_records(spark, packed, tmp_path):
+    """Random flips, cuts and splices: records and gaps cover every byte in order, and records that were not touched are read."""
+    rnd = random.Random(11)
+    parts = archive(12, packed=packed)
+    ends = [sum(map(len, parts[:i + 1])) for i in range(len(parts))]
+    for n in range(60):
+        data, lo = bytearray(b"".join(parts)), rnd.randrange(ends[-1])
+        what = n % 3
+        if what == 0:
+            hi = lo + 1
+            data[lo] ^= 1 << rnd.randrange(8)
+        elif what == 1:
+            hi = min(ends[-1], lo + rnd.randrange(1, 40))
+            del data[lo:hi]
+        else:
+            hi = lo
+            data[lo:lo] = rnd.choice([b"\r\n\r\n", b"WARC/1.1\r\n", b"\x1f\x8b\x08", b"\x00" * 9])
+        found = list(warc.salvage(bytes(data)))
+        at, spans = 0, {(o[1], o[2]) for o in found}
+        for begin, length in sorted(spans):
+            assert begin == at
+            at = begin + length
+        assert at == len(data)
+        untouched = {i for i, e in enumerate(ends) if e <= lo or e - len(parts[i]) > hi}
+        ids = [int(o[3]["warc-record-id"][10:-1]) for o in found if o[0] == "record" and o[3].get("warc-record-id", "").startswith(warc.URN)]
+        assert untouched <= set(ids), (what, lo, hi)
+    (tmp_path / "x.warc").write_bytes(b"".join(archive(3, packed=False)).replace(b"<urn:page:1>", b"<urn:page:?>"))
+    assert sorted(r["page_id"] for r in warc.read_archives(spark, str(tmp_path)).where("kind = 'record'").collect()) == [0, 2]
