@@ -18,7 +18,7 @@ their counts in a join on the token and come back as one sum per document.
 Scale: nothing that grows with the corpus is broadcast or collected; a token outside ``LOCAL`` has at most a
 1/``LOCAL`` share of all tokens, so no join key is hot. A row's number is fixed once the scored rows are written.
 
-Defined results: null and empty texts are the end token alone; rows without a doc_id are held out; repeated rows
+Defined results: further columns may have any name, for inner columns take names that the table does not have; null and empty texts are the end token alone; rows without a doc_id are held out; repeated rows
 are scored one by one; without training rows every count is 0 and the base probability of a token is 1.
 """
 from __future__ import annotations
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, in_fold, stored, table, words
 
 OWN, SHARED, LOCAL = 1024, 1024, 1 << 17
+LOCAL_BYTES, MOST_WORD = 16 << 20, 1024
 CLASSES = OWN + SHARED
 DIM, NOISE, BATCH, RATE, ROUNDS, SEED = 16, 16, 2048, 0.15, 1, 4
 SUMS, FLUSH = 32, 400_000
@@ -69,16 +70,21 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(one_task, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
-    """The most frequent tokens, at most ``limit``, down to a count found from a histogram (16 bins for each doubling)."""
-    level = F.floor(F.log2("n") * 16)
-    below, kept = -1, 0
-    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("level")).collect():  # under 1024 bins
-        if kept + r["k"] > limit:
+def most_frequent(counts: DataFrame, limit: int, most_bytes: int = LOCAL_BYTES) -> list[tuple[bytes, int]]:
+    """At most ``limit`` tokens of at most ``most_bytes`` bytes in all: END if it occurs, then the most frequent down to a count found from a
+    histogram (16 bins for each doubling); of the first bin that does not fit whole, the share with the smallest hashes."""
+    level = F.floor(F.log2("n") * 16).cast("long")
+    size = F.octet_length("token").cast("long")
+    below, kept, held, share = -1, 0, 0, 0.0
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k"), F.sum(size).alias("size")).orderBy(F.desc("level")).collect():  # under 1024 bins
+        if kept + r["k"] > limit or held + r["size"] > most_bytes:
             below = r["level"]
+            share = 0.9 * min((limit - kept) / r["k"], (most_bytes - held) / max(1, r["size"]))  # hashes spread: a tenth is left for chance
             break
-        kept += r["k"]
-    found = counts.where(level > below).toArrow()
+        kept, held = kept + r["k"], held + r["size"]
+    cells = 1 << 40
+    part = (level == below) & (F.pmod(F.xxhash64(F.lit(SEED), "token"), F.lit(cells)) < int(cells * share)) & (size <= MOST_WORD)
+    found = counts.where((level > below) | part | (F.col("token") == F.lit(END))).toArrow()
     return sorted(zip(found["token"].to_pylist(), found["n"].to_pylist()), key=lambda x: (-x[1], x[0]))
 
 

@@ -94,3 +94,18 @@ def test_nothing_to_learn_from(spark):
     rows = lbl.scored(spark, docs, F.lit(False)).collect()
     assert len(rows) == docs.count() and all(r["base_score"] == pytest.approx(0, abs=1e-9) and r["n_known"] == 0 and math.isfinite(r["score"]) for r in rows)
     assert lbl.scored(spark, empty_documents(spark), F.lit(True)).count() == 0
+
+
+def test_the_end_token_counts_whatever_the_vocabulary(spark, monkeypatch):
+    """A level of equally frequent tokens that does not fit is cut, and END is kept."""
+    monkeypatch.setattr(lbl, "LOCAL", 100)
+    i = next(i for i in range(100) if not held(i))
+    docs = [(i, " ".join(f"w{j}" for j in range(1500))), (i + 1000 * 10, "w1"), (None, "w1 w2 unknown")]
+    docs = [docs[0], *[d for d in docs[1:]]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = lbl.scored(spark, df, ~in_fold(F.col("doc_id"), 10, 0)).withColumn("held_out", ~F.col("learn")).collect()
+    check_base(rows, docs)
+    counts = lbl.token_counts(df.limit(1).select(F.col("text").cast("binary").alias("t")))
+    top = lbl.most_frequent(counts, 100)
+    assert 20 <= len(top) <= 101 and lbl.END in [t for t, _ in top]
+    assert lbl.most_frequent(counts, 100, most_bytes=60)
