@@ -5,9 +5,10 @@ between words), as log(1 + count) times inverse document frequency, scaled to le
 cosine; a text farther from its nearest centroid than that centroid's radius is rejected.
 
 Document frequencies cover every training row (a distributed sum of one row per feature); the centroids are
-clustered on the driver from a bounded seeded sample with an equal share per language (``TRAIN_ROWS`` in all).
+clustered on the driver from a seeded sample of about ``TRAIN_ROWS`` distinct texts with an equal share per language. The sample
+takes a language's texts with the smallest hashes, at least one, so no language is lost and a text's copies come once.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0; repeated rows are judged one
+Defined results: further columns may have any name, for inner columns take names that the table does not have; a null text, or one without a letter, is ``und`` with score 0; repeated rows are judged one
 by one; with nothing to learn from every text is ``und``. Ties go to the first language by code point.
 """
 from __future__ import annotations
@@ -77,7 +78,10 @@ def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "la
     """The model from the rows with a text and a language that satisfy ``learn``; None if there are none."""
     bounded_batches(documents.sparkSession)
     usable = documents.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & learn).select(F.col(text).cast("binary").alias("t"), F.col(lang).alias("l"))
-    sizes = {r["l"]: r["n"] for r in usable.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    # each distinct text of a language at its place by hash: copies count once, and every language has a first place
+    cells = 1 << 40
+    placed = usable.withColumn("place", F.pmod(F.xxhash64(F.lit(seed), "t"), F.lit(cells)))
+    sizes = placed.select("l", "place").distinct().groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("low")).limit(MAX_LANGUAGES + 1).collect()
     if not sizes:
         return None
     if len(sizes) > MAX_LANGUAGES:
@@ -85,14 +89,13 @@ def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "la
     df, n = document_frequencies(usable.select("t"))
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
     each = max(1, train_rows // len(sizes))
-    cells = 1 << 40
-    share = F.create_map(*[x for l, m in sizes.items() for x in (F.lit(l), F.lit(min(cells, cells * each // m)))])
-    picked = F.pmod(F.xxhash64(F.lit(seed), "t"), F.lit(cells)) < share[F.col("l")]
+    below = F.create_map(*[x for r in sizes for x in (F.lit(r["l"]), F.lit(max(r["low"] + 1, min(cells, cells * each // r["n"]))))])
+    picked = placed.where(F.col("place") < below[F.col("l")]).groupBy("l", "place").agg(F.first("t").alias("t"))  # about ``train_rows`` texts
 
     def logs(texts: pa.Array) -> pa.Array:
         return pa.array([np.log1p(counts(t)).astype(np.float32).tobytes() for t in texts.to_pylist()], pa.binary())
 
-    rows = usable.where(picked).select("l", F.arrow_udf(logs, "binary")("t").alias("x")).toArrow().to_pydict()
+    rows = picked.select("l", F.arrow_udf(logs, "binary")("t").alias("x")).toArrow().to_pydict()
     order = sorted(range(len(rows["l"])), key=lambda i: (rows["l"][i], rows["x"][i]))
     langs = np.array([rows["l"][i] for i in order], object)
     if not len(langs):
