@@ -1,6 +1,9 @@
 """Small helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterable
 
 import numpy as np
@@ -61,6 +64,26 @@ def free_name(columns: Iterable[str], wanted: str) -> str:
     return wanted
 
 
+def labelled_sample(spark: SparkSession, documents: DataFrame, marks: DataFrame, rows: int, seed: int, key: str, text: str) -> DataFrame:
+    """(_k, _y, _t): about ``rows`` of the keys of ``marks`` (_k, _y: one row a key) that ``documents`` have, each with one text (binary).
+
+    Keys are sampled after they are known to have rows, and a key's repeated rows come as one, so the result is bounded whatever
+    the labels and the copies are."""
+    keys = documents.select(F.col(key).alias("_k"))
+    chosen = stored(spark, sampled(stored(spark, marks.join(keys, "_k", "left_semi"), "marks"), F.col("_k"), rows, seed), "chosen")
+    texts = documents.select(F.col(key).alias("_d"), F.col(text).cast("binary").alias("_t"))
+    found = texts.join(F.broadcast(chosen), F.col("_d") == F.col("_k"))  # about ``rows`` small rows
+    return found.groupBy("_k", "_y").agg(F.min_by("_t", F.xxhash64(F.lit(seed), "_t")).alias("_t"))
+
+
+def release_memory() -> None:
+    """Gives the memory of arrays that are no longer used back to the system: the driver's Python shares its limit with the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not with every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sampled(df: DataFrame, on: Column, rows: int, seed: int) -> DataFrame:
     """About ``rows`` rows (all, if there are no more), by a seeded hash of ``on``: no shuffle, same rows every run.
 

@@ -12,7 +12,7 @@ grade 0; toxic rows are grade 2 if they hold at least the median number of marke
 The model is fitted on the driver from a bounded seeded sample of the labelled rows (``train_rows``) by
 proximal gradient steps with an L1 penalty, so that only telling words keep a weight. Scoring covers every row.
 
-Defined results: null and empty texts have no features and get the thresholds' probabilities; repeated rows are
+Defined results: further columns may have any name, for inner columns take names that the table does not have; null and empty texts have no features and get the thresholds' probabilities; repeated rows are
 scored one by one; without labelled rows nothing is toxic; a key with several labels counts as toxic if one says so.
 """
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, arrays, bounded_batches, in_fold, sampled, table
+from .common import LOWER_WORDS, arrays, bounded_batches, in_fold, labelled_sample, release_memory, table
 
 BUCKETS, TRAIN_ROWS, SEED = 1 << 20, 6000, 11
 ROUNDS, RATE, L1, MIN_ROWS = 150, 0.3, 0.04, 5
@@ -104,11 +104,8 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
     bounded_batches(documents.sparkSession)
     marks = (labels.where(F.col(label).isin(0, 1) & learn).groupBy(F.col(key).alias("_k"))
              .agg(F.max(label).cast("int").alias("_y")))
-    chosen = sampled(marks, F.col("_k"), train_rows, seed)
-    texts = documents.select(F.col(key).alias("_d"), F.col(text).cast("binary").alias("_t"))
-    rows = (texts.join(F.broadcast(chosen), F.col("_d") == F.col("_k"))  # at most about train_rows small rows
-            .select("_y", F.arrow_udf(_buckets, "binary")("_t").alias("_ids"))
-            .toArrow())
+    rows = (labelled_sample(documents.sparkSession, documents, marks, train_rows, seed, key, text)
+            .select("_y", F.arrow_udf(_buckets, "binary")("_t").alias("_ids")).toArrow())
     found, marked = arrays(rows["_ids"], np.int32), rows["_y"].to_numpy()
     order = sorted(range(len(found)), key=lambda i: (marked[i], found[i].tobytes()))
     toxic, ids = np.array([marked[i] for i in order], np.int64), [found[i] for i in order]
@@ -116,7 +113,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
         return {}, np.array([30.0, 31.0])
     w, theta = fit_numpy(ids, grades(ids, toxic), 3)
     del rows, found, ids
-    pa.default_memory_pool().release_unused()
+    release_memory()
     return {int(i): float(w[i]) for i in np.flatnonzero(w)}, theta
 
 

@@ -7,7 +7,7 @@ shouting is a mark of quality. So is saying a word again and again: each word th
 token ``REPEATED``. The mean is taken over ``NEUTRAL`` zero words more, so that a few odd words don't condemn a short text.
 
 Training reads a bounded, seeded sample of the labelled rows (``train_rows``, a parameter): executors turn
-each text into (feature, weight) pairs, and the pairs of the sample reach the driver, which fits the model.
+each text into (feature, weight) pairs, and the pairs of the sample (at most ``FIT_BYTES``) reach the driver, which fits the model.
 Scoring covers every row: the layer is folded into the vectors, so that a word has one number (its share of
 the logit), kept in a bounded cache per task, and a document is the mean of its words' numbers - the same
 value as averaging vectors first, since both are linear.
@@ -15,7 +15,7 @@ value as averaging vectors first, since both are linear.
 A word is a run of bytes other than spaces, of any length: in text without spaces a sentence or the whole text is one word, and
 all its n-grams count. Words are worked through in parts of about ``PART_BYTES`` bytes, which bounds memory, not words.
 
-Defined results: null and empty texts have the zero vector and get the layer's bias; repeated rows are scored
+Defined results: further columns may have any name, for inner columns take names that the table does not have; null and empty texts have the zero vector and get the layer's bias; repeated rows are scored
 alike, one by one; with no labelled rows every score is 0.5; with one class, that class's smoothed share.
 """
 from __future__ import annotations
@@ -31,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrays, bounded_batches, in_fold, sampled, table
+from .common import arrays, bounded_batches, in_fold, labelled_sample, release_memory, stored, table
 
 BUCKETS, DIM, MIN_N, MAX_N = 1 << 17, 12, 3, 5
 TRAIN_ROWS, EPOCHS, BATCH, RATE, SEED = 4000, 6, 64, 0.25, 20
 CACHE_WORDS, CACHE_BYTES, CHUNK, PART_BYTES = 100_000, 16 << 20, 32, 1 << 18
 THRESHOLD = 0.7
+FIT_BYTES = 256 << 20
 REPEATED, NEUTRAL = b"\t=", 6  # no word holds a tab
 
 
@@ -193,11 +194,17 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "qu
     bounded_batches(documents.sparkSession)
     marks = (labels.where(F.col(label).isin(0, 1) & learn).groupBy(F.col(key).alias("_k"))
              .agg(F.min(label).cast("int").alias("_y")))
-    chosen = sampled(marks, F.col("_k"), train_rows, seed)
-    texts = documents.select(F.col(key).alias("_d"), F.col(text).cast("binary").alias("_t"))
-    rows = (texts.join(F.broadcast(chosen), F.col("_d") == F.col("_k"))  # at most about train_rows small rows
-            .select("_y", F.xxhash64(F.lit(seed), "_d", "_t").alias("_o"), F.arrow_udf(_document_features, "struct<ids:binary,weights:binary>")("_t").alias("_f"))
-            .select("_y", "_o", "_f.*").toArrow())
+    spark = documents.sparkSession
+    found = stored(spark, labelled_sample(spark, documents, marks, train_rows, seed, key, text)
+                   .select("_y", F.xxhash64(F.lit(seed), "_k", "_t").alias("_o"), F.arrow_udf(_document_features, "struct<ids:binary,weights:binary>")("_t").alias("_f"))
+                   .select("_y", "_o", "_f.*"), "features")
+    last, held = None, 0
+    for r in found.select("_o", (F.octet_length("ids") + F.octet_length("weights")).alias("size")).orderBy("_o").collect():  # about ``train_rows`` numbers
+        held += r["size"]
+        if held > FIT_BYTES and last is not None:
+            break
+        last = r["_o"]
+    rows = found.where(F.col("_o") <= last).toArrow() if last is not None else ()
     if not len(rows):
         return np.zeros(BUCKETS, np.float32), 0.0
     order = np.lexsort((rows["_y"].to_numpy(), rows["_o"].to_numpy()))
@@ -205,7 +212,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "qu
     ids, weights = ([found[i] for i in order] for found in (arrays(rows["ids"], np.int32), arrays(rows["weights"], np.float32)))
     vectors, layer, bias = fit_numpy(ids, weights, y, seed=seed)
     del rows, ids, weights
-    pa.default_memory_pool().release_unused()
+    release_memory()
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 

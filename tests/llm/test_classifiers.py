@@ -162,3 +162,53 @@ def test_all_of_a_long_word_counts(monkeypatch):
     again = subwords._document_features(subwords.pa.array([b" ".join(words)]))
     assert again[0]["ids"] == doc[0]["ids"]
     assert np.frombuffer(again[0]["weights"].as_py(), np.float32) == pytest.approx(np.frombuffer(doc[0]["weights"].as_py(), np.float32), rel=1e-4)
+
+
+def test_no_language_is_lost_to_copies(spark):
+    """Eight languages of much-copied texts: each has centroids, and a text's copies reach the driver once."""
+    names = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh"]
+    letters = {l: "".join(chr(0x100 + 24 * i + j) for j in range(12)) for i, l in enumerate(names)}
+    text = lambda l, n: " ".join("".join(random.Random(f"{l}{n}{w}").choices(letters[l], k=6)) for w in range(30))
+    rows = [(text(l, n % 2), l) for l in names for n in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = centroids.fit(docs, F.lit(True), train_rows=16)
+    assert sorted(set(model["names"])) == names and len(model["names"]) <= 16
+    told = docs.distinct().select("lang", centroids.identify(spark, model)(F.col("text")).alias("m")).collect()
+    assert all(r["lang"] == r["m"]["lang"] for r in told)
+
+
+def test_language_is_the_nearest_centroids(spark, larger):
+    """The query's answers against a cosine for every text and centroid, from the definition."""
+    docs = spark.read.parquet(f"{larger}/documents.parquet").orderBy("doc_id").limit(300)
+    model = centroids.fit(docs, F.lit(True))
+    got = docs.select("doc_id", "text", centroids.identify(spark, model)(F.col("text")).alias("m")).collect()
+    for r in got:
+        if r["text"] is None or not any(map(str.isalpha, r["text"])):
+            assert (r["m"]["lang"], r["m"]["score"]) == ("und", 0.0)
+            continue
+        v = np.log1p(centroids.counts(r["text"].encode())) * model["idf"]
+        cosines = [float(v @ c) / max(1e-12, math.sqrt(float(v @ v))) for c in model["centers"]]
+        assert r["m"]["lang"] == model["names"][int(np.argmax(cosines))] or max(cosines) - cosines[list(model["names"]).index(r["m"]["lang"])] < 1e-5
+        assert abs(r["m"]["score"] - min(1.0, max(0.0, max(cosines)))) < 1e-4
+
+
+@pytest.mark.parametrize("fit", [ordinal.fit, subwords.fit])
+def test_a_key_on_many_rows_is_one_row_of_the_sample(spark, fit, monkeypatch):
+    from panelscore.llm import common
+    docs = spark.createDataFrame([(7, f"copy number {i}") for i in range(500)] + [(i, f"text {i} of words") for i in range(8, 20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(5000)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = common.labelled_sample
+    module = ordinal if fit is ordinal.fit else subwords
+    monkeypatch.setattr(module, "labelled_sample", lambda *a: seen.append(real(*a)) or seen[-1])
+    fit(docs, labels, F.lit(True), train_rows=10_000)
+    # labels of rows that are not there don't thin the sample, and the repeated key is one row
+    assert sorted(r["_k"] for r in seen[0].collect()) == [7, *range(8, 20)]
+
+
+def test_the_fit_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(subwords, "FIT_BYTES", 1)
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    share, bias = subwords.fit(docs, labels, F.lit(True))  # one row is left
+    assert np.isfinite(share).all() and math.isfinite(bias)
