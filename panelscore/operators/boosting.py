@@ -356,12 +356,12 @@ def _partial(grown: Grown) -> Tree:
     return t
 
 
-def leafwise_tree(train: DataFrame, n: int, now: Round, bins: int, whole: int) -> Tree:
-    """One tree: histogram passes while a leaf has over ``whole`` rows, then the subtrees of all others in a task each. ``n``: training rows."""
+def leafwise_tree(train: DataFrame, n: int, now: Round, bins: int, whole: int, tasks: int) -> Tree:
+    """One tree: histogram passes while a leaf has over ``whole`` rows, then the subtrees of all others in a task each. ``n``: training rows,
+    read by ``tasks`` tasks."""
     settings, features = now.settings, now.features
     grown, open_leaves = Grown(), [0]
     size = lambda leaf: n if grown.sums[leaf] is None else grown.sums[leaf][2]
-    tasks = train.rdd.getNumPartitions()
     while True:
         least = grown.least(settings.leaves)
         open_leaves = [i for i in open_leaves if grown.bound[i] >= least and size(i) >= 2 * max(1, settings.least_rows)]
@@ -427,11 +427,10 @@ def leafwise_tree(train: DataFrame, n: int, now: Round, bins: int, whole: int) -
 
 # ---------------------------------------------------------------- symmetric trees
 
-def symmetric_tree(train: DataFrame, now: Round, bins: int, group: int = 4) -> Tree:
+def symmetric_tree(train: DataFrame, now: Round, bins: int, tasks: int, group: int = 4) -> Tree:
     """One tree of ``settings.depth`` levels at most; leaf number: one bit a level, 1 to the right, the first level's highest."""
     settings, features = now.settings, now.features
     levels: list[tuple[int, int, float]] = []
-    tasks = train.rdd.getNumPartitions()
     sums = np.zeros((3, 1), np.int64)
     blocks = [features[i:i + group] for i in range(0, len(features), group)]
     for depth in range(settings.depth):
@@ -713,9 +712,10 @@ def fit(features: Sequence[str], train: DataFrame, valid: DataFrame, key: str =
     best, spent = best_iteration(history, settings.patience, metric == "auc") if history else (len(trees), False)
     while n and not spent and len(trees) < settings.rounds:
         new: list[Tree] = []
+        tasks = train_rows.rdd.getNumPartitions()
         for number in range(len(trees), min(settings.rounds, len(trees) + SPELL)):
             now = Round(tuple(new), number, width, tuple(feature_sample(width, settings.features, number)), settings)
-            new.append(symmetric_tree(train_rows, now, bins) if settings.symmetric else leafwise_tree(train_rows, n, now, bins, whole))
+            new.append(symmetric_tree(train_rows, now, bins, tasks) if settings.symmetric else leafwise_tree(train_rows, n, now, bins, whole, tasks))
         if validated:
             history += staged_metric(valid_rows, new, width, metric)
         trees += new
