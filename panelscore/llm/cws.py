@@ -15,7 +15,7 @@ The next document (descending key) is found in blocks of keys: one shuffle bring
 text, ``lead`` gives the next text inside a block, and the first text of the next non-empty block is joined by block number on
 the same partitioning. No window holds more than a block.
 
-Defined results: a null text is empty; an empty text's fingerprint is all zeros (likeness 1 to another empty one);
+Defined results: further columns may have any name, for inner columns take names that the table does not have; a null text is empty; an empty text's fingerprint is all zeros (likeness 1 to another empty one);
 a null key comes last, in order of text hash; repeated rows follow each other in any order, being equal; one row alone is its own next;
 an empty table gives an empty result.
 """

@@ -17,7 +17,7 @@ Scale: positions on a source's line are running sums in two steps, inside sqrt(n
 bucket sums, so a source with a third of all rows never meets in one task. The driver sees one row per source
 (``MAX_SOURCES``, checked) and works out quotas; the largest block is the total over ``SEATS``, so its seats don't grow; a source of a finer tier has at most 2 ``LEAST`` seats.
 
-Defined results: null texts and keys count as size 0 and as a key like any other; the null source is a source,
+Defined results: further columns may have any name, for inner columns take names that the table does not have; null texts and keys count as size 0 and as a key like any other; the null source is a source,
 last in order; repeated rows are separate documents; an empty table gives an empty result; if all sizes are
 zero, nothing is taken. A reread of the same rows gives the same mix: order and selection are hashes of
 key and text, and equal rows are interchangeable.

@@ -9,7 +9,7 @@ URL, and no rule is missed, whether or not its path ends at a ``/``.
 DataFrame functions only. The rules are not broadcast by a hint: Spark broadcasts them below its own
 threshold, and else splits hot join keys (one host may hold a third of all URLs).
 
-Defined results: a null URL, or one without ``://``, has an empty host and path and meets no rule; a URL
+Defined results: further columns may have any name, for inner columns take names that the table does not have; a null URL, or one without ``://``, has an empty host and path and meets no rule; a URL
 without a path meets no rule (a rule's path begins with ``/``); repeated rows are judged one by one; an
 empty table gives an empty result; with no rules every URL gets the default verdict.
 """
