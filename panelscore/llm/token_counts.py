@@ -1,6 +1,6 @@
 """Token counts: the pieces of each distinct pre-token are counted once, joined to every document's pre-token frequencies and summed.
 
-1. Every text is cut into pre-tokens by the tokenizer's own pre-tokenizer; the distinct ones and the number of rows with them
+1. Every text is cut into pre-tokens as the tokenizer's pre-tokenizer does; the distinct ones and the number of their uses
    are gathered by task, then over all tasks.
 2. Each distinct pre-token goes through the tokenizer's merges once; its number of pieces is kept, no ids.
 3. A document's tokens are the sum over its pre-tokens of frequency x pieces. Pre-tokens in many rows ("the" is in
@@ -11,22 +11,24 @@
 Special tokens' strings inside a text are one token each, as by the library's default, and cut the text. Nothing is truncated.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; very long texts are counted whole, and in a task no more than one batch
-of texts and ``DISTINCT`` pre-tokens are held; every row is counted for itself, so repeated rows and null or repeated keys
+of texts and about ``DISTINCT`` units are held; every row is counted for itself, so repeated rows and null or repeated keys
 keep their rows; an empty table gives an empty result; only key and text are read, so further columns may have any name
 (the key is returned as ``doc_id``). Invalid UTF-8 is read as U+FFFD.
 """
 from __future__ import annotations
 
 import functools
+import gc
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, stored, table
-from .tokenizing import UNITS_KEPT, byte_bpe, splits_at_units, units
+from .tokenizing import UNITS_KEPT, byte_bpe, pretokens, spelled, splits_at_units, units
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 1024
 HEAD, HEAD_BYTES, HEAD_STRING = 1 << 18, 8 << 20, 4096
@@ -34,25 +36,23 @@ DISTINCT, DISTINCT_BYTES = 300_000, 32 << 20
 
 
 class Splitter:
-    """Pre-token frequencies of texts, by the library's own pre-tokenizer (in its byte-level spelling)."""
+    """Pre-tokens of texts. Byte-level BPEs only: a pre-token is looked up by its text and merged in its byte-level spelling."""
 
     def __init__(self, name: str):
         self.tokenizer = byte_bpe(name, False)
-        self.fast = splits_at_units(self.tokenizer)
+        if not splits_at_units(self.tokenizer):
+            raise ValueError("only byte-level BPE files without normaliser are supported")
         added = self.tokenizer.get_added_tokens_decoder().values()
         if any(a.lstrip or a.rstrip or a.single_word for a in added):
             raise ValueError("added tokens that take white space or whole words only are not supported")
-        if self.tokenizer.normalizer is not None:
-            raise ValueError("tokenizers with a normaliser are not supported")
-        self.specials = sorted((a.content for a in added), key=len, reverse=True)
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.specials = [a.content for a in added]
+        self.known: dict[str, list[str]] = {}
 
     def segments(self, text: str) -> tuple[list[str], int]:
         """The text between special tokens' strings (the leftmost, then the longest, counts), and the number of those."""
-        found = 0
         if not any(s in text for s in self.specials):
             return [text], 0
-        out, at = [], 0
+        out, at, found = [], 0, 0
         while True:
             first = min(((p, -len(s), s) for s in self.specials if (p := text.find(s, at)) >= 0), default=None)
             if first is None:
@@ -60,85 +60,82 @@ class Splitter:
             out.append(text[at:first[0]])
             at, found = first[0] + len(first[2]), found + 1
 
-    def pretokens(self, text: str) -> tuple[str, ...]:
-        return tuple(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
-
-    def frequencies(self, text: str) -> tuple[dict[str, int], int]:
-        """Pre-token frequencies of a text, and its number of special tokens."""
-        out: dict[str, int] = {}
+    def units(self, text: str) -> tuple[list[str], int]:
+        """The units of a text, whose pre-tokens in a row are the text's (a segment that can't be cut is one unit), and its special tokens."""
         segments, special = self.segments(text)
+        if len(segments) == 1:
+            parts = units(text)
+            return ([text] if parts is None else parts), special
+        parts = []
         for segment in segments:
-            parts = units(segment) if self.fast else None
-            if parts is None:
-                for p in self.pretokens(segment):
-                    out[p] = out.get(p, 0) + 1
-                continue
-            for unit, n in Counter(parts).items():
-                cut = self.known.get(unit)
-                if cut is None:
-                    cut = self.pretokens(unit)
-                    if len(unit) < 64:
-                        if len(self.known) >= UNITS_KEPT:
-                            self.known.clear()
-                        self.known[unit] = cut
-                for p in cut:
-                    out[p] = out.get(p, 0) + n
-        return out, special
+            parts += units(segment) or [segment]
+        return parts, special
+
+    def pretokens(self, unit: str) -> list[str]:
+        cut = self.known.get(unit)
+        if cut is None:
+            cut = pretokens(self.tokenizer, unit, True)
+            if len(unit) < 64:
+                if len(self.known) >= UNITS_KEPT:
+                    self.known.clear()
+                self.known[unit] = cut
+        return cut
 
 
 @functools.lru_cache(maxsize=2)
 def splitter_of(name: str) -> Splitter:
     """One per process: later tasks find the units that earlier ones cut."""
-    return Splitter(name)
+    out = Splitter(name)
+    gc.collect()
+    gc.freeze()  # what is loaded by now stays: no need to walk it again and again
+    return out
 
 
-def _texts(column: pa.Array) -> Iterator[str]:
-    for value in column:
-        raw = value.as_py()
-        yield raw.decode("utf-8", "replace") if raw else ""
+def _texts(column: pa.Array) -> list[str]:
+    return [raw.decode("utf-8", "replace") if raw else "" for raw in column.to_pylist()]
 
 
-def pretoken_rows(texts: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(pretoken, rows): every distinct pre-token of the binary column ``text`` and the number of rows with it."""
+def pretoken_uses(texts: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """(pretoken, uses): every distinct pre-token of the binary column ``text`` and how often it occurs."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, seen, held = splitter_of(tokenizer), {}, 0
+        splitter, uses = splitter_of(tokenizer), Counter()
         for batch in batches:
-            for text in _texts(batch.column(0)):
-                for p in splitter.frequencies(text)[0]:
-                    if p in seen:
-                        seen[p] += 1
-                    else:
-                        seen[p] = 1
-                        held += len(p)
-                if len(seen) >= DISTINCT or held >= DISTINCT_BYTES:
-                    yield from _pairs(seen)
-                    seen, held = {}, 0
-        yield from _pairs(seen)
-
-    return texts.select("text").mapInArrow(gather, "pretoken string, rows long").groupBy("pretoken").agg(F.sum("rows").alias("rows"))
-
-
-def _pairs(seen: dict[str, int], step: int = 20_000) -> Iterator[pa.RecordBatch]:
+            parts = [splitter.units(t)[0] for t in _texts(batch.column(0))]
+            uses.update(chain.from_iterable(parts))
+            if len(uses) >= DISTINCT or sum(map(len, uses)) >= DISTINCT_BYTES:
+                yield from _pretokens(splitter, uses)
+                uses = Counter()
+        yield from _pretokens(splitter, uses)
+
+    return texts.select("text").mapInArrow(gather, "pretoken string, uses long").groupBy("pretoken").agg(F.sum("uses").alias("uses"))
+
+
+def _pretokens(splitter: Splitter, uses: dict[str, int], step: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """(pretoken, uses) of units and how often they occur."""
+    seen: dict[str, int] = {}
+    for unit, n in uses.items():
+        for p in splitter.pretokens(unit):
+            seen[p] = seen.get(p, 0) + n
     names, counts = list(seen), list(seen.values())
     for i in range(0, len(names), step):
-        yield pa.RecordBatch.from_arrays([pa.array(names[i:i + step], pa.string()), pa.array(counts[i:i + step], pa.int64())], ["pretoken", "rows"])
+        yield pa.RecordBatch.from_arrays([pa.array(names[i:i + step], pa.string()), pa.array(counts[i:i + step], pa.int64())], ["pretoken", "uses"])
 
 
 def piece_counts(pretokens: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(pretoken, rows, pieces): the number of pieces the merges leave of each pre-token."""
+    """(pretoken, uses, pieces): the number of pieces the merges leave of each pre-token."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = byte_bpe(tokenizer, False).model
         for batch in batches:
-            pieces = [len(model.tokenize(p)) for p in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pieces, pa.int64())], ["pretoken", "rows", "pieces"])
+            pieces = [len(model.tokenize(spelled(p))) for p in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pieces, pa.int64())], ["pretoken", "uses", "pieces"])
 
-    return pretokens.select("pretoken", "rows").mapInArrow(count, "pretoken string, rows long, pieces long")
+    return pretokens.select("pretoken", "uses").mapInArrow(count, "pretoken string, uses long, pieces long")
 
 
-def widespread(pieces: DataFrame, most: int = HEAD, most_bytes: int = HEAD_BYTES) -> dict[str, int]:
-    """Pieces of the pre-tokens in the most rows: all with at least 2^k rows, for the smallest k that keeps the bounds."""
+def most_used(pieces: DataFrame, most: int = HEAD, most_bytes: int = HEAD_BYTES) -> dict[str, int]:
+    """Pieces of the most used pre-tokens: all with at least 2^k uses, for the smallest k that keeps the bounds."""
     short = pieces.where(F.octet_length("pretoken") <= HEAD_STRING)
-    level = F.floor(F.log2(F.col("rows").cast("double"))).cast("int")
+    level = F.floor(F.log2(F.col("uses").cast("double"))).cast("int")
     levels = sorted(short.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("pretoken")).alias("size")).collect(), reverse=True)
     low, n, size = None, 0, 0
     for r in levels:  # at most 63 levels
@@ -148,7 +145,7 @@ def widespread(pieces: DataFrame, most: int = HEAD, most_bytes: int = HEAD_BYTES
         low = r["level"]
     if low is None:
         return {}
-    return {r["pretoken"]: r["pieces"] for r in short.where(F.col("rows") >= (1 << low)).select("pretoken", "pieces").toLocalIterator()}
+    return {r["pretoken"]: r["pieces"] for r in short.where(F.col("uses") >= (1 << low)).select("pretoken", "pieces").toLocalIterator()}
 
 
 def token_counts(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, limit: int = LIMIT,
@@ -156,26 +153,35 @@ def token_counts(spark: SparkSession, documents: DataFrame, key: str = "doc_id",
     """(doc_id, n_bytes, n_tokens, over_limit) of every row of ``documents``."""
     bounded_batches(spark)
     texts = documents.select(F.col(key).alias("k"), F.col(text).cast("binary").alias("text"))
-    pieces = stored(spark, piece_counts(pretoken_rows(texts, tokenizer), tokenizer), "pieces")
-    common = spark.sparkContext.broadcast(widespread(pieces, head))
+    pieces = stored(spark, piece_counts(pretoken_uses(texts, tokenizer), tokenizer), "pieces")
+    common = spark.sparkContext.broadcast(most_used(pieces, head))
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, counts = splitter_of(tokenizer), common.value
+        # by unit: the pieces of its most used pre-tokens, and its other pre-tokens
+        joined: dict[str, int] = {}
+        others: dict[str, list[str]] = {}
         for batch in batches:
-            sums, rest = [], []
-            for value in _texts(batch.column(1)):
-                freq, total = splitter.frequencies(value)
-                rare = []
-                for p, f in freq.items():
-                    n = counts.get(p)
-                    if n is None:
-                        rare.append({"pretoken": p, "f": f})
-                    else:
-                        total += n * f
-                sums.append(total)
-                rest.append(rare)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sums, pa.int64()), pa.array(rest, pa.list_(pa.struct([("pretoken", pa.string()), ("f", pa.int64())])))],
-                                             ["k", "n_bytes", "known", "rest"])
+            cut = [splitter.units(t) for t in _texts(batch.column(1))]
+            every = set(chain.from_iterable(u for u, _ in cut))
+            if len(joined) + len(every) > UNITS_KEPT:
+                joined, others = {}, {}
+            for unit in every - joined.keys():
+                parts = splitter.pretokens(unit)
+                rare = [p for p in parts if p not in counts]
+                if rare:
+                    others[unit] = rare
+                    parts = [p for p in parts if p in counts]
+                joined[unit] = sum(map(counts.__getitem__, parts))
+            sums = [sum(map(joined.__getitem__, u)) + special for u, special in cut]
+            names, freqs, ends = [], [], [0]
+            for u, _ in cut:
+                rest = Counter(chain.from_iterable(map(others.__getitem__, filter(others.__contains__, u))))
+                names += rest.keys()
+                freqs += rest.values()
+                ends.append(len(names))
+            rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(freqs, pa.int64())], ["pretoken", "f"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sums, pa.int64()), rest], ["k", "n_bytes", "known", "rest"])
 
     kind = texts.schema["k"].dataType.simpleString()
     sized = texts.select("k", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
