@@ -16,7 +16,7 @@ Equal fingerprints are one node throughout, so a third of all rows as exact copi
 Work: the method compares all pairs of neighbouring cells, so it stays quadratic in distinct fingerprints, at
 under 2 % of all pairs for evenly spread bits; tile pairs are independent tasks.
 
-Defined results: null or empty texts have fingerprint zero and are linked like any other; texts of fewer words
+Defined results: further columns may have any name, for inner columns take names that the table does not have; null or empty texts have fingerprint zero and are linked like any other; texts of fewer words
 than a shingle hash their whole word sequence; repeated rows share a group; the group id is the smallest
 non-null doc_id of the group (null if it has none); an empty table gives an empty result.
 """
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, free_name, stored, table, words
@@ -105,9 +105,11 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     digits = [F.floor(F.col("cell") / (WIDTH + 1) ** p) % (WIDTH + 1) for p in range(PARTS)]
     there = F.array(*[F.when(_all(*[(digits[p] + d).between(0, WIDTH) for p, d in enumerate(s) if d]), F.col("cell") + sum(d * (WIDTH + 1) ** p for p, d in enumerate(s)))
                       for s in steps])
+    # each tile meets its partner tiles by their numbers, so a cell of many tiles is as many join keys
     left = tiles.select(F.col("cell").alias("c0"), F.col("tile").alias("t0"), F.col("fps").alias("a"), F.explode(F.array_compact(there)).alias("cell"))
-    pairs = (left.join(tiles, "cell").where((F.col("c0") != F.col("cell")) | (F.col("t0") <= F.col("tile")))
-             .select("a", F.col("fps").alias("b"), ((F.col("c0") == F.col("cell")) & (F.col("t0") == F.col("tile"))).alias("same")))
+    first = F.when(F.col("c0") == F.col("cell"), F.col("t0")).otherwise(F.lit(0).cast("long"))
+    left = left.join(F.broadcast(sizes), "cell").select("c0", "t0", "a", "cell", F.explode(F.sequence(first, F.col("tiles") - 1)).alias("tile"))
+    pairs = left.join(tiles, ["cell", "tile"]).select("a", F.col("fps").alias("b"), ((F.col("c0") == F.col("cell")) & (F.col("t0") == F.col("tile"))).alias("same"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,30 +162,39 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def grouped(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint of ``documents``, which also come back as (key, fp)."""
-    bounded_batches(spark)
-    prints = stored(spark, documents.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle).alias("fp")), "prints")
+def member_groups(spark: SparkSession, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, root, component_id) for every distinct fingerprint of ``prints`` (k, fp)."""
     nodes = stored(spark, prints.groupBy("fp").agg(F.min("k").alias("least")), "nodes")
     roots = components(spark, links(nodes.select("fp"), radius))
     member = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints, stored(spark, member.join(ids, "root").select("fp", "root", "component_id"), "members")
+    return stored(spark, member.join(ids, "root").select("fp", "root", "component_id"), "members")
+
+
+def grouped(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """(k, fp) of every row of ``documents``, and (fp, root, component_id) of every distinct fingerprint."""
+    bounded_batches(spark)
+    prints = stored(spark, documents.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle).alias("fp")), "prints")
+    return prints, member_groups(spark, prints, radius)
 
 
 def deduplicated(spark: SparkSession, documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``documents`` with one row of each group: that with the smallest key, of equal keys one by a hash of the row.
+    """``documents`` with one row of each group: that with the smallest key (nulls last), of equal keys one by a hash of the row.
 
-    Only a group's rows with its smallest key are ranked, so no window holds a group of copies.
+    Rows are written once with their fingerprint and a row number; the winners are a minimum per group over (key, hash, number), combined
+    inside the tasks first, so no window or task holds a group of copies.
     """
     names = documents.columns
-    fp, root, least, order = (free_name(names, n) for n in ("_fp", "_root", "_least", "_order"))
-    _, members = grouped(spark, documents, key, text, shingle, radius)
-    members = members.toDF(fp, root, least)
-    # the groups of few-row keys: a repeated (key, fingerprint) row is rare, a null key is ranked in its own group
-    first = documents.withColumn(fp, fingerprint_column(F.col(text), shingle)).join(members, fp).where(F.col(key).eqNullSafe(F.col(least)))
-    rank = Window.partitionBy(root).orderBy(F.xxhash64(*[c for c in names]))
-    return first.withColumn(order, F.row_number().over(rank)).where(F.col(order) == 1).select(*names)
+    fp, row = (free_name(names, n) for n in ("_fp", "_row"))
+    bounded_batches(spark)
+    held = stored(spark, documents.withColumn(fp, fingerprint_column(F.col(text), shingle)).withColumn(row, F.monotonically_increasing_id()), "fingerprinted")
+    prints = held.select(F.col(key).alias("k"), F.col(fp).alias("fp"), F.xxhash64(*names).alias("h"), F.col(row).alias("row"))
+    members = member_groups(spark, prints.select("k", "fp"), radius)
+    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "h", "row"))
+    winners = (prints.groupBy("fp").agg(first.alias("w")).join(members.select("fp", "root"), "fp")
+               .groupBy("root").agg(F.min("w").alias("w")).select(F.col("w.row").alias(row)))
+    # a shuffle join at every size: the winners are nearly as many as the rows
+    return held.join(stored(spark, winners, "winners").hint("merge"), row, "left_semi").select(*names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
