@@ -11,7 +11,8 @@ decontamination        drops rows that hold a benchmark item within 20 % word ed
 mixing                 drops rows the mix takes no word of; adds size, source_size, target, taken and pieces
 =====================  =====================================================================================
 
-Nulls, empty texts, repeated rows, empty tables and further columns: as stated in each operator's module. The
+Nulls, empty texts, repeated rows, empty tables and very long texts: as stated in each module. Further columns are kept whatever their names: inner
+columns take names that the table does not have. The
 classifiers learn from the labels in ``sf_dir`` and the documents of their own input.
 """
 from __future__ import annotations
