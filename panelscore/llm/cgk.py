@@ -7,7 +7,7 @@ places: edit distance becomes Hamming distance. A table samples ``SAMPLED`` plac
 equal keys make a candidate. ``WALKS`` walks with ``TABLES`` tables each give the recall: over 0.9 for items of 10 to 130 words with all allowed
 edits, spread, at random, in one run at the head, middle, tail or anywhere (measured in the tests).
 
-Windows: an item of n words gets the length class L, the largest of a doubling series with 1.5 L <= n + 1.
+Windows: an item of n words gets the length class L, the largest of a doubling series with 1.75 L <= n + 1.
 Documents are walked from every (L/2)-th word only, items from every word that begins a whole window, so every document window that lies in
 a copy meets the item's own window at the same place: several in one copy. Long items have windows of half that length too, so that edits that
 stand together leave some window alone.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import LOWER_WORDS, bounded_batches, free_name, table
 
 SIMILARITY = 0.8
-WALKS, TABLES, SAMPLED, SEED = 7, 6, 3, 17
+WALKS, TABLES, SAMPLED, SEED = 5, 6, 3, 17
 BLOCK_ITEMS, BLOCK_WORDS = 4096, 1 << 20
 CHUNK_WORDS = 1 << 17
 FILTER_BITS, HITS = 18, 1 << 20
@@ -50,9 +50,9 @@ def symbols(text: bytes | None) -> np.ndarray:
 
 
 def window_length(n: int) -> int:
-    """The length class of an item of n words: the largest of 1, 2, 4, ... with 1.5 L <= n + 1."""
+    """The length class of an item of n words: the largest of 1, 2, 4, ... with 1.75 L <= n + 1."""
     length = 1
-    while 3 * length <= n + 1:
+    while 7 * length <= 2 * (n + 1):
         length *= 2
     return length
 
