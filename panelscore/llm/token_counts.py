@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, stored, table
-from .tokenizing import UNITS_KEPT, byte_bpe, pretokens, spelled, splits_at_units, units
+from .tokenizing import UNITS_KEPT, byte_bpe, has_odd_space, pretokens, spelled, splits_at_units, units
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 1024
 HEAD, HEAD_BYTES, HEAD_STRING = 1 << 18, 8 << 20, 4096
@@ -71,6 +71,15 @@ class Splitter:
             parts += units(segment) or [segment]
         return parts, special
 
+    def parts(self, text: str) -> tuple[list[str], list[str], int]:
+        """A text's units and its special tokens, with most units as what follows a space: (units, parts whose units are those of a space and
+        the part, number of special tokens). Texts without runs of white space that go on behind a space or with one are cut at spaces alone."""
+        segments, special = self.segments(text)
+        if len(segments) > 1 or "  " in text or "\n " in text or has_odd_space(text):
+            return self.units(text)[0], [], special
+        first, *rest = text.split(" ")
+        return (units(first) or []) if first else [], rest, special
+
     def pretokens(self, unit: str) -> list[str]:
         cut = self.known.get(unit)
         if cut is None:
@@ -95,25 +104,71 @@ def _texts(column: pa.Array) -> list[str]:
     return [raw.decode("utf-8", "replace") if raw else "" for raw in column.to_pylist()]
 
 
+def _spaced(part: str) -> list[str]:
+    """The units of a space and a part."""
+    return units(f" {part}") or [] if "\n" in part else [f" {part}"]
+
+
+class Pieces(dict):
+    """By unit (``spaced``: by part behind a space) the pieces of its most used pre-tokens, found when first asked for; plus ``RARE`` where it has
+    others, which ``others`` holds."""
+
+    RARE = 1 << 40
+
+    def __init__(self, splitter: Splitter, counts: dict[str, int], spaced: bool):
+        super().__init__()
+        self.splitter, self.counts, self.spaced = splitter, counts, spaced
+        self.others: dict[str, list[str]] = {}
+
+    def __missing__(self, part: str) -> int:
+        n, rare = 0, []
+        for unit in _spaced(part) if self.spaced else (part,):
+            for p in self.splitter.pretokens(unit):
+                pieces = self.counts.get(p)
+                if pieces is None:
+                    rare.append(p)
+                else:
+                    n += pieces
+        if rare:
+            self.others[part] = rare
+            n += self.RARE
+        self[part] = n
+        return n
+
+    def bounded(self) -> None:
+        if len(self) > UNITS_KEPT:
+            self.clear()
+            self.others.clear()
+
+    def of(self, parts: list[str], rest: list[str]) -> int:
+        """The pieces of the parts' most used pre-tokens; the others are added to ``rest``."""
+        n = sum(map(self.__getitem__, parts))
+        if n >= self.RARE:
+            rest.extend(chain.from_iterable(map(self.others.__getitem__, filter(self.others.__contains__, parts))))
+        return n % self.RARE
+
+
 def pretoken_uses(texts: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(pretoken, uses): every distinct pre-token of the binary column ``text`` and how often it occurs."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, uses = splitter_of(tokenizer), Counter()
+        splitter, uses, spaced = splitter_of(tokenizer), Counter(), Counter()
         for batch in batches:
-            parts = [splitter.units(t)[0] for t in _texts(batch.column(0))]
-            uses.update(chain.from_iterable(parts))
-            if len(uses) >= DISTINCT or sum(map(len, uses)) >= DISTINCT_BYTES:
-                yield from _pretokens(splitter, uses)
-                uses = Counter()
-        yield from _pretokens(splitter, uses)
+            for text in _texts(batch.column(0)):
+                whole, parts, _ = splitter.parts(text)
+                uses.update(whole)
+                spaced.update(parts)
+            if len(uses) + len(spaced) >= DISTINCT or sum(map(len, uses)) + sum(map(len, spaced)) >= DISTINCT_BYTES:
+                yield from _pretokens(splitter, uses, spaced)
+                uses, spaced = Counter(), Counter()
+        yield from _pretokens(splitter, uses, spaced)
 
     return texts.select("text").mapInArrow(gather, "pretoken string, uses long").groupBy("pretoken").agg(F.sum("uses").alias("uses"))
 
 
-def _pretokens(splitter: Splitter, uses: dict[str, int], step: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """(pretoken, uses) of units and how often they occur."""
+def _pretokens(splitter: Splitter, uses: dict[str, int], spaced: dict[str, int], step: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """(pretoken, uses) of units, and of parts behind a space, and how often they occur."""
     seen: dict[str, int] = {}
-    for unit, n in uses.items():
+    for unit, n in chain(uses.items(), ((u, n) for part, n in spaced.items() for u in _spaced(part))):
         for p in splitter.pretokens(unit):
             seen[p] = seen.get(p, 0) + n
     names, counts = list(seen), list(seen.values())
@@ -158,27 +213,19 @@ def token_counts(spark: SparkSession, documents: DataFrame, key: str = "doc_id",
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, counts = splitter_of(tokenizer), common.value
-        # by unit: the pieces of its most used pre-tokens, and its other pre-tokens
-        joined: dict[str, int] = {}
-        others: dict[str, list[str]] = {}
+        by_unit, by_part = Pieces(splitter, counts, False), Pieces(splitter, counts, True)
         for batch in batches:
-            cut = [splitter.units(t) for t in _texts(batch.column(1))]
-            every = set(chain.from_iterable(u for u, _ in cut))
-            if len(joined) + len(every) > UNITS_KEPT:
-                joined, others = {}, {}
-            for unit in every - joined.keys():
-                parts = splitter.pretokens(unit)
-                rare = [p for p in parts if p not in counts]
-                if rare:
-                    others[unit] = rare
-                    parts = [p for p in parts if p in counts]
-                joined[unit] = sum(map(counts.__getitem__, parts))
-            sums = [sum(map(joined.__getitem__, u)) + special for u, special in cut]
-            names, freqs, ends = [], [], [0]
-            for u, _ in cut:
-                rest = Counter(chain.from_iterable(map(others.__getitem__, filter(others.__contains__, u))))
-                names += rest.keys()
-                freqs += rest.values()
+            by_unit.bounded()
+            by_part.bounded()
+            sums, names, freqs, ends = [], [], [], [0]
+            for text in _texts(batch.column(1)):
+                whole, parts, special = splitter.parts(text)
+                others: list[str] = []
+                sums.append(by_unit.of(whole, others) + by_part.of(parts, others) + special)
+                if others:
+                    rest = Counter(others)
+                    names += rest.keys()
+                    freqs += rest.values()
                 ends.append(len(names))
             rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(freqs, pa.int64())], ["pretoken", "f"]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sums, pa.int64()), rest], ["k", "n_bytes", "known", "rest"])

@@ -18,6 +18,8 @@ import re
 _UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: white space but space and line end, and two characters that some Unicode versions count as white space
 _ODD = re.compile("[^\\S \\n]|[\u180e\ufeff]")
+_ODD_ONES = [chr(c) for c in range(0x10000) if _ODD.match(chr(c))]
+_ODD_ASCII = [c for c in _ODD_ONES if c.isascii()]
 #: characters outside the blocks where Unicode versions agree on what is a letter, a number and white space (held against the
 #: tokenizer's own splitting in the tests): Latin to Cyrillic, general punctuation, East Asian scripts, Hangul
 _UNSURE = re.compile("[^\u0000-\u052f\u2000-\u206f\u3000-\u9fff\uac00-\ud7a3]")
@@ -64,7 +66,12 @@ def pieces_respect_units(processor) -> bool:
 
 def units(text: str) -> list[str] | None:
     """The units of a text, or None where it holds other white space."""
-    return None if _ODD.search(text) else _UNIT.findall(text)
+    return None if has_odd_space(text) else _UNIT.findall(text)
+
+
+def has_odd_space(text: str) -> bool:
+    """Whether a text holds white space but space and line end. One search a character: far quicker than a pattern."""
+    return any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD_ONES))
 
 
 @functools.lru_cache(maxsize=1)

@@ -90,3 +90,22 @@ def test_spelling_is_the_librarys(library):
     for t in ["a b", " é中😀\n", "\x00\x7f\xad", "plain"]:
         assert tk.spelled(t) == "".join(s for s, _ in library.pre_tokenizer.pre_tokenize_str(t))
     assert len(tk.byte_alphabet()) == 256
+
+
+def test_parts_behind_spaces_are_the_units_of_the_text(library):
+    """Most texts are cut at spaces alone (they went through a pattern), and their pre-tokens are the library's."""
+    splitter, plain = tc.Splitter(tc.TOKENIZER), 0
+    for t in [*_random_texts(4000), "a b\nc d", " a", "a ", " ", "", "a\n b", "a \nb", "a  b", "a\n", "\n\na b\n\nc", "it's a b"]:
+        whole, spaced, special = splitter.parts(t)
+        units = [*whole, *(u for p in spaced for u in tc._spaced(p))]
+        assert (units, special) == splitter.units(t) or t == "", repr(t)
+        plain += bool(spaced)
+        assert tk.has_odd_space(t) == bool(tk._ODD.search(t))
+    assert plain > 30
+
+
+def test_pieces_tell_the_others_from_the_most_used():
+    by_part = tc.Pieces(tc.Splitter(tc.TOKENIZER), {" a": 1, "!": 2}, True)
+    rest = []
+    assert by_part.of(["a", "a!", "a\nb", "a"], rest) == 6 and rest == ["\n", "b"]
+    assert by_part.of(["a"], rest) == 1 and len(rest) == 2
