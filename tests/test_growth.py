@@ -71,3 +71,47 @@ def test_a_tree_of_many_rows_takes_few_passes(spark, monkeypatch):
         assert bo.fit(["a", "b"], df, df.limit(0), settings=settings, whole=30).trees[0].rows.tolist() == model.trees[0].rows.tolist()
         trees.append(model.trees[0])
     assert counts[1] <= counts[0] + 3 and trees[0].rows[0] * 16 == trees[1].rows[0]
+
+
+def test_symmetric_trees_are_walked_by_level():
+    levels = [(2, 9, 1.0), (0, 100, 0.5), (1, 30, 0.2)]
+    t, bins = bo._symmetric_nodes(levels, np.ones((3, 8), np.int64), bo.COMPARISON), np.random.default_rng(2).integers(0, 129, (999, 3)).astype(np.uint8)
+    assert t.levels() == [(f, b) for f, b, _ in levels] and _tree().levels() is None and _tree(1).levels() == [(0, 5)]
+    assert t.leaves_of(bins).tolist() == (bo._symmetric_leaf(bins, levels) + 7).tolist()
+    none = bo._symmetric_nodes([], np.ones((3, 1), np.int64), bo.COMPARISON)
+    assert none.leaves_of(bins).tolist() == [0] * 999
+
+
+def test_both_models_read_one_sketch(spark, sf_dir, monkeypatch):
+    """The borders of 128 and of 255 a feature come from one aggregate (each model made its own sketches)."""
+    df = spark.range(30_000).selectExpr("id", "id * 7919 % 10007 / 3 AS a", "CASE WHEN id % 5 > 0 THEN id % 11 END AS b", "CAST(NULL AS DOUBLE) AS c")
+    both = bo.shared_borders(df, ["a", "b", "c"], [128, 255])
+    for count in (128, 255):
+        assert [x.tolist() for x in both[count]] == [x.tolist() for x in bo.quantile_borders(df, ["a", "b", "c"], count)]
+    made = []
+    shared = bo.shared_borders
+    monkeypatch.setattr(bo, "shared_borders", lambda *a: made.append(1) or shared(*a))
+    monkeypatch.setattr(queries, "ML_ROUNDS", 1)
+    assert queries.REGISTRY["model_comparison"](spark, sf_dir).count() == 3 and len(made) == 1
+
+
+def test_a_pass_walks_few_trees(spark, monkeypatch):
+    """Inside a spell the rows get their margins after a few leaf-wise trees: a pass applied up to nine of them."""
+    settings = bo.Settings(rate=0.3, l2=2.0, rounds=12, patience=50, borders=31, leaves=8, least_rows=4)
+    df = spark.range(600).selectExpr("id", "id * 37 % 101 / 7 AS a", "id * 53 % 97 / 3 AS b", "CAST(id * 37 % 101 + id * 53 % 97 > 100 AS INT) AS flag").repartition(3)
+    seen = []
+    grow = bo.leafwise_tree
+    monkeypatch.setattr(bo, "leafwise_tree", lambda rows, n, now, *a: seen.append(len(now.pending)) or grow(rows, n, now, *a))
+    one = bo.fit(["a", "b"], df, df, settings=settings)
+    assert seen == [0, 1, 2] * 3 + [0] + [0, 1]
+    monkeypatch.setattr(bo, "PENDING", 99)
+    other = bo.fit(["a", "b"], df, df, settings=settings)
+    assert one.history == other.history and all(np.array_equal(x, y) for s, t in zip(one.trees, other.trees) for x, y in zip(s, t))
+
+
+def test_settings_are_as_before_after_a_fit(spark):
+    before = {k: spark.conf.get(k) for k in bo._READING}
+    with pytest.raises(ValueError), io.settings(spark, bo._READING):
+        assert {k: spark.conf.get(k) for k in bo._READING} == bo._READING
+        raise ValueError
+    assert {k: spark.conf.get(k) for k in bo._READING} == before
