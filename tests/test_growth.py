@@ -115,3 +115,14 @@ def test_settings_are_as_before_after_a_fit(spark):
         assert {k: spark.conf.get(k) for k in bo._READING} == bo._READING
         raise ValueError
     assert {k: spark.conf.get(k) for k in bo._READING} == before
+
+
+def test_score_test_folds_the_history_once(spark, sf_dir, monkeypatch):
+    """The clients to learn from and those to score are rows of one mart (it was folded for each)."""
+    folded = []
+    fold_history = queries.fold.fold_history
+    monkeypatch.setattr(queries.fold, "fold_history", lambda *a, **k: folded.append(1) or fold_history(*a, **k))
+    monkeypatch.setattr(queries, "ML_ROUNDS", 1)
+    scored = {r["id"] for r in queries.REGISTRY["score_test"](spark, sf_dir).collect()}
+    new = {r["id"] for r in B.clients_by_date(spark, sf_dir)[1].join(B.history_clients(spark, sf_dir), "id", "left_semi").collect()}
+    assert len(folded) == 1 and scored == new and new
