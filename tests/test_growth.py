@@ -126,3 +126,12 @@ def test_score_test_folds_the_history_once(spark, sf_dir, monkeypatch):
     scored = {r["id"] for r in queries.REGISTRY["score_test"](spark, sf_dir).collect()}
     new = {r["id"] for r in B.clients_by_date(spark, sf_dir)[1].join(B.history_clients(spark, sf_dir), "id", "left_semi").collect()}
     assert len(folded) == 1 and scored == new and new
+
+
+def test_parts_follow_the_rows_under_few_shuffle_partitions(spark, sf_dir, monkeypatch):
+    """Fewer shuffle partitions than cores: a table of a few rows a core was left to them, several times the rows a task."""
+    few = sorted(map(tuple, queries.REGISTRY["mart_segmented"](spark, sf_dir).collect()))
+    with io.settings(spark, {"spark.sql.shuffle.partitions": "1"}):
+        monkeypatch.setattr(io, "ROWS_A_TASK", B.history_rows(spark, sf_dir) // 3)
+        assert B.lineitem_history(spark, sf_dir).rdd.getNumPartitions() in (3, 4)
+        assert sorted(map(tuple, queries.REGISTRY["mart_segmented"](spark, sf_dir).collect())) == few
