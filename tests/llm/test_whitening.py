@@ -45,7 +45,7 @@ def vectors(n, dims, seed=0):
 @pytest.mark.parametrize("block_rows,hot", [(4096, 100_000), (7, 1), (1, 2)])
 def test_equals_numpy_with_copies_nulls_and_ragged_rows(spark, block_rows, hot):
     rows = vectors(120, 5) + [(1000 + i, vectors(120, 5)[3][1]) for i in range(40)]  # a vector held by a quarter of the rows
-    rows += [(None, [1.0, 2.0, 3.0, 4.0, 5.0]), (3, [0.5] * 5), (3, [0.25] * 5), (900, None), (901, [1.0, math.nan, 0, 0, 0]), (902, [1.0, None, 0.0, 0.0, 0.0]),
+    rows += [(None, [1.0, 2.0, 3.0, 4.0, 5.0]), (3, [0.5] * 5), (3, [0.25] * 5), (900, None), (901, [1.0, math.nan, 0.0, 0.0, 0.0]), (902, [1.0, None, 0.0, 0.0, 0.0]),
              (903, [math.inf] * 5), (904, [0.5, -0.25]), (905, [])]
     df = spark.createDataFrame(rows, SCHEMA)
     got = check(wh.whitened(spark, df, block_rows=block_rows, hot=hot), rows)
