@@ -80,7 +80,7 @@ def _duck(folder):
     return con
 
 
-@pytest.mark.parametrize("name, models", [("feature_importance", 1), ("gbt_scores", 1), ("model_comparison", 2)])
+@pytest.mark.parametrize("name, models", [("feature_importance", 1), ("gbt_scores", 1), ("model_comparison", 2), ("score_test", 1)])
 def test_a_query_boosts_until_patience_is_spent(spark, orders, monkeypatch, name, models):
     """It made ten rounds and kept the best of them."""
     fits, fit = [], bo.fit
